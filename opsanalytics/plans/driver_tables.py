@@ -171,3 +171,202 @@ payments AS (
          invoice_date + INTERVAL {PAYMENT_DELAY_DAYS} DAY AS payment_date
   FROM invoices WHERE invoice_id % {UNPAID_MODULUS} <> 0
 )"""
+
+
+# ---------------------------------------------------------------------------
+# Raw (all-string) exports for the cleaning path.
+# ---------------------------------------------------------------------------
+# Order priorities play the depots; this alias table maps trimmed,
+# lower-cased raw text to the canonical name.  '4-not specified' has no
+# short alias on purpose, so some rows stay unmapped.
+PRIORITY_ALIASES = {
+    "1-urgent": "1-URGENT",
+    "urgent": "1-URGENT",
+    "2-high": "2-HIGH",
+    "high": "2-HIGH",
+    "3-medium": "3-MEDIUM",
+    "medium": "3-MEDIUM",
+    "4-not specified": "4-NOT SPECIFIED",
+    "5-low": "5-LOW",
+    "low": "5-LOW",
+}
+# Moduli that plant the mess (all keys are order keys, so every branch is hit).
+MESS = {
+    "unknown_depot": 250, "no_customer": 100, "negative_volume": 331, "zero_volume": 509, "bad_date": 211,
+    "dup_loading": 53, "no_dispatch_volume": 401, "dup_dispatch": 61, "no_price": 13, "no_amount": 17,
+    "thousands": 7, "dup_invoice": 59, "zero_paid": 97, "dup_payment": 67,
+}
+
+
+def fixed(c, digits: int):
+    """Fixed-decimal text of a double (HALF_UP on the shortest decimal form)."""
+    return F.format_string(f"%.{digits}f", F.round(c, digits))
+
+
+def sfixed(expr: str, digits: int) -> str:
+    from opsanalytics.plans.sqlkit import sround
+
+    return f"printf('%.{digits}f', {sround(expr, digits)})"
+
+
+def _lp(prefix: str, key, width: int):
+    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+
+
+def _two_patterns(ts, key, modulus: int):
+    slash = F.date_format(ts, "dd/MM/yyyy HH:mm")
+    dash = F.date_format(ts, "yyyy-MM-dd HH:mm")
+    return F.when(key % MESS["bad_date"] == 0, F.lit("not a date")).when(key % modulus == 0, slash).otherwise(dash)
+
+
+def _with_dups(df, key, modulus: int, changed: dict):
+    base = df.withColumn("_row", key * 2)
+    dup = df.filter(key % modulus == 0).withColumns(changed).withColumn("_row", key * 2 + 1)
+    return base.unionByName(dup)
+
+
+def o2c_raw_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """String exports with the reference's mess planted by key modulus."""
+    t = o2c_exports(spark, sf_dir)
+    L, D, I, P = t["loading_events"], t["dispatch_events"], t["invoices"], t["payments"]
+    lid = F.col("loading_id")
+    name = F.substring_index(F.col("depot"), "-", -1)
+    depot = (
+        F.when(lid % MESS["unknown_depot"] == 0, F.lit("unknown place"))
+        .when(lid % 4 == 0, F.upper("depot"))
+        .when(lid % 4 == 1, F.concat(F.lit("  "), F.lower("depot"), F.lit(" ")))
+        .when(lid % 4 == 2, F.lower(name))
+        .otherwise(F.col("depot"))
+    )
+    vol = fixed(F.col("volume_loaded_litres"), 4)
+    vol = (F.when(lid % MESS["negative_volume"] == 0, F.concat(F.lit("-"), vol))
+           .when(lid % MESS["zero_volume"] == 0, F.lit("0")).otherwise(vol))
+    loadings = L.select(
+        lid,
+        _lp("LD", lid, 8).alias("loading_id_text"),
+        depot.alias("depot"),
+        F.col("product"),
+        F.when(lid % MESS["no_customer"] == 7, F.lit(None)).otherwise(F.col("customer")).alias("customer"),
+        vol.alias("volume_loaded_litres"),
+        F.lit("0.0").alias("meter_start"),
+        fixed(F.col("volume_loaded_litres"), 4).alias("meter_end"),
+        _two_patterns(F.col("loading_ts"), lid, 2).alias("loading_ts"),
+    )
+    loadings = _with_dups(loadings, lid, MESS["dup_loading"], {"volume_loaded_litres": F.lit("1.0")})
+    loadings = loadings.drop("loading_id").withColumnRenamed("loading_id_text", "loading_id")
+
+    did = F.col("dispatch_id")
+    dispatches = D.select(
+        did,
+        _lp("DS", did, 8).alias("dispatch_id_text"),
+        _lp("LD", F.col("loading_id"), 8).alias("loading_id"),
+        F.when(did % MESS["no_dispatch_volume"] == 0, F.lit(None))
+        .otherwise(fixed(F.col("volume_dispatched_litres"), 6)).alias("volume_dispatched_litres"),
+        _two_patterns(F.col("dispatch_ts"), did, 3).alias("dispatch_ts"),
+        F.col("status"),
+    )
+    dispatches = _with_dups(dispatches, did, MESS["dup_dispatch"], {"status": F.lit("Dispatched")})
+    dispatches = dispatches.drop("dispatch_id").withColumnRenamed("dispatch_id_text", "dispatch_id")
+
+    iid = F.col("invoice_id")
+    amount = F.when(iid % MESS["no_amount"] == 0, F.lit(None)).when(
+        iid % MESS["thousands"] == 0, F.format_number(F.round("amount_kes", 2), 2)
+    ).otherwise(fixed(F.col("amount_kes"), 2))
+    inv = I.join(L.select(F.col("loading_id").alias("dispatch_id"), "product"), "dispatch_id")
+    invoices = inv.select(
+        iid,
+        _lp("INV", iid, 10).alias("invoice_id_text"),
+        _lp("DS", F.col("dispatch_id"), 8).alias("dispatch_id"),
+        F.col("product"),
+        fixed(F.col("volume_invoiced_litres"), 6).alias("volume_invoiced_litres"),
+        F.when(iid % MESS["no_price"] == 0, F.lit(None)).otherwise(fixed(F.col("unit_price_kes"), 4)).alias("unit_price_kes"),
+        amount.alias("amount_kes"),
+        _two_patterns(F.col("invoice_date"), iid, 2).alias("invoice_date"),
+    )
+    invoices = _with_dups(invoices, iid, MESS["dup_invoice"], {"amount_kes": F.lit("1.00")})
+    invoices = invoices.drop("invoice_id").withColumnRenamed("invoice_id_text", "invoice_id")
+
+    pid = F.col("payment_id")
+    payments = P.select(
+        pid,
+        _lp("PMT", pid, 10).alias("payment_id_text"),
+        _lp("INV", F.col("invoice_id"), 10).alias("invoice_id"),
+        F.when(pid % MESS["zero_paid"] == 0, F.lit("0")).otherwise(fixed(F.col("amount_paid_kes"), 2)).alias("amount_paid_kes"),
+        _two_patterns(F.col("payment_date"), pid, 2).alias("payment_date"),
+    )
+    payments = _with_dups(payments, pid, MESS["dup_payment"], {"amount_paid_kes": F.lit("1.00")})
+    payments = payments.drop("payment_id").withColumnRenamed("payment_id_text", "payment_id")
+    return {"loading_events": loadings, "dispatch_events": dispatches, "invoices": invoices, "payments": payments}
+
+
+def _sql_lp(prefix: str, key: str, width: int) -> str:
+    return f"('{prefix}' || lpad(CAST({key} AS VARCHAR), {width}, '0'))"
+
+
+def _sql_two_patterns(ts: str, key: str, modulus: int) -> str:
+    return (f"CASE WHEN {key} % {MESS['bad_date']} = 0 THEN 'not a date' "
+            f"WHEN {key} % {modulus} = 0 THEN strftime({ts}, '%d/%m/%Y %H:%M') "
+            f"ELSE strftime({ts}, '%Y-%m-%d %H:%M') END")
+
+
+RAW_CTES = O2C_CTES + f""",
+raw_l0 AS (
+  SELECT loading_id AS k, {_sql_lp('LD', 'loading_id', 8)} AS loading_id,
+    CASE WHEN loading_id % {MESS['unknown_depot']} = 0 THEN 'unknown place'
+         WHEN loading_id % 4 = 0 THEN upper(depot)
+         WHEN loading_id % 4 = 1 THEN '  ' || lower(depot) || ' '
+         WHEN loading_id % 4 = 2 THEN lower(split_part(depot, '-', -1))
+         ELSE depot END AS depot,
+    product,
+    CASE WHEN loading_id % {MESS['no_customer']} = 7 THEN NULL ELSE customer END AS customer,
+    CASE WHEN loading_id % {MESS['negative_volume']} = 0 THEN '-' || {sfixed('volume_loaded_litres', 4)}
+         WHEN loading_id % {MESS['zero_volume']} = 0 THEN '0'
+         ELSE {sfixed('volume_loaded_litres', 4)} END AS volume_loaded_litres,
+    '0.0' AS meter_start, {sfixed('volume_loaded_litres', 4)} AS meter_end,
+    {_sql_two_patterns('loading_ts', 'loading_id', 2)} AS loading_ts
+  FROM loading_events
+),
+raw_loading_events AS (
+  SELECT * EXCLUDE (k), k * 2 AS _row FROM raw_l0
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('1.0' AS volume_loaded_litres), k * 2 + 1 AS _row FROM raw_l0
+  WHERE k % {MESS['dup_loading']} = 0
+),
+raw_d0 AS (
+  SELECT dispatch_id AS k, {_sql_lp('DS', 'dispatch_id', 8)} AS dispatch_id, {_sql_lp('LD', 'loading_id', 8)} AS loading_id,
+    CASE WHEN dispatch_id % {MESS['no_dispatch_volume']} = 0 THEN NULL
+         ELSE {sfixed('volume_dispatched_litres', 6)} END AS volume_dispatched_litres,
+    {_sql_two_patterns('dispatch_ts', 'dispatch_id', 3)} AS dispatch_ts, status
+  FROM dispatch_events
+),
+raw_dispatch_events AS (
+  SELECT * EXCLUDE (k), k * 2 AS _row FROM raw_d0
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('Dispatched' AS status), k * 2 + 1 AS _row FROM raw_d0 WHERE k % {MESS['dup_dispatch']} = 0
+),
+raw_i0 AS (
+  SELECT i.invoice_id AS k, {_sql_lp('INV', 'i.invoice_id', 10)} AS invoice_id, {_sql_lp('DS', 'i.dispatch_id', 8)} AS dispatch_id,
+    l.product, {sfixed('i.volume_invoiced_litres', 6)} AS volume_invoiced_litres,
+    CASE WHEN i.invoice_id % {MESS['no_price']} = 0 THEN NULL ELSE {sfixed('i.unit_price_kes', 4)} END AS unit_price_kes,
+    CASE WHEN i.invoice_id % {MESS['no_amount']} = 0 THEN NULL
+         WHEN i.invoice_id % {MESS['thousands']} = 0 THEN format('{{:,.2f}}', {__import__('opsanalytics.plans.sqlkit', fromlist=['sround']).sround('i.amount_kes', 2)})
+         ELSE {sfixed('i.amount_kes', 2)} END AS amount_kes,
+    {_sql_two_patterns('i.invoice_date', 'i.invoice_id', 2)} AS invoice_date
+  FROM invoices i JOIN loading_events l ON i.dispatch_id = l.loading_id
+),
+raw_invoices AS (
+  SELECT * EXCLUDE (k), k * 2 AS _row FROM raw_i0
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('1.00' AS amount_kes), k * 2 + 1 AS _row FROM raw_i0 WHERE k % {MESS['dup_invoice']} = 0
+),
+raw_p0 AS (
+  SELECT payment_id AS k, {_sql_lp('PMT', 'payment_id', 10)} AS payment_id, {_sql_lp('INV', 'invoice_id', 10)} AS invoice_id,
+    CASE WHEN payment_id % {MESS['zero_paid']} = 0 THEN '0' ELSE {sfixed('amount_paid_kes', 2)} END AS amount_paid_kes,
+    {_sql_two_patterns('payment_date', 'payment_id', 2)} AS payment_date
+  FROM payments
+),
+raw_payments AS (
+  SELECT * EXCLUDE (k), k * 2 AS _row FROM raw_p0
+  UNION ALL
+  SELECT * EXCLUDE (k) REPLACE ('1.00' AS amount_paid_kes), k * 2 + 1 AS _row FROM raw_p0 WHERE k % {MESS['dup_payment']} = 0
+)"""
