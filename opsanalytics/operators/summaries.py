@@ -75,14 +75,20 @@ def page(df: DataFrame, order: Sequence[Column | str], limit: int, offset: int =
     return df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
 
 
-def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """W14/L2 per group: ``row_number`` over (group) <= n.
+def top_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, salt_buckets: int = 64, tiebreak: str | None = None
+) -> DataFrame:
+    """W14/L2 per group: the first ``n`` rows of each group, skew-proof.
 
-    Use on aggregated inputs; for a raw fact table with a hot group prefer
-    :func:`top_n` per group after pre-aggregation.
+    Phase 1 ranks inside (group, hash bucket of ``tiebreak`` or the whole row)
+    and keeps ``n`` per bucket, so a hot group is spread over ``salt_buckets``
+    tasks; phase 2 ranks at most ``salt_buckets * n`` rows per group.
     """
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    salt = F.pmod(F.xxhash64(F.col(tiebreak)) if tiebreak else F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    local = Window.partitionBy(*group, "_salt").orderBy(*order)
+    pre = df.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(local)).filter(F.col("_rn") <= n)
+    final = Window.partitionBy(*group).orderBy(*order)
+    return pre.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= n).drop("_salt", "_rn")
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
@@ -231,7 +237,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     """Equal-width bins between the (per-group) min and max; counts per bin.
 
     Bin edges come from one aggregate per group joined back on the group keys
-    (or a scalar subquery when ungrouped), then ``width_bucket``.
+    (a scalar subquery when ungrouped).  Bin = floor((x - lo) / (hi - lo) * bins) + 1,
+    the maximum falling in the last bin.
     """
     if by:
         bounds = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
@@ -241,7 +248,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
         lo = df.agg(F.min(value)).scalar()
         hi = df.agg(F.max(value)).scalar()
         x = df
-    b = F.when(F.col(value) == hi, F.lit(bins)).otherwise(F.width_bucket(F.col(value), lo, hi, F.lit(bins)))
+    raw = F.floor((F.col(value) - lo) / (hi - lo) * bins) + 1
+    b = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
     return (
         x.filter(F.col(value).isNotNull())
         .withColumn("bin", b.cast("bigint"))
@@ -303,20 +311,18 @@ def cohort_header(df: DataFrame, entity: str, date_col: str) -> DataFrame:
 def profile_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, unique, most frequent value (ties -> smallest) and its frequency per column.
 
-    ``mode`` keeps one counter per distinct value of a column (bounded by its
-    cardinality); ``approx_count_distinct`` is the at-scale unique count.
+    Per column: one value-count aggregate (bounded by the column's
+    cardinality), then the top value is the smallest among those with the
+    highest count.
     """
     parts = []
     for c in cols:
         s = F.col(c).cast("string")
-        parts.append(
-            df.agg(
-                F.lit(c).alias("column"),
-                F.count(s).alias("count"),
-                F.count_distinct(s).alias("unique"),
-                F.mode(s, True).alias("top"),
-            )
-        )
+        vc = df.groupBy(s.alias("v")).agg(F.count("*").alias("n")).filter(F.col("v").isNotNull())
+        top = vc.agg(F.min_by(F.col("v"), F.struct(-F.col("n"), F.col("v"))).alias("top"), F.max("n").alias("freq"))
+        base = df.agg(F.count(s).alias("count"), F.count_distinct(s).alias("unique"))
+        parts.append(base.select(F.lit(c).alias("column"), "count", "unique", top.select("top").scalar().alias("top"),
+                                 top.select("freq").scalar().alias("freq")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
