@@ -59,6 +59,7 @@ def load_all() -> None:
         q_o2c,
         q_quality,
         q_series,
+        q_sources,
         q_stats,
         q_summaries,
     )
