@@ -21,7 +21,13 @@ from opsanalytics.plans.sqlkit import sql_finish, sround
 
 
 def cleaned_bundle(spark, sf_dir):
-    return cl.clean_all(o2c_raw_exports(spark, sf_dir), SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
+    """Cleaned tables + issue log, persisted once: the gate reads each table in
+    several independent aggregates (rules, uniqueness, anti joins, counts)."""
+    from pyspark import StorageLevel
+
+    cleaned, issues = cl.clean_all(o2c_raw_exports(spark, sf_dir), SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
+    level = StorageLevel.MEMORY_AND_DISK
+    return {k: v.persist(level) for k, v in cleaned.items()}, issues.persist(level)
 
 
 # ----------------------------------------------------------------------------

@@ -308,3 +308,27 @@ def j7_future_regressor(spark, sf_dir):
         F.dayofmonth("ds").isin(1, 15).cast("int").alias("is_holiday"),
     )
     return finish(j, digits=2)
+
+
+@query(
+    "j10_join_null_audit",
+    sql_finish(
+        """
+        WITH j AS (SELECT c.bin, c.n AS clicks, v.mean_value AS view_mean
+                   FROM (SELECT bin, n FROM hourly WHERE event_type = 'click') c
+                   LEFT JOIN (SELECT bin, mean_value FROM hourly WHERE event_type = 'view') v ON c.bin = v.bin)
+        SELECT * FROM (
+          SELECT 'bin' AS "column", CAST(count(*) FILTER (WHERE bin IS NULL) AS BIGINT) AS n_missing, count(*) FILTER (WHERE bin IS NULL) * 100.0 / count(*) AS pct_missing FROM j
+          UNION ALL SELECT 'clicks', CAST(count(*) FILTER (WHERE clicks IS NULL) AS BIGINT), count(*) FILTER (WHERE clicks IS NULL) * 100.0 / count(*) FROM j
+          UNION ALL SELECT 'view_mean', CAST(count(*) FILTER (WHERE view_mean IS NULL) AS BIGINT), count(*) FILTER (WHERE view_mean IS NULL) * 100.0 / count(*) FROM j)
+        """,
+        doubles=["pct_missing"], ctes=HOURLY_SQL,
+    ),
+)
+def j10_join_null_audit(spark, sf_dir):
+    from opsanalytics.operators.summaries import missing_audit
+
+    h = hourly(spark, sf_dir)
+    ops = h.filter(F.col("event_type") == "click").select("bin", F.col("n").alias("clicks"))
+    weather = h.filter(F.col("event_type") == "view").select("bin", F.col("mean_value").alias("view_mean"))
+    return finish(missing_audit(ops.join(weather, "bin", "left"), only_offenders=False))

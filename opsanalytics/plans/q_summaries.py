@@ -610,3 +610,13 @@ def l6_argmax_and_mode(spark, sf_dir):
     out = best.select(F.col("b.o_orderkey").alias("top_order"), F.col("b.o_totalprice").alias("top_price"),
                       mode.select("mode_o_custkey").scalar().alias("mode_customer"))
     return finish(out, digits=2)
+
+
+@query(
+    "l4_panel_sort",
+    sql_finish("SELECT user_id, ts, event_id, value FROM events ORDER BY user_id, ts, event_id", doubles=["value"], times=["ts"]),
+)
+def l4_panel_sort(spark, sf_dir):
+    """L4: chronological panel order (a range-partitioned sort, only at output)."""
+    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    return finish(ev.orderBy("user_id", "ts", "event_id"))
