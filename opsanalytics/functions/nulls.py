@@ -47,9 +47,20 @@ def floor_days(start: str | Column, end: str | Column) -> Column:
     return F.floor(secs / F.lit(86400)).cast("bigint")
 
 
+# Money and volume totals are summed as DECIMAL(38, 6): exact, so the total does
+# not depend on the order partial sums are merged in (reproducible on any
+# cluster size and across retries); the hash aggregate still applies.
+SUM_SCALE = 6
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Order-independent sum of a double column (values taken to 6 decimals)."""
+    return F.sum(col_(c).cast(f"decimal(38,{SUM_SCALE})")).cast("double")
+
+
 def sum0(c: str | Column) -> Column:
-    """Sum where an all-missing group gives 0, not NULL."""
-    return F.coalesce(F.sum(col_(c)), F.lit(0.0))
+    """Sum where an all-missing group gives 0, not NULL (exact, see ``exact_sum``)."""
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def row_sum(cols: Iterable[str | Column]) -> Column:

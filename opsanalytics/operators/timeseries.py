@@ -83,9 +83,14 @@ def rows_window(by: Sequence[str], order: str | Sequence[str], n: int) -> Window
     return w.orderBy(*order).rowsBetween(-(n - 1), 0)
 
 
-def rolling_mean(col: str, w: Window, min_periods: int = 1) -> Column:
-    """Mean of the last n rows, NULL while fewer than ``min_periods`` values."""
-    return F.when(F.count(col).over(w) >= min_periods, F.avg(col).over(w))
+def rolling_mean(col: str, w: Window, min_periods: int = 1, exact: bool = False) -> Column:
+    """Mean of the last n rows, NULL while fewer than ``min_periods`` values.
+
+    ``exact`` averages the values taken to 6 decimals as decimals, so the result
+    does not depend on the summation order inside the frame.
+    """
+    v = F.col(col).cast("decimal(38,6)") if exact else F.col(col)
+    return F.when(F.count(col).over(w) >= min_periods, F.avg(v).over(w).cast("double"))
 
 
 def rolling_std(col: str, w: Window, fill: float | None = 0.0) -> Column:

@@ -105,7 +105,8 @@ def o2c_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .select(
             (F.col("o_orderkey") * 10 + F.col("code")).alias("invoice_id"),
             F.col("o_orderkey").alias("dispatch_id"),
-            (F.col("vol") * F.col("q") / F.col("qty_all")).alias("volume_invoiced_litres"),
+            # Rounded to 4 decimals so per-dispatch sums are exact decimals.
+            F.round(F.col("vol") * F.col("q") / F.col("qty_all"), 4).alias("volume_invoiced_litres"),
             (F.col("x") / F.col("q")).alias("unit_price_kes"),
             F.col("d").alias("invoice_date"),
         )
@@ -127,6 +128,12 @@ def o2c_exports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _sround(expr: str, digits: int) -> str:
+    from opsanalytics.plans.sqlkit import sround
+
+    return sround(expr, digits)
+
+
 def sql_price(col: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SEGMENT_PRICES.items())
     return f"(CASE {col} {whens} END)"
@@ -158,10 +165,10 @@ dispatch_events AS (
 invoices AS (
   SELECT f.l_orderkey * 10 + CASE f.l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS invoice_id,
          f.l_orderkey AS dispatch_id,
-         d.volume_dispatched_litres * f.q / p.qty_all AS volume_invoiced_litres,
+         {_sround('d.volume_dispatched_litres * f.q / p.qty_all', 4)} AS volume_invoiced_litres,
          f.x / f.q AS unit_price_kes,
          f.d AS invoice_date,
-         (d.volume_dispatched_litres * f.q / p.qty_all) * (f.x / f.q) AS amount_kes
+         {_sround('d.volume_dispatched_litres * f.q / p.qty_all', 4)} * (f.x / f.q) AS amount_kes
   FROM li_flag f JOIN li_order p ON f.l_orderkey = p.l_orderkey
   JOIN dispatch_events d ON d.dispatch_id = f.l_orderkey
 ),

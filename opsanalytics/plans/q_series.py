@@ -70,15 +70,15 @@ def a11_weekly_counts(spark, sf_dir):
 @query(
     "w1_rolling24_mean",
     sql_finish(
-        "SELECT event_type, bin, avg(mean_value) OVER w AS rolling_mean_24 FROM hourly "
+        "SELECT event_type, bin, CAST(avg(round(CAST(CAST(mean_value AS VARCHAR) AS DECIMAL(38, 16)), 6)) OVER w AS DOUBLE) AS rolling_mean_24 FROM hourly "
         "WINDOW w AS (PARTITION BY event_type ORDER BY bin ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)",
-        doubles=["rolling_mean_24"], digits=3, times=["bin"], ctes=HOURLY_SQL,
+        doubles=["rolling_mean_24"], times=["bin"], ctes=HOURLY_SQL,
     ),
 )
 def w1_rolling24_mean(spark, sf_dir):
     h = hourly(spark, sf_dir)
     w = ts.rows_window(["event_type"], "bin", 24)
-    return finish(h.select("event_type", "bin", ts.rolling_mean("mean_value", w, 1).alias("rolling_mean_24")), digits=3)
+    return finish(h.select("event_type", "bin", ts.rolling_mean("mean_value", w, 1, exact=True).alias("rolling_mean_24")))
 
 
 DAILY_QTY_SQL = """
