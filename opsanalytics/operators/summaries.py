@@ -134,13 +134,18 @@ def multi_stat(df: DataFrame, by: Sequence[str], cols: Sequence[str], stats: Seq
 
 
 def frequency(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Value counts and share % (within ``by``), sorted by count desc.
+    """Value counts and share % (within ``by``).
 
-    The share uses a window over the *counted* rows (one per value), not the input.
+    The denominator is a scalar subquery (ungrouped) or a per-group total
+    joined back on ``by``: no window over all value counts, which for a
+    high-cardinality column would be a single task.
     """
     counts = df.groupBy(*by, col).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return counts.withColumn("share_pct", F.col("n") * 100.0 / F.sum("n").over(w))
+    if by:
+        totals = counts.groupBy(*by).agg(F.sum("n").alias("_t"))
+        return counts.join(totals, list(by)).withColumn("share_pct", F.col("n") * 100.0 / F.col("_t")).drop("_t")
+    total = df.agg(F.count("*")).scalar()
+    return counts.withColumn("share_pct", F.col("n") * 100.0 / total)
 
 
 def ratio_of_counts(df: DataFrame, cond_major: Column, cond_minor: Column) -> DataFrame:

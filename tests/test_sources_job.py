@@ -93,3 +93,20 @@ def test_entry_contract(spark):
     assert df.count() >= 0 and len(df.columns) > 3
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 100
+
+
+def test_refresh_stream_runs_job_once(spark, out_dir):
+    from opsanalytics.streaming.refresh import refresh_on_landing
+
+    raw = o2c_raw_exports(spark, SF)
+    columns = {}
+    for name, df in raw.items():
+        cols = [c for c in df.columns if c != "_row"]
+        columns[name] = cols
+        df.orderBy("_row").select(*cols).coalesce(1).write.option("header", True).csv(f"{out_dir}/landing/{name}")
+    q = refresh_on_landing(spark, f"{out_dir}/landing", f"{out_dir}/refresh_out", columns,
+                           checkpoint_location=f"{out_dir}/ckpt", default_prices=SEGMENT_PRICES, aliases=PRIORITY_ALIASES,
+                           strict=False)
+    q.awaitTermination(600)
+    log = io.read_run_log(spark, f"{out_dir}/refresh_out/run_log").collect()
+    assert [r["status"] for r in log] == ["SUCCESS"]
