@@ -285,3 +285,100 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (1 - F.sum(e * e) / F.sum(F.col("_dev") ** 2)).alias("r2"), F.count("*").alias("n"),
     )
+
+
+# ---------------------------------------------------------------------------
+# M9: SMOTE inside a training fold, exact k nearest neighbours
+# ---------------------------------------------------------------------------
+def _block_knn(k: int):
+    import numpy as np
+    import pandas as pd
+
+    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or c.empty:
+            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
+        Q = np.stack(q["x"].to_numpy()).astype(float)
+        C = np.stack(c["x"].to_numpy()).astype(float)
+        d = ((Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * Q @ C.T).clip(min=0.0)
+        qid, cid = q["id"].to_numpy(), c["id"].to_numpy()
+        d[qid[:, None] == cid[None, :]] = np.inf  # a point is not its own neighbour
+        kk = min(k, C.shape[0])
+        idx = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < C.shape[0] else np.tile(np.arange(C.shape[0]), (Q.shape[0], 1))
+        rows = np.repeat(np.arange(Q.shape[0]), idx.shape[1])
+        cols = idx.ravel()
+        dist = d[rows, cols]
+        keep = np.isfinite(dist)
+        return pd.DataFrame({"qid": qid[rows][keep].astype("int64"), "cid": cid[cols][keep].astype("int64"),
+                             "dist": np.sqrt(dist[keep])})
+
+    return fn
+
+
+def knn_within(points: DataFrame, k: int, block_rows: int = 50_000, id_col: str = "id", x_col: str = "x") -> DataFrame:
+    """Exact k nearest neighbours of every point among the same points.
+
+    Points are cut into B hash blocks of about ``block_rows``; each (query
+    block, candidate block) cogroup holds at most 2 x block_rows rows and
+    returns its local top-k per query; the B x k local candidates per query are
+    merged by an aggregate.  Distances are computed in numpy, not emitted as
+    row pairs.
+    """
+    from pyspark.sql import types as T
+
+    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x_col).alias("x"))
+    m = pts.count()
+    nb = max(1, -(-m // block_rows))
+    blk = F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
+    # Distinct column names on each side: both come from the same points.
+    queries = pts.select(F.col("id").alias("q_id"), F.col("x").alias("q_x"), blk.alias("qb"), others.alias("cb"))
+    cands = pts.select(F.col("id").alias("c_id"), F.col("x").alias("c_x"), blk.alias("cb"), others.alias("qb"))
+    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("dist", T.DoubleType())])
+    knn = _block_knn(k)
+    local = queries.groupBy("qb", "cb").cogroup(cands.groupBy("qb", "cb")).applyInPandas(
+        lambda q, c: knn(q.rename(columns={"q_id": "id", "q_x": "x"})[["id", "x"]],
+                         c.rename(columns={"c_id": "id", "c_x": "x"})[["id", "x"]]), schema)
+    best = local.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct("dist", "cid"))), 1, k).alias("nn"))
+    return best.select("qid", F.posexplode("nn").alias("rank", "n")).select(
+        "qid", "rank", F.col("n.cid").alias("cid"), F.col("n.dist").alias("dist"))
+
+
+def smote(train: DataFrame, label: str = "label", features: str = "features", k: int = 5, seed: int = 42,
+          block_rows: int = 50_000, id_col: str = "id") -> DataFrame:
+    """M9: synthetic minority rows until the classes balance.
+
+    Each minority row spawns ``ceil`` or ``floor`` of (needed / m) samples;
+    each sample takes a seeded-random one of the row's k nearest minority
+    neighbours and a seeded-random gap in [0, 1).  Returns the training rows
+    plus the synthetic ones (``synthetic`` flag).
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    counts = train.groupBy(label).agg(F.count("*").alias("n"))
+    minority = counts.agg(F.min_by(label, "n")).scalar()
+    n_min = counts.agg(F.min("n")).scalar()
+    n_max = counts.agg(F.max("n")).scalar()
+    mino = train.filter(F.col(label) == minority).select(F.col(id_col).cast("long").alias("id"),
+                                                         vector_to_array(F.col(features)).alias("x"))
+    nn = knn_within(mino, k, block_rows)
+    need = n_max - n_min
+    base = F.floor(need / n_min)
+    extra = F.pmod(F.xxhash64("id", F.lit(seed)), n_min) < F.pmod(need, n_min)
+    reps = mino.withColumn("reps", (base + F.when(extra, 1).otherwise(0)).cast("int")).filter(F.col("reps") > 0)
+    samples = reps.select("id", "x", F.explode(F.sequence(F.lit(1), F.col("reps"))).alias("j"))
+    pick = F.pmod(F.xxhash64("id", "j", F.lit(seed)), F.lit(k)).cast("int")
+    gap = F.pmod(F.xxhash64("j", "id", F.lit(seed + 1)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    samples = samples.withColumn("rank", pick).withColumn("gap", gap)
+    # Rows with fewer than k neighbours (tiny classes) fall back to their last neighbour.
+    nn = nn.select(F.col("qid").alias("id"), "rank", "cid")
+    nmax = nn.groupBy("id").agg(F.max("rank").alias("maxr"))
+    samples = samples.join(nmax, "id").withColumn("rank", F.least("rank", "maxr")).drop("maxr")
+    j = samples.join(nn, ["id", "rank"])
+    nbx = mino.select(F.col("id").alias("cid"), F.col("x").alias("nx"))
+    j = j.join(nbx, "cid")
+    newx = F.zip_with("x", "nx", lambda a, b: a + F.col("gap") * (b - a))
+    synth = j.select((-(F.col("id") * 1000 + F.col("j"))).alias(id_col), array_to_vector(newx).alias(features),
+                     F.lit(minority).cast(train.schema[label].dataType).alias(label))
+    keep = [id_col, features, label]
+    return train.select(*keep).withColumn("synthetic", F.lit(False)).unionByName(synth.withColumn("synthetic", F.lit(True)))

@@ -285,3 +285,28 @@ def m18_review_queue(spark, sf_dir):
     _, pred = _fit_eval(spark, sf_dir, lambda tr: ml.logistic(tr.count()))
     t = ml.pick_threshold(ml.threshold_sweep(pred)).first()["threshold"]
     return ml.review_queue(pred, t, ["doc_id", "label"])
+
+
+@query("m9_smote_cv")
+def m9_smote_cv(spark, sf_dir):
+    """M9 + M10: SMOTE (k = 5) applied inside each training fold only, then a
+    logistic fit scored on the untouched held-out fold."""
+    from pyspark.ml import Pipeline
+
+    from pyspark import StorageLevel
+
+    # Folds and each balanced training set are read several times (fit, counts,
+    # neighbour search): persisted once each.
+    x = ml.stratified_folds(ml.fill_most_frequent(doc_features(spark, sf_dir), CATEGORICAL), "label", "doc_id", 5, SEED)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    out = None
+    for f in range(5):
+        train, test = x.filter(F.col("fold") != f), x.filter(F.col("fold") == f)
+        prep = Pipeline(stages=ml.preprocess_stages(NUMERIC, CATEGORICAL)).fit(train)
+        balanced = ml.smote(prep.transform(train), "label", "features", k=5, seed=SEED, id_col="doc_id")
+        balanced = balanced.persist(StorageLevel.MEMORY_AND_DISK)
+        lr = ml.logistic(balanced.count()).fit(balanced)
+        pred = ml.positive_score(lr.transform(prep.transform(test)))
+        row = _metrics_row(pred).withColumn("fold", F.lit(f)).withColumn("train_rows", F.lit(balanced.count()))
+        out = row if out is None else out.unionByName(row)
+    return out

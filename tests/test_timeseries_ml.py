@@ -118,3 +118,35 @@ def test_logistic_recovers_planted_signal(spark):
     assert coef[0] > 1.5 and abs(coef[1]) < 0.5
     auc = ml.roc_auc(ml.positive_score(model.transform(sp.filter("split='test'")))).first()["auc"]
     assert auc > 0.85
+
+
+def test_knn_within_exact(spark):
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(120, 3))
+    pts = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, x array<double>")
+    nn = ml.knn_within(pts, 4, block_rows=25).collect()
+    got = {}
+    for r in nn:
+        got.setdefault(r["qid"], set()).add(r["cid"])
+    D = ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(D, np.inf)
+    for i in range(len(X)):
+        assert got[i] == set(np.argsort(D[i])[:4].tolist())
+
+
+def test_smote_balances_on_segments(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(4)
+    rows = [(i, Vectors.dense(rng.normal(size=2).tolist()), 0.0) for i in range(60)]
+    rows += [(100 + i, Vectors.dense((rng.normal(size=2) + 3).tolist()), 1.0) for i in range(12)]
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    out = ml.smote(df, k=3, block_rows=5)
+    counts = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    assert counts[0.0] == counts[1.0] == 60
+    synth = out.filter("synthetic").collect()
+    mino = np.array([r[1].toArray() for r in rows if r[2] == 1.0])
+    lo, hi = mino.min(0) - 1e-9, mino.max(0) + 1e-9
+    for r in synth:  # interpolations stay inside the minority's bounding box
+        v = r["features"].toArray()
+        assert np.all(v >= lo) and np.all(v <= hi)
