@@ -382,3 +382,82 @@ def smote(train: DataFrame, label: str = "label", features: str = "features", k:
                      F.lit(minority).cast(train.schema[label].dataType).alias(label))
     keep = [id_col, features, label]
     return train.select(*keep).withColumn("synthetic", F.lit(False)).unionByName(synth.withColumn("synthetic", F.lit(True)))
+
+
+# ---------------------------------------------------------------------------
+# M17 for tree ensembles: path contributions (bias + sum = probability)
+# ---------------------------------------------------------------------------
+def forest_nodes(model, work_dir: str):
+    """The fitted forest's node table as numpy arrays per tree.
+
+    The model is written to ``work_dir`` (shared storage) and its node table
+    read back; its size is bounded by trees x 2^(depth+1), independent of data.
+    """
+    import numpy as np
+
+    from pyspark.sql import SparkSession
+
+    model.write().overwrite().save(work_dir)
+    s = SparkSession.getActiveSession()
+    rows = s.read.parquet(f"{work_dir}/data").select(
+        "treeID", "nodeData.id", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild",
+        "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories",
+    ).collect()
+    trees: dict[int, dict] = {}
+    for r in rows:
+        t = trees.setdefault(r["treeID"], {"rows": []})
+        t["rows"].append(r)
+    out = []
+    for tid in sorted(trees):
+        rs = sorted(trees[tid]["rows"], key=lambda r: r["id"])
+        n = len(rs)
+        p1 = np.array([(r["impurityStats"][1] / sum(r["impurityStats"])) if sum(r["impurityStats"]) > 0 else 0.0 for r in rs])
+        left = np.array([r["leftChild"] for r in rs])
+        right = np.array([r["rightChild"] for r in rs])
+        feat = np.array([r["featureIndex"] for r in rs])
+        thr = np.array([(r["leftCategoriesOrThreshold"] or [np.nan])[0] if r["numCategories"] < 0 else np.nan for r in rs])
+        cats = [set(r["leftCategoriesOrThreshold"] or []) if r["numCategories"] >= 0 else None for r in rs]
+        out.append({"p1": p1, "left": left, "right": right, "feat": feat, "thr": thr, "cats": cats, "n": n})
+    return out
+
+
+def tree_contributions(scored: DataFrame, model, names: Sequence[str], work_dir: str, id_col: str = "id",
+                       features: str = "features") -> DataFrame:
+    """Per row: bias (mean root probability) and each feature's contribution to
+    the positive-class probability, long form; bias + sum = probability."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    trees = forest_nodes(model, work_dir)
+    n_feat = len(names)
+    bias = float(np.mean([t["p1"][0] for t in trees]))
+
+    def run(batches):
+        for pdf in batches:
+            X = np.stack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, n_feat))
+            contrib = np.zeros((X.shape[0], n_feat))
+            for t in trees:
+                node = np.zeros(X.shape[0], dtype=int)
+                active = t["left"][node] >= 0
+                while active.any():
+                    idx = np.where(active)[0]
+                    nd = node[idx]
+                    f = t["feat"][nd]
+                    xv = X[idx, f]
+                    thr = t["thr"][nd]
+                    go_left = np.where(np.isnan(thr), [xv[i] in t["cats"][nd[i]] if t["cats"][nd[i]] is not None else False
+                                                       for i in range(len(nd))], xv <= thr)
+                    child = np.where(go_left, t["left"][nd], t["right"][nd])
+                    np.add.at(contrib, (idx, f), t["p1"][child] - t["p1"][nd])
+                    node[idx] = child
+                    active = t["left"][node] >= 0
+            contrib /= len(trees)
+            rep = np.repeat(pdf[id_col].to_numpy(), n_feat)
+            yield pd.DataFrame({id_col: rep, "bias": bias, "feature": np.tile(np.array(names, dtype=object), len(pdf)),
+                                "contribution": contrib.ravel()})
+
+    schema = T.StructType([T.StructField(id_col, scored.schema[id_col].dataType), T.StructField("bias", T.DoubleType()),
+                           T.StructField("feature", T.StringType()), T.StructField("contribution", T.DoubleType())])
+    x = scored.select(id_col, vector_to_array(F.col(features)).alias("x"))
+    return x.mapInPandas(run, schema)

@@ -310,3 +310,29 @@ def m9_smote_cv(spark, sf_dir):
         row = _metrics_row(pred).withColumn("fold", F.lit(f)).withColumn("train_rows", F.lit(balanced.count()))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def _forest_contributions(spark, sf_dir):
+    import uuid
+
+    from opsanalytics.session import checkpoint_dir
+
+    model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(n=100), weighted=True)
+    names = ml.feature_names(model, NUMERIC, CATEGORICAL)
+    work = f"{checkpoint_dir(spark)}/models/forest-{uuid.uuid4().hex}"
+    return pred, ml.tree_contributions(pred, model.stages[-1], names, work, id_col="doc_id")
+
+
+@query("m17_tree_local_explanation")
+def m17_tree_local_explanation(spark, sf_dir):
+    """Path contributions of the weighted forest for the highest-risk test row."""
+    pred, contrib = _forest_contributions(spark, sf_dir)
+    top = pred.agg(F.max_by("doc_id", F.struct("score", "doc_id")).alias("d")).select("d").scalar()
+    return contrib.filter(F.col("doc_id") == top)
+
+
+@query("m16_mean_abs_contribution")
+def m16_mean_abs_contribution(spark, sf_dir):
+    """Global explanation: mean |path contribution| per feature over the test rows."""
+    _, contrib = _forest_contributions(spark, sf_dir)
+    return contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))

@@ -150,3 +150,25 @@ def test_smote_balances_on_segments(spark):
     for r in synth:  # interpolations stay inside the minority's bounding box
         v = r["features"].toArray()
         assert np.all(v >= lo) and np.all(v <= hi)
+
+
+def test_tree_contributions_add_up(spark, out_dir):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        a, b = rng.normal(size=2)
+        rows.append((i, Vectors.dense([a, b, float(rng.integers(0, 3))]), float(a + 0.3 * rng.normal() > 0)))
+    df = spark.createDataFrame(rows, ["id", "features", "label"])
+    m = RandomForestClassifier(numTrees=7, maxDepth=4, seed=3).fit(df)
+    scored = ml.positive_score(m.transform(df))
+    c = ml.tree_contributions(scored, m, ["a", "b", "c"], f"{out_dir}/rf")
+    tot = c.groupBy("id").agg(F.first("bias").alias("bias"), F.sum("contribution").alias("s"))
+    j = tot.join(scored.select("id", "score"), "id").collect()
+    assert len(j) == 300
+    for r in j:
+        assert r["bias"] + r["s"] == pytest.approx(r["score"], abs=1e-9)
+    imp = {r["feature"]: r["m"] for r in c.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("m")).collect()}
+    assert imp["a"] > imp["b"] and imp["a"] > imp["c"]
