@@ -48,13 +48,20 @@ def kpi_cuts(
     g = g.withColumn(
         "leakage_pct_of_expected", F.try_divide(F.col("total_leakage_kes") * 100, F.col("expected_revenue_kes"))
     )
-    # Aggregated rows only (one per segment): the per-cut window is small.
-    w = Window.partitionBy("cut").orderBy(F.desc("total_leakage_kes"), F.asc("segment"))
-    g = g.withColumn("rank_in_cut", F.row_number().over(w))
-    keep = F.lit(True)
+    order = [F.desc("total_leakage_kes"), F.asc("segment")]
+    # Capped cuts (e.g. top-10 customers, a high-cardinality dimension): salted
+    # two-phase top-k, so one cut is never ranked whole in a single task.
+    parts = []
     for d, k in top.items():
-        keep = keep & ((F.col("cut") != d) | (F.col("rank_in_cut") <= k))
-    return g.filter(keep)
+        ranked = top_per_group(g.filter(F.col("cut") == d), ["cut"], order, k, tiebreak="segment")
+        parts.append(ranked.withColumnRenamed("rank", "rank_in_cut"))
+    # Uncapped cuts rank every segment of a small business dimension (depots, products).
+    w = Window.partitionBy("cut").orderBy(*order)
+    rest = g.filter(~F.col("cut").isin(list(top))) if top else g
+    out = rest.withColumn("rank_in_cut", F.row_number().over(w))
+    for p in parts:
+        out = out.unionByName(p)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -112,25 +119,30 @@ def most_frequent(df: DataFrame, col: str) -> DataFrame:
 def multi_stat(df: DataFrame, by: Sequence[str], cols: Sequence[str], stats: Sequence[str], digits: int | None = 2):
     """Generated ``stat(col)`` list per group, named ``<col>_<stat>``.
 
-    Supported stats: mean, max, min, median, std, count, sum.
+    Supported stats: mean, max, min, median, std, count, sum.  The median is an
+    exact quantile by range refinement (:mod:`quantiles`), joined on the group
+    keys, so no group is ever buffered whole in one task.
     """
-    fns = {
-        "mean": F.avg,
-        "max": F.max,
-        "min": F.min,
-        "median": F.median,
-        "std": F.stddev_samp,
-        "count": F.count,
-        "sum": F.sum,
-    }
+    from opsanalytics.operators.quantiles import exact_quantiles
+
+    fns = {"mean": F.avg, "max": F.max, "min": F.min, "std": F.stddev_samp, "count": F.count, "sum": F.sum}
     aggs = []
     for c in cols:
-        for s in stats:
-            e = fns[s](c)
-            if digits is not None and s not in ("count",):
+        for s_ in stats:
+            if s_ == "median":
+                continue
+            e = fns[s_](c)
+            if digits is not None and s_ != "count":
                 e = F.round(e, digits)
-            aggs.append(e.alias(f"{c}_{s}"))
-    return df.groupBy(*by).agg(*aggs)
+            aggs.append(e.alias(f"{c}_{s_}"))
+    out = df.groupBy(*by).agg(*aggs)
+    if "median" in stats:
+        for c in cols:
+            med = F.col("q0") if digits is None else F.round("q0", digits)
+            q = exact_quantiles(df, c, [0.5], by).select(*by, med.alias(f"{c}_median"))
+            out = out.join(q, list(by), "left") if by else out.withColumn(f"{c}_median", q.select(f"{c}_median").scalar())
+    order = [f"{c}_{s_}" for c in cols for s_ in stats]
+    return out.select(*by, *order)
 
 
 def frequency(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -183,8 +195,12 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), exact:
              percentiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, std, min, percentiles, max per numeric column (long form).
 
-    ``exact=False`` uses ``percentile_approx`` (bounded memory per group).
+    ``exact`` percentiles use range refinement (:mod:`quantiles`; bounded
+    memory per task, exact result); ``exact=False`` uses ``percentile_approx``.
     """
+    from opsanalytics.operators.quantiles import exact_quantiles
+
+    names = [f"p{int(round(p * 100))}" for p in percentiles]
     aggs = []
     for c in cols:
         aggs += [
@@ -194,17 +210,23 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), exact:
             F.min(c).alias(f"{c}__min"),
             F.max(c).alias(f"{c}__max"),
         ]
-        for p in percentiles:
-            e = F.percentile(c, p) if exact else F.percentile_approx(c, p, 10000)
-            aggs.append(e.cast("double").alias(f"{c}__p{int(round(p * 100))}"))
+        if not exact:
+            aggs += [F.percentile_approx(c, p, 10000).cast("double").alias(f"{c}__{n}") for p, n in zip(percentiles, names)]
     wide = df.groupBy(*by).agg(*aggs)
-    stat_names = ["count", "mean", "std", "min", "max"] + [f"p{int(round(p * 100))}" for p in percentiles]
+    if exact:
+        for c in cols:
+            q = exact_quantiles(df, c, percentiles, by).select(*by, *[F.col(f"q{i}").alias(f"{c}__{n}") for i, n in enumerate(names)])
+            if by:
+                wide = wide.join(q, list(by), "left")
+            else:
+                wide = wide.withColumns({f"{c}__{n}": q.select(f"{c}__{n}").scalar() for n in names})
+    stat_names = ["count", "mean", "std", "min", "max"] + names
     rows = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(c).alias("column"),
-                    *[F.col(f"{c}__{s}").cast("double").alias(s) for s in stat_names],
+                    *[F.col(f"{c}__{s_}").cast("double").alias(s_) for s_ in stat_names],
                 )
                 for c in cols
             ]
@@ -268,15 +290,14 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5 IQR fences and outlier count per group.
 
-    Quartiles are one aggregate per group; fences are joined back on the group
-    keys and outliers counted in a second aggregate (two passes, no window).
+    Exact quartiles by range refinement (no group buffered in one task);
+    fences are joined back on the group keys and outliers counted in a second
+    aggregate.
     """
-    q = df.groupBy(*by).agg(
-        F.percentile(value, 0.25).alias("q1"),
-        F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q3"),
-        F.count(value).alias("n"),
-    )
+    from opsanalytics.operators.quantiles import exact_quantiles
+
+    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by).select(
+        *by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"), "n")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns(
         {
             "lower_fence": F.col("q1") - 1.5 * F.col("iqr"),

@@ -172,3 +172,19 @@ def test_tree_contributions_add_up(spark, out_dir):
         assert r["bias"] + r["s"] == pytest.approx(r["score"], abs=1e-9)
     imp = {r["feature"]: r["m"] for r in c.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("m")).collect()}
     assert imp["a"] > imp["b"] and imp["a"] > imp["c"]
+
+
+def test_exact_quantiles_match_percentile(spark, monkeypatch):
+    from opsanalytics.operators import quantiles as qt
+
+    monkeypatch.setattr(qt, "LEAF_ROWS", 40)  # force several refinement passes
+    rng = np.random.default_rng(21)
+    rows = [("hot", float(v)) for v in np.round(rng.normal(10, 3, 5000), 3)]
+    rows += [("few", float(v)) for v in rng.integers(0, 4, 90)] + [("one", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = {r["g"]: r for r in qt.exact_quantiles(df, "v", probs, by=["g"]).collect()}
+    ref = df.groupBy("g").agg(*[F.percentile("v", p).alias(f"r{i}") for i, p in enumerate(probs)]).collect()
+    for r in ref:
+        for i in range(len(probs)):
+            assert got[r["g"]][f"q{i}"] == pytest.approx(r[f"r{i}"], abs=1e-12)
