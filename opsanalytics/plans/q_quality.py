@@ -20,12 +20,14 @@ from opsanalytics.plans.registry import finish, query
 from opsanalytics.plans.sqlkit import sql_finish, sround
 
 
-def cleaned_bundle(spark, sf_dir):
-    """Cleaned tables + issue log, persisted once: the gate reads each table in
-    several independent aggregates (rules, uniqueness, anti joins, counts)."""
+def cleaned_bundle(spark, sf_dir, persist: bool = True):
+    """Cleaned tables + issue log.  Persisted once for the gate, which reads each
+    table in several independent aggregates (rules, uniqueness, anti joins, counts)."""
     from pyspark import StorageLevel
 
     cleaned, issues = cl.clean_all(o2c_raw_exports(spark, sf_dir), SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
+    if not persist:
+        return cleaned, issues
     level = StorageLevel.MEMORY_AND_DISK
     return {k: v.persist(level) for k, v in cleaned.items()}, issues.persist(level)
 
@@ -352,7 +354,7 @@ def _reconcile_over_clean() -> str:
     ),
 )
 def r15_clean_reconcile_by_depot(spark, sf_dir):
-    cleaned, _ = cleaned_bundle(spark, sf_dir)
+    cleaned, _ = cleaned_bundle(spark, sf_dir, persist=False)  # each table is read once here
     r = rc.reconcile(cleaned, prices=SEGMENT_PRICES)
     return finish(rc.summarize_by(r, "depot"), digits=2, overrides={"leakage_pct_of_expected": 6})
 
