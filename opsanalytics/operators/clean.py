@@ -91,7 +91,18 @@ def issue_rows(table: str, agg_row: DataFrame, checks: Sequence[tuple[str, str]]
 
 
 def _raw_counts(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    return df.agg(*[e.alias(n) for n, e in exprs.items()])
+    """One aggregate pass: every named count plus the row count ``_n``."""
+    return df.agg(*[e.alias(n) for n, e in exprs.items()], F.count("*").alias("_n"))
+
+
+def _with_dropped(before: DataFrame, dup_col: str, clean: DataFrame, name: str) -> DataFrame:
+    """Rows dropped after dedupe = (rows - duplicates) - kept rows.
+
+    Derived from the raw pass and a count of the returned table, so the dedupe
+    is not computed a second time just to count what the filter removes.
+    """
+    kept = clean.agg(F.count("*")).scalar()
+    return before.withColumn(name, F.col("_n") - F.col(dup_col) - kept)
 
 
 def clean_loading_events(
@@ -122,15 +133,14 @@ def clean_loading_events(
         }
     )
     df = keep_first(df, "loading_id", order_col)
-    bad = ~mask(F.col("volume_loaded_litres") > 0)
-    after = _raw_counts(df, {"non_positive_volume": count_where(bad)})
+    clean = df.filter(mask(F.col("volume_loaded_litres") > 0))
     issues = issue_rows(
         "loading_events",
-        before,
+        _with_dropped(before, "duplicate_loading_id", clean, "non_positive_volume"),
         [("unmapped_depot_alias", "warning"), ("unparseable_loading_ts", "critical"),
-         ("missing_customer", "warning"), ("duplicate_loading_id", "critical")],
-    ).unionByName(issue_rows("loading_events", after, [("non_positive_volume", "critical")]))
-    return df.filter(~bad), issues
+         ("missing_customer", "warning"), ("duplicate_loading_id", "critical"), ("non_positive_volume", "critical")],
+    )
+    return clean, issues
 
 
 def clean_dispatch_events(raw: DataFrame, order_col: str = "_row") -> tuple[DataFrame, DataFrame]:
@@ -148,12 +158,13 @@ def clean_dispatch_events(raw: DataFrame, order_col: str = "_row") -> tuple[Data
         },
     )
     df = keep_first(df, "dispatch_id", order_col)
-    bad = ~mask(F.col("volume_dispatched_litres") > 0)
-    after = _raw_counts(df, {"non_positive_volume": count_where(bad)})
+    clean = df.filter(mask(F.col("volume_dispatched_litres") > 0))
     issues = issue_rows(
-        "dispatch_events", before, [("unparseable_dispatch_ts", "critical"), ("duplicate_dispatch_id", "critical")]
-    ).unionByName(issue_rows("dispatch_events", after, [("non_positive_volume", "critical")]))
-    return df.filter(~bad), issues
+        "dispatch_events",
+        _with_dropped(before, "duplicate_dispatch_id", clean, "non_positive_volume"),
+        [("unparseable_dispatch_ts", "critical"), ("duplicate_dispatch_id", "critical"), ("non_positive_volume", "critical")],
+    )
+    return clean, issues
 
 
 def clean_invoices(
@@ -212,12 +223,13 @@ def clean_payments(raw: DataFrame, order_col: str = "_row") -> tuple[DataFrame,
         },
     )
     df = keep_first(df, "payment_id", order_col)
-    bad = ~mask(F.col("amount_paid_kes") > 0)
-    after = _raw_counts(df, {"non_positive_amount": count_where(bad)})
+    clean = df.filter(mask(F.col("amount_paid_kes") > 0))
     issues = issue_rows(
-        "payments", before, [("unparseable_payment_date", "critical"), ("duplicate_payment_id", "critical")]
-    ).unionByName(issue_rows("payments", after, [("non_positive_amount", "critical")]))
-    return df.filter(~bad), issues
+        "payments",
+        _with_dropped(before, "duplicate_payment_id", clean, "non_positive_amount"),
+        [("unparseable_payment_date", "critical"), ("duplicate_payment_id", "critical"), ("non_positive_amount", "critical")],
+    )
+    return clean, issues
 
 
 def clean_all(

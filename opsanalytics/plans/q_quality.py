@@ -25,10 +25,18 @@ def cleaned_bundle(spark, sf_dir, persist: bool = True):
     table in several independent aggregates (rules, uniqueness, anti joins, counts)."""
     from pyspark import StorageLevel
 
-    cleaned, issues = cl.clean_all(o2c_raw_exports(spark, sf_dir), SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
+    level = StorageLevel.MEMORY_AND_DISK
+    raw = o2c_raw_exports(spark, sf_dir)
+    if persist:
+        # The issue counts and the cleaned tables both read the raw exports, whose
+        # derivation plan is deep: a reliable checkpoint (shared checkpoint folder)
+        # makes every later plan start from a plain scan.
+        from opsanalytics.session import cut_lineage
+
+        raw = {k: cut_lineage(v) for k, v in raw.items()}
+    cleaned, issues = cl.clean_all(raw, SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
     if not persist:
         return cleaned, issues
-    level = StorageLevel.MEMORY_AND_DISK
     return {k: v.persist(level) for k, v in cleaned.items()}, issues.persist(level)
 
 
