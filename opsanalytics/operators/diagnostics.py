@@ -52,20 +52,32 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], cut: float = 3.0) -> Data
     return wide.unpivot([], list(cols), "column", "n_outliers")
 
 
-def pareto(df: DataFrame, by: str, loss: Column) -> DataFrame:
+def pareto(df: DataFrame, by: str, loss: Column, buckets: int = 1024) -> DataFrame:
     """Loss per group, sorted desc, cumulative % and share %.
 
-    The running sum is a window over the aggregated groups only (one row each).
+    The running sum over the sorted group totals is computed without a global
+    window: groups are bucketed by loss (monotone in the sort order), bucket
+    totals give offsets (a window over <= ``buckets`` rows), and the running
+    sum and rank continue inside each bucket only.
     """
     g = df.groupBy(by).agg(F.sum(loss).alias("loss"))
     total = g.agg(F.sum("loss")).scalar()
-    w = Window.orderBy(F.desc("loss"), F.asc(by)).rowsBetween(Window.unboundedPreceding, 0)
-    return g.withColumns(
-        {
-            "share_pct": F.col("loss") * 100 / total,
-            "cum_pct": F.sum("loss").over(w) * 100 / total,
-            "rank": F.row_number().over(Window.orderBy(F.desc("loss"), F.asc(by))),
-        }
+    lo, hi = g.agg(F.min("loss")).scalar(), g.agg(F.max("loss")).scalar()
+    # Bucket 0 holds the largest losses (descending order).
+    b = F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((hi - F.col("loss")) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")
+    g = g.withColumn("_b", b)
+    tot = g.groupBy("_b").agg(F.sum("loss").alias("_bl"), F.count("*").alias("_bn"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_b", F.coalesce(F.sum("_bl").over(before), F.lit(0.0)).alias("_off_l"),
+                     F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off_n"))
+    inb = Window.partitionBy("_b").orderBy(F.desc("loss"), F.asc(by))
+    x = g.join(off, "_b")
+    return x.select(
+        by, "loss",
+        (F.col("loss") * 100 / total).alias("share_pct"),
+        ((F.col("_off_l") + F.sum("loss").over(inb.rowsBetween(Window.unboundedPreceding, 0))) * 100 / total).alias("cum_pct"),
+        (F.col("_off_n") + F.row_number().over(inb)).alias("rank"),
     )
 
 
