@@ -67,8 +67,7 @@ def run_job(
         io.write_json_document(summary, f"{out}/summary")
         for col in ("depot", "product", "customer"):
             io.write_csv(rc.summarize_by(reconciled, col), f"{out}/by_{col}", single_file=col != "customer")
-        io.write_csv(rc.multi_invoice_exceptions(cleaned["invoices"]).withColumn("invoice_ids", F.array_join("invoice_ids", ",")),
-                     f"{out}/multi_invoice")
+        io.write_csv(rc.multi_invoice_rows(cleaned["invoices"]), f"{out}/multi_invoice")
         io.write_csv(rc.alert_narratives(reconciled, top_n=top_exceptions), f"{out}/alerts", single_file=True)
         io.write_json_document(rc.compute_roi(summary), f"{out}/roi")
         record["total_leakage_kes"] = float(summary.select("total_leakage_kes").first()[0])
