@@ -214,12 +214,17 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), exact:
             aggs += [F.percentile_approx(c, p, 10000).cast("double").alias(f"{c}__{n}") for p, n in zip(percentiles, names)]
     wide = df.groupBy(*by).agg(*aggs)
     if exact:
-        for c in cols:
-            q = exact_quantiles(df, c, percentiles, by).select(*by, *[F.col(f"q{i}").alias(f"{c}__{n}") for i, n in enumerate(names)])
-            if by:
-                wide = wide.join(q, list(by), "left")
-            else:
-                wide = wide.withColumns({f"{c}__{n}": q.select(f"{c}__{n}").scalar() for n in names})
+        # All columns at once: unpivot to (column, value) and refine with the
+        # column as one more group key, so the passes are shared.
+        long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "_col", "_val")
+        q = exact_quantiles(long, "_val", percentiles, [*by, "_col"])
+        piv = q.groupBy(*by).pivot("_col", list(cols)).agg(*[F.first(f"q{i}").alias(n) for i, n in enumerate(names)])
+        # pivot names columns "<col>_<p>"; rename to "<col>__<p>"
+        piv = piv.select(*by, *[F.col(f"{c}_{n}").alias(f"{c}__{n}") for c in cols for n in names])
+        if by:
+            wide = wide.join(piv, list(by), "left")
+        else:
+            wide = wide.withColumns({f"{c}__{n}": piv.select(f"{c}__{n}").scalar() for c in cols for n in names})
     stat_names = ["count", "mean", "std", "min", "max"] + names
     rows = F.explode(
         F.array(
