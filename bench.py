@@ -63,6 +63,7 @@ def main() -> None:
     times["o2c_job_csv"] = round(time.time() - t0, 3)
     extra["o2c_job_source_rows"] = rec["raw_rows"]
     extra["o2c_job_rows_per_sec"] = round(rec["raw_rows"] / times["o2c_job_csv"], 1)
+    extra["o2c_job_phase_s"] = rec["phase_s"]
     for name in HEADLINE:
         t0 = time.time()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -142,7 +142,7 @@ RUN_LOG_SCHEMA = T.StructType(
 
 def append_run_log(spark: SparkSession, path: str, record: Mapping[str, object]) -> None:
     """One row appended to the run table (called in ``finally``)."""
-    row = [tuple(record.get(f.name) for f in RUN_LOG_SCHEMA.fields)]
+    row = [tuple(record.get(f.name) for f in RUN_LOG_SCHEMA.fields)]  # extra keys (e.g. phase timings) stay in the record
     spark.createDataFrame(row, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
