@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 UNIT_INTERVAL = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS"}
 
 
-def _cols(by: Sequence[str]) -> list[Column]:
-    return [F.col(c) for c in by]
-
-
 # ---------------------------------------------------------------------------
 # U4 / A10 / A11
 # ---------------------------------------------------------------------------
