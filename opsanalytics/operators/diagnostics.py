@@ -34,20 +34,15 @@ def flag_low_z(df: DataFrame, by: Sequence[str], value: str, cut: float = -2.5)
 def global_z_outliers(df: DataFrame, value: str, cut: float = 3.0, ddof: int = 1) -> DataFrame:
     """|z| > cut against the whole column; a missing value is never an outlier."""
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
-    mu = df.agg(F.avg(value)).scalar()
-    sd = df.agg(std(value)).scalar()
-    z = (F.col(value) - mu) / sd
+    st = df.agg(F.struct(F.avg(value).alias("mu"), std(value).alias("sd"))).scalar()  # one subquery
+    z = (F.col(value) - st["mu"]) / st["sd"]
     return df.withColumn(f"z_{value}", z).filter(F.coalesce(F.abs(F.col(f"z_{value}")) > cut, F.lit(False)))
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], cut: float = 3.0) -> DataFrame:
     """Per numeric column, rows with |z| > cut (population std), long form."""
-    stats = df.agg(*[F.avg(c).alias(f"{c}__mu") for c in cols], *[F.stddev_pop(c).alias(f"{c}__sd") for c in cols])
-    counts = []
-    for c in cols:
-        mu = stats.select(f"{c}__mu").scalar()
-        sd = stats.select(f"{c}__sd").scalar()
-        counts.append(count_where(F.abs((F.col(c) - mu) / sd) > cut).alias(c))
+    st = df.agg(F.struct(*[F.avg(c).alias(f"{c}__mu") for c in cols], *[F.stddev_pop(c).alias(f"{c}__sd") for c in cols])).scalar()
+    counts = [count_where(F.abs((F.col(c) - st[f"{c}__mu"]) / st[f"{c}__sd"]) > cut).alias(c) for c in cols]
     wide = df.agg(*counts)
     return wide.unpivot([], list(cols), "column", "n_outliers")
 
@@ -61,8 +56,8 @@ def pareto(df: DataFrame, by: str, loss: Column, buckets: int = 1024) -> DataFra
     sum and rank continue inside each bucket only.
     """
     g = df.groupBy(by).agg(F.sum(loss).alias("loss"))
-    total = g.agg(F.sum("loss")).scalar()
-    lo, hi = g.agg(F.min("loss")).scalar(), g.agg(F.max("loss")).scalar()
+    stats = g.agg(F.struct(F.sum("loss").alias("t"), F.min("loss").alias("lo"), F.max("loss").alias("hi"))).scalar()
+    total, lo, hi = stats["t"], stats["lo"], stats["hi"]
     # Bucket 0 holds the largest losses (descending order).
     b = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((hi - F.col("loss")) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")

@@ -241,7 +241,8 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     """
     y = F.col(label) == 1
     per = scored.groupBy(F.col(score).alias("s")).agg(count_where(y).alias("pos"), count_where(~y).alias("neg"))
-    lo, hi = per.agg(F.min("s")).scalar(), per.agg(F.max("s")).scalar()
+    bounds = per.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi"))).scalar()  # one subquery, reused
+    lo, hi = bounds["lo"], bounds["hi"]
     bucket = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("s") - lo) / (hi - lo) * HASH_BUCKETS), F.lit(HASH_BUCKETS - 1)))
     per = per.withColumn("_b", bucket)
     btot = per.groupBy("_b").agg(F.sum("neg").alias("_bn"))

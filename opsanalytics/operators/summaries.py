@@ -277,8 +277,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
         x = df.join(bounds, list(by))
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
-        lo = df.agg(F.min(value)).scalar()
-        hi = df.agg(F.max(value)).scalar()
+        b = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()  # one subquery
+        lo, hi = b["lo"], b["hi"]
         x = df
     raw = F.floor((F.col(value) - lo) / (hi - lo) * bins) + 1
     b = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
