@@ -53,15 +53,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     when it is unset (local tests) is a fallback folder created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    path = fallback or tempfile.mkdtemp(prefix="opsanalytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = configured or fallback or tempfile.mkdtemp(prefix="opsanalytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not configured:
+        spark.conf.set("spark.checkpoint.dir", path)
+    _register_checkpoint_dir(spark, path)
     return path
 
 
+def _register_checkpoint_dir(spark: SparkSession, path: str) -> None:
+    """Point the context's reliable-checkpoint folder at ``path`` (classic sessions;
+    a Connect session has no context and reads ``spark.checkpoint.dir`` itself)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        return
+    if sc.getCheckpointDir() is None or not str(sc.getCheckpointDir()).startswith(path.rstrip("/")):
+        sc.setCheckpointDir(path)
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     spark = spark or df.sparkSession
