@@ -110,3 +110,24 @@ def test_refresh_stream_runs_job_once(spark, out_dir):
     q.awaitTermination(600)
     log = io.read_run_log(spark, f"{out_dir}/refresh_out/run_log").collect()
     assert [r["status"] for r in log] == ["SUCCESS"]
+
+
+def test_typed_dayfirst_catalog_load_and_json(spark, out_dir):
+    p = f"{out_dir}/t.csv"
+    with open(p, "w") as f:
+        f.write("d,x\n31/12/2026,1.5\n01/06/2026,2\n")
+    typed = io.read_typed_csv(spark, p, "d string, x double").collect()
+    assert [r["x"] for r in typed] == [1.5, 2.0]
+    day = io.read_dayfirst_csv(spark, p, ["d", "x"], ["d"]).collect()
+    assert [str(r["d"]) for r in day] == ["2026-12-31", "2026-06-01"]
+    spark.range(3).createOrReplaceTempView("opsanalytics_tmp_view")
+    assert "opsanalytics_tmp_view" in {r["name"] for r in io.list_tables(spark).collect()}
+    df = spark.range(5)
+    assert io.load_replace(df, f"{out_dir}/loaded") == 5
+    assert io.load_replace(df, f"{out_dir}/loaded") == 5  # idempotent: replaced, not appended
+    doc = spark.createDataFrame([(1.5, "x")], "total double, label string")
+    io.write_json_document(doc, f"{out_dir}/doc")
+    back = io.read_json_document(spark, f"{out_dir}/doc", "total double, label string").first()
+    assert (back["total"], back["label"]) == (1.5, "x")
+    with pytest.raises(io.SourceMissingError):
+        io.read_json_document(spark, f"{out_dir}/missing_doc", "total double").collect()
