@@ -11,13 +11,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from opsanalytics.plans import registry  # noqa: E402
-from opsanalytics.session import get_session  # noqa: E402
+from opsanalytics.session import checkpoint_dir, get_session  # noqa: E402
 
 HEADLINE = [
     "r15_clean_reconcile_by_depot",  # raw strings -> clean -> reconcile -> summary (first: nothing cached)
@@ -40,8 +39,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(f"local[{cpus}]", app_name="opsanalytics-bench", shuffle_partitions=int(cpus) * 2,
                         extra={"spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="opsanalytics-bench-"))
     registry.load_all()
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
     times: dict[str, float] = {}
@@ -52,7 +49,7 @@ def main() -> None:
     from opsanalytics.plans.o2c_job import run_job
     from opsanalytics.sources import files as io
 
-    base = f"{spark.conf.get('spark.checkpoint.dir')}/bench-{int(time.time())}"
+    base = f"{checkpoint_dir(spark)}/bench-{int(time.time())}"
     columns = {}
     for name, df in o2c_raw_exports(spark, sf_dir).items():
         columns[name] = [c for c in df.columns if c != "_row"]

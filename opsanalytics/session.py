@@ -6,7 +6,6 @@ helpers exist for tests, ``bench.py`` and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,18 +45,22 @@ def get_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) is a fallback folder created and registered.
+    Only a local master, whose executors share the driver's disk, may leave it
+    unset (tests, bench): one folder per session is then made and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or fallback or tempfile.mkdtemp(prefix="opsanalytics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not configured:
-        spark.conf.set("spark.checkpoint.dir", path)
-    _register_checkpoint_dir(spark, path)
-    return path
+    if configured:
+        _register_checkpoint_dir(spark, configured)
+        return configured
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="opsanalytics-ckpt-"))
+    return str(sc.getCheckpointDir())
 
 
 def _register_checkpoint_dir(spark: SparkSession, path: str) -> None:
@@ -67,7 +70,7 @@ def _register_checkpoint_dir(spark: SparkSession, path: str) -> None:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
         return
-    if sc.getCheckpointDir() is None or not str(sc.getCheckpointDir()).startswith(path.rstrip("/")):
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
 
 

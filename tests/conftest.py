@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,11 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    # No checkpoint folder is configured here: checkpoint_dir() makes one for the local session.
     s = get_session("local[4]", app_name="opsanalytics-tests", shuffle_partitions=8, driver_memory="4g")
-    # Tests set their own checkpoint folder only because none is configured here.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="opsanalytics-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()
 
