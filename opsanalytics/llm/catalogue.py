@@ -13,6 +13,8 @@ ORACLE: dict[str, str] = {}
 
 MODULES = (
     "op1_exact_dedup",
+    "op4_run_index",
+    "op8_suffix_trees",
     "op9_chat_format",
 )
 
