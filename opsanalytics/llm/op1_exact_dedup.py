@@ -63,7 +63,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Longest original first, then smallest id; a null id loses against every other.
     order = F.struct(-F.col("n").cast("long"), F.col("doc_id").isNull(), F.col("doc_id"))
     groups = rows.groupBy("recipe").agg(F.count("*").alias("group_size"), F.min(order).alias("best"))
-    groups = groups.select("recipe", "group_size", F.col("best.doc_id").alias("keep_id"))
+    # Written first, so that the join reads both sides from exchanges and a hot recipe's rows can be split.
+    groups = saved(groups.select("recipe", "group_size", F.col("best.doc_id").alias("keep_id")), "groups")
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
