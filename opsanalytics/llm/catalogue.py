@@ -14,6 +14,7 @@ ORACLE: dict[str, str] = {}
 MODULES = (
     "op1_exact_dedup",
     "op4_run_index",
+    "op6_pieces",
     "op7_jaccard_join",
     "op8_suffix_trees",
     "op9_chat_format",
