@@ -13,6 +13,8 @@ ORACLE: dict[str, str] = {}
 
 MODULES = (
     "op1_exact_dedup",
+    "op2_language_id",
+    "op3_quality_crf",
     "op4_run_index",
     "op6_pieces",
     "op7_jaccard_join",
