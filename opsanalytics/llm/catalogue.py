@@ -20,6 +20,7 @@ MODULES = (
     "op7_jaccard_join",
     "op8_suffix_trees",
     "op9_chat_format",
+    "op10_toxicity",
 )
 
 
