@@ -16,6 +16,7 @@ MODULES = (
     "op2_language_id",
     "op3_quality_crf",
     "op4_run_index",
+    "op5_latent_decontamination",
     "op6_pieces",
     "op7_jaccard_join",
     "op8_suffix_trees",

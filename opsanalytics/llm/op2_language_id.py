@@ -45,7 +45,7 @@ _BLANK = tv.U(int.from_bytes(b" " * GRAM, "big"))
 def grams(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, n-grams as integers, offsets per text); each text has two spaces around it."""
     two = pa.scalar("  ", pa.large_string())
-    padded = pc.binary_join_element_wise(two, pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), "")), two, pa.scalar("", pa.large_string()))
+    padded = pc.binary_join_element_wise(two, tv.folded(column), two, pa.scalar("", pa.large_string()))
     for i, j, data, off in tv.slices(padded):
         data = _SPACED[data].astype(tv.U)
         codes = np.zeros(max(len(data) - GRAM + 1, 0), tv.U)

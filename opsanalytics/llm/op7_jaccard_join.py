@@ -1,7 +1,7 @@
 """Similarity join on word n-grams: MinHash banding, then exact Jaccard on the full sets.
 
-Words are runs of letters and digits (ASCII upper case folded; other scripts' bytes are
-letters), shingles are ``N`` consecutive words; a text of one to ``N - 1`` words is one
+Words are runs of letters and digits in lower case (all bytes beyond ASCII count as letters),
+shingles are ``N`` consecutive words; a text of one to ``N - 1`` words is one
 shingle.  Two documents are linked when their shingle sets have a Jaccard similarity of
 ``threshold`` or more.
 
@@ -52,8 +52,7 @@ def choose_bands(threshold: float, recall: float, noise: float = 0.1) -> tuple[i
 
 
 def shingles(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of each text, distinct and sorted, and their offsets."""
-    data = tv.ASCII_LOWER[data]
+    """Shingle hashes of each lower-cased text, distinct and sorted, and their offsets."""
     starts, ends, woff = tv.words(data, off, tv.NOT_ALNUM)
     units = tv.word_hashes(data, starts, ends)
     spans = tv.Spans(units)
@@ -61,7 +60,7 @@ def shingles(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.
     sets = []
     for lo, hi in zip(woff[:-1].tolist(), woff[1:].tolist(), strict=True):
         if hi - lo >= n:
-            sets.append(np.unique(grams[lo:hi - n + 1]))
+            sets.append(tv.distinct(grams[lo:hi - n + 1]))
         elif hi > lo:
             sets.append(spans(np.array([lo]), np.array([hi])))
         else:
@@ -79,7 +78,7 @@ def signatures(n: int, bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, off in tv.slices(batch.column("text")):
+            for i, j, data, off in tv.slices(tv.folded(batch.column("text"))):
                 sets, soff = shingles(data, off, n)
                 count = np.diff(soff)
                 full = np.flatnonzero(count)
@@ -131,7 +130,7 @@ def verify(n: int, threshold: float):
         by_rid = np.unique(t.column("rid").to_numpy(), return_index=True)[1]
         t = t.take(pa.array(by_rid)).combine_chunks()
         comp, rid, weight, block = (t.column(c).to_numpy() for c in ("component", "rid", "weight", "block"))
-        parts = [shingles(data, off, n) for _, _, data, off in tv.slices(t.column("text").chunk(0), 1 << 40)]
+        parts = [shingles(data, off, n) for _, _, data, off in tv.slices(tv.folded(t.column("text").chunk(0)), 1 << 40)]
         sets, soff = parts[0]
         linked, root = np.zeros(len(rid), np.int64), rid.copy()
         order = np.argsort(comp, kind="stable")

@@ -4,6 +4,7 @@ arrays, word bounds, and polynomial hashes of arbitrary spans."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,6 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 # Everything in ASCII that is neither letter nor digit separates; bytes of other scripts are letters.
 NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-ASCII_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -39,6 +39,11 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         i = j
 
 
+def folded(column: pa.Array) -> pa.Array:
+    """Lower case; null is empty."""
+    return pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
+
+
 def words(data: np.ndarray, off: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (bytes) of all words, and the word offsets of the texts."""
     n = len(data)
@@ -56,7 +61,16 @@ def words(data: np.ndarray, off: np.ndarray, separators: np.ndarray) -> tuple[np
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 ... base**(n-1) modulo 2**64, with small tables for any n."""
+    """base**0 ... base**(n-1) modulo 2**64; tables for ordinary lengths are kept."""
+    return _kept(base)[:n] if n <= 2 * SLICE else _powers(base, n)
+
+
+@lru_cache(maxsize=4)
+def _kept(base: int) -> np.ndarray:
+    return _powers(base, 2 * SLICE)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
     b = 4096
     low = np.cumprod(np.concatenate([np.ones(1, U), np.full(b - 1, base, U)]))
     high = np.cumprod(np.concatenate([np.ones(1, U), np.full(n // b, pow(base, b, 2**64), U)]))
@@ -76,7 +90,10 @@ class Spans:
         n = len(units)
         base = ODD[which]
         self.sums = np.zeros(n + 1, U)
-        np.cumsum((units.astype(U) + U(1)) * powers(base, n), out=self.sums[1:])
+        term = units.astype(U)
+        term += U(1)
+        term *= powers(base, n)
+        np.cumsum(term, out=self.sums[1:])
         self.back = powers(pow(base, -1, 2**64), n + 1)
 
     def __call__(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -107,6 +124,9 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n - w + 1], ahead[w - 1:n])
 
 
-def per_text(off: np.ndarray) -> np.ndarray:
-    """Index of the text each unit belongs to."""
-    return np.repeat(np.arange(len(off) - 1), np.diff(off))
+def distinct(a: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting (quicker here than hashing)."""
+    a = np.sort(a)
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != a[:-1]
+    return a[new]
