@@ -13,8 +13,10 @@ under one anchor hash.
 4. Groups (anchors) with several contents are resolved from the text itself by the
    operator's own index, many groups per task and at most ``GROUP_LIMIT`` contents per
    group.  Larger groups (a passage in a third of all documents, each time between
-   other neighbours) are split down to single windows, whose copies collapse by the
-   same 128-bit hash; so no group grows with the corpus.
+   other neighbours) are split by ``LADDER``: windows that start within so many units of
+   each other relative to the anchor form a cell, named by the hash of what all its windows
+   have in common.  Equal windows share their cell, contents collapse again, and what is
+   still too large goes down to cells of one window, where equal names are equal windows.
 5. Marked windows go back to the documents by key.
 """
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,7 @@ from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.store import row_key, saved, text_of
 
 GROUP_LIMIT = 1000
+LADDER = (0.05, 0.0)  # cell widths as shares of the window; the last is one window
 BUCKET_BYTES = 1 << 20
 
 OCCURRENCES = ("doc_id bigint, key bigint, lo int, n int, byte_lo int, byte_n int, "
@@ -58,7 +62,7 @@ def word_units(data: np.ndarray, off: np.ndarray):
 
 
 def super_windows(units: np.ndarray, off: np.ndarray, window: int, gram: int):
-    """(first window, last window, anchor hash, h1, h2) of every super-window; positions in units."""
+    """(first window, last window, anchor hash, h1, h2, anchor place) of every super-window; positions in units."""
     n = len(units)
     if n < window:
         return None
@@ -82,7 +86,7 @@ def super_windows(units: np.ndarray, off: np.ndarray, window: int, gram: int):
     stop = np.ones(len(anchor), bool)
     stop[:-1] = new[1:] | ~valid[1:]
     hi = np.flatnonzero(valid & stop)
-    return lo, hi, grams[anchor[lo]], first(lo, hi + window), second(lo, hi + window)
+    return lo, hi, grams[anchor[lo]], first(lo, hi + window), second(lo, hi + window), anchor[lo]
 
 
 def occurrences(units: Units):
@@ -94,7 +98,7 @@ def occurrences(units: Units):
                 found = super_windows(u, uoff, units.window, units.gram)
                 if found is None:
                     continue
-                lo, hi, anchor, h1, h2 = found
+                lo, hi, anchor, h1, h2, _ = found
                 doc = np.searchsorted(uoff, lo, "right") - 1
                 last = hi + units.window - 1
                 b_lo = lo if starts is None else starts[lo]
@@ -123,21 +127,47 @@ def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(fields[n] for n in names), pa.array(cut, pa.binary())], names=[*names, "piece"])
 
 
-def _single_windows(units: Units):
+CELLS = ("anchor bigint, h1 bigint, h2 bigint, copies bigint, base int, at int, n int, "
+         "g bigint, c1 bigint, c2 bigint, rest int, piece binary")
+
+
+def _cells(units: Units, width: int):
+    """Cells of ``width`` windows of oversize groups' contents; ``rest`` is the anchor's place after the cell's first window."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i in range(0, len(pdf), 256):
-                part = pdf.iloc[i:i + 256]
+                part = pdf.iloc[i:i + 256].reset_index(drop=True)
                 off = np.concatenate([[0], np.cumsum(part["piece"].map(len).to_numpy())]).astype(np.int64)
-                u, uoff, _, _ = units.cut(np.frombuffer(b"".join(part["piece"]), np.uint8), off)
+                raw = b"".join(part["piece"])
+                u, uoff, starts, ends = units.cut(np.frombuffer(raw, np.uint8), off)
                 count = np.diff(uoff) - units.window + 1
+                if "rest" in part:
+                    rest = part["rest"].to_numpy()
+                else:
+                    lo, _, _, _, _, place = super_windows(u, uoff, units.window, units.gram)
+                    rest = place[np.searchsorted(lo, uoff[:-1])] - uoff[:-1]
+                # The cell of a window follows from how far before the anchor it starts.
                 row = np.repeat(np.arange(len(part)), count)
                 at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                lo = uoff[row] + at
+                before = rest[row] - at
+                cell = before // width
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])
+                head = np.flatnonzero(new)
+                n = np.diff(np.append(head, len(row)))
+                row, at, cell, before = row[head], at[head], cell[head], before[head]
+                anchor = uoff[row] + rest[row]
+                common_lo, common_hi = anchor - cell * width, anchor - (cell * width + width - 1) + units.window
+                first, second = tv.Spans(u), tv.Spans(u, 1)
+                lo, hi = uoff[row] + at, uoff[row] + at + n - 1 + units.window
                 out = part[["anchor", "h1", "h2", "copies"]].iloc[row].reset_index(drop=True)
-                out["at"] = at.astype(np.int32)
-                out["w1"] = tv.Spans(u)(lo, lo + units.window).view(np.int64)
-                out["w2"] = tv.Spans(u, 1)(lo, lo + units.window).view(np.int64)
+                out["base"] = (part["base"].to_numpy()[row] if "base" in part else 0)
+                out["at"], out["n"] = at.astype(np.int32), n.astype(np.int32)
+                out["g"] = tv.mix(first(common_lo, common_hi) + cell.astype(tv.U)).view(np.int64)
+                out["c1"], out["c2"] = first(lo, hi).view(np.int64), second(lo, hi).view(np.int64)
+                out["rest"] = before.astype(np.int32)
+                b_lo, b_hi = (lo, hi) if starts is None else (starts[lo], ends[hi - 1])
+                out["piece"] = [raw[a:b] for a, b in zip(b_lo.tolist(), b_hi.tolist(), strict=True)]
                 yield out
     return run
 
@@ -171,12 +201,13 @@ def repeated_windows(docs: DataFrame, units: Units, repeated, group_limit: int =
     ids = ["anchor", "h1", "h2"]
     src = docs.select("doc_id", "key", "text")
     occ = saved(src.mapInArrow(occurrences(units), OCCURRENCES), "occurrences")
-    again = occ.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # Written first: the join then reads exchanges on both sides, and a hot anchor's rows can be split.
+    again = saved(occ.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "again")
     occ = saved(occ.join(again, "anchor", "left_semi"), "anchored")
     pieces = occ.groupBy(*ids).agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "key", "n", "byte_lo", "byte_n")])
     contents = F.count("*").alias("contents")
     pieces = saved(pieces, "contents")
-    several = pieces.groupBy("anchor").agg(contents).where("contents > 1")
+    several = saved(pieces.groupBy("anchor").agg(contents).where("contents > 1"), "several")
     unclear = pieces.join(several, "anchor")
     wanted = unclear.groupBy("doc_id", "key").agg(F.collect_list(
         F.struct(*ids, "copies", "contents", "byte_lo", "byte_n")).alias("pieces"))
@@ -186,19 +217,39 @@ def repeated_windows(docs: DataFrame, units: Units, repeated, group_limit: int =
     # Rows that repeat id and text share their key: each piece once again.
     cut = saved(cut.dropDuplicates(ids), "pieces")
 
-    total = cut.agg(F.sum(F.length("piece"))).first()[0] or 0
-    buckets = int(total // bucket_bytes) + 1
-    small = cut.where(F.col("contents") <= group_limit).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    marks = "anchor bigint, h1 bigint, h2 bigint, at int, m int"
-    resolved = small.groupBy("bucket").applyInPandas(_dropping("bucket", resolver(units, repeated)), marks)
-
-    single = saved(cut.where(F.col("contents") > group_limit).mapInPandas(
-        _single_windows(units), "anchor bigint, h1 bigint, h2 bigint, copies bigint, at int, w1 bigint, w2 bigint"), "single")
-    common = single.groupBy("w1", "w2").agg(F.sum("copies").alias("c")).where("c > 1").select("w1", "w2")
-    split = single.where("copies = 1").join(common, ["w1", "w2"], "left_semi").select(*ids, "at", F.lit(1).alias("m"))
+    def resolved(groups: DataFrame) -> DataFrame:
+        """Marks (anchor, h1, h2, at, m) within the single contents of ``groups``."""
+        total = groups.agg(F.sum(F.length("piece"))).first()[0] or 0
+        bucket = F.pmod(F.xxhash64("anchor"), F.lit(int(total // bucket_bytes) + 1))
+        return groups.select(*ids, "copies", "piece").withColumn("bucket", bucket).groupBy("bucket").applyInPandas(
+            _dropping("bucket", resolver(units, repeated)), "anchor bigint, h1 bigint, h2 bigint, at int, m int")
+
+    marks = [resolved(cut.where(F.col("contents") <= group_limit))]
+    large = cut.where(F.col("contents") > group_limit).drop("contents")
+    for step in LADDER:
+        cells = saved(large.mapInPandas(_cells(units, max(1, int(step * units.window))), CELLS), "cells")
+        if cells.isEmpty():
+            break
+        named = cells.groupBy("g", "c1", "c2").agg(F.sum("copies").alias("total"))
+        named = saved(named, "named")
+        sizes = saved(named.groupBy("g").agg(contents), "sizes")
+        cells = saved(cells.join(named, ["g", "c1", "c2"]).join(sizes, "g"), "placed")
+        marks.append(cells.where("copies = 1 and total > 1").select(*ids, (F.col("base") + F.col("at")).alias("at"), F.col("n").alias("m")))
+        if step:
+            several_ = cells.where(F.col("contents").between(2, group_limit))
+            groups = several_.dropDuplicates(["g", "c1", "c2"]).select(
+                F.col("g").alias("anchor"), F.col("c1").alias("h1"), F.col("c2").alias("h2"), F.col("total").alias("copies"), "piece")
+            inner = resolved(groups).select(F.col("anchor").alias("g"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("at").alias("i"), "m")
+            marks.append(several_.where("total = 1").join(inner, ["g", "c1", "c2"]).select(
+                *ids, (F.col("base") + F.col("at") + F.col("i")).cast("int").alias("at"), "m"))
+            large = cells.where((F.col("total") == 1) & (F.col("contents") > group_limit)).select(
+                *ids, "copies", (F.col("base") + F.col("at")).cast("int").alias("base"), "rest", "piece")
+            # What is repeated inside an oversize cell must still be met by the others: one reference of each.
+            known = cells.where((F.col("total") > 1) & (F.col("contents") > group_limit)).dropDuplicates(["g", "c1", "c2"])
+            large = large.unionByName(known.select(*ids, F.col("total").alias("copies"), F.lit(0).alias("base"), "rest", "piece"))
 
     whole = pieces.where("copies > 1").select(*ids, F.lit(0).alias("at"), F.col("n").alias("m"))
-    found = whole.unionByName(resolved).unionByName(split)
+    found = reduce(DataFrame.unionByName, marks, whole)
     spans = occ.join(found, ids).select("doc_id", "key", F.struct((F.col("lo") + F.col("at")).alias("at"), "m").alias("span"))
     return spans.groupBy("doc_id", "key").agg(F.collect_list("span").alias("spans"))
 
