@@ -1,25 +1,81 @@
-"""Corpus pipeline: the stages between raw documents and training tokens."""
+"""Corpus pipeline: from raw documents to token ids.
+
+Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and calls one operator.  All but the
+last return the columns of their input, for the documents that stay.  ``run`` writes what
+a stage returns to the shared checkpoint folder and hands the stored table to the next.
+
+Defined cases: rows repeating id and text are copies, of which exact deduplication leaves
+one; two rows that share an id but not their text are different documents; a null id is a
+value like any other; an empty table stays empty through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsanalytics.llm.op1_exact_dedup import exact_dedup
+from opsanalytics.llm.op1_exact_dedup import SPACE, exact_dedup
+from opsanalytics.llm.op3_quality_crf import learn, score, training_rows
+from opsanalytics.llm.op5_latent_decontamination import decontaminate
+from opsanalytics.llm.op6_pieces import encode
+from opsanalytics.llm.op7_jaccard_join import jaccard_join
+from opsanalytics.llm.store import saved, table, text_of
 
+# The classifier's curve, the band hashes and the latent basis are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact deduplication: one document of each group of equal texts stays."""
-    kept = exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose line-level quality score reaches the cut stay."""
+    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
+    return score(docs, model, keep_text=True).where("predicted = 1").select("row.*")
+
+
+def _stay(docs: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
+    """Rows of ``docs`` whose keys (null-safe) are in ``ids``."""
+    named = ids.select(*[F.col(k).alias(f"stay_{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"stay_{k}")) for k in keys]
+    return docs.join(named, on, "left_semi")
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays: the longest original, then the smallest id."""
+    kept = saved(exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows")), "kept")
+    rows = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_of(), SPACE, ""), 256))
+    rows = _stay(rows, kept, "doc_id", "text_sha256")
+    if not kept.where("rows > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "text_sha256"])
+    return rows.select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group linked by shingle similarity stays."""
+    heads = jaccard_join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
+    return _stay(docs, heads, "doc_id")
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, or a paraphrase of one, go."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="row").where("not contaminated").select("row.*")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode(docs).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
-STAGES = [("exact_dedup", drop_copies)]
+STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact),
+    ("near_duplicates", near),
+    ("decontamination", clean_of_benchmark),
+    ("tokens", tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -207,16 +207,15 @@ def _score(model: Model):
             score = np.zeros(batch.num_rows)
             for i, j, data, off in tv.slices(batch.column("text")):
                 score[i:j] = model.score(*line_features(data, off))
-            rest = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(score)], names=[*rest, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
     return run
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with score and predicted."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
-    src = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).alias("text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double"])
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """(row, score, predicted): ``row`` holds the columns of ``docs``, without the text unless it is to be kept."""
+    kept = [F.col(f"`{f}`") for f in docs.columns if keep_text or f != text_col]
+    src = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"))
+    schema = f"row {src.schema['row'].dataType.simpleString()}, score double"
     return src.mapInArrow(_score(model), schema).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
@@ -231,4 +230,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
-    return score(docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out")), model)
+    scored = score(docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out")), model)
+    return scored.select("row.doc_id", "row.held_out", "score", "predicted")

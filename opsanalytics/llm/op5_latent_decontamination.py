@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -275,30 +276,26 @@ def _search(mapped: np.ndarray, bench: Bench):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   items_at_once: int = ITEMS) -> DataFrame:
-    """One row per document: doc_id, text, contaminated, leaks (item_id, share) in order of item_id."""
-    src = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    """One row per document: its id (any column, also a struct), contaminated, leaks (item_id, share) in order of item_id."""
+    src = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     bench = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     n = bench.count()
     if not n:
         none = F.array().cast("array<struct<item_id:bigint,share:double>>")
-        return src.select("doc_id", "text", F.lit(False).alias("contaminated"), none.alias("leaks"))
+        return src.select(F.col("id").alias(id_col), F.lit(False).alias("contaminated"), none.alias("leaks"))
     idf = inverse_frequencies(src.select("text"))
-    basis = latent_basis(src.select("text"), idf)
-    mapped = np.ascontiguousarray(basis * idf[:, None])
+    mapped = np.ascontiguousarray(latent_basis(src.select("text"), idf) * idf[:, None])
     parts = -(-n // items_at_once)
-    found = src.withColumn("kept", F.col("text"))
-    out = None
+    schema = f"id {src.schema['id'].dataType.simpleString()}, leaks array<struct<item_id:bigint,share:double>>"
+    found = []
     for k in range(parts):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # about items_at_once rows
-        kind = src.schema["doc_id"].dataType.simpleString()
-        one = found.select("doc_id", "kept", "text").mapInArrow(
-            _search(mapped, bench_of(rows, idf, mapped)), f"doc_id {kind}, kept string, leaks array<struct<item_id:bigint,share:double>>")
-        if parts > 1:
-            one = one.withColumn("rid", F.monotonically_increasing_id())
-        out = one if out is None else out.unionByName(one)
+        found.append(src.mapInArrow(_search(mapped, bench_of(rows, idf, mapped)), schema))
+    out = found[0]
     if parts > 1:  # the same scan each time, so row numbers agree
-        out = out.groupBy("rid", "doc_id", "kept").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
-    return out.select("doc_id", F.col("kept").alias("text"), (F.size("leaks") > 0).alias("contaminated"), "leaks")
+        out = reduce(DataFrame.unionByName, [f.withColumn("rid", F.monotonically_increasing_id()) for f in found])
+        out = out.groupBy("rid", "id").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    return out.select(F.col("id").alias(id_col), (F.size("leaks") > 0).alias("contaminated"), "leaks")
 
 
 @corpus_query("op5_latent_decontamination")
