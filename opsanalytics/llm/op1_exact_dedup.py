@@ -1,7 +1,7 @@
 """Exact deduplication by content-defined chunk recipes (DataFrame functions only).
 
-Each normalised text is cut into content-defined chunks: a chunk ends where a pair
-of letters from two fixed classes occurs, at least ``MIN_CHUNK`` characters after
+Each normalised text is cut into content-defined chunks: a chunk ends where three
+characters from fixed classes follow each other, at least ``MIN_CHUNK`` characters after
 its start, or after ``MAX_CHUNK`` characters at the latest.  Equal texts therefore
 have equal chunk sequences, and an edit changes only the chunks near it.
 
@@ -31,10 +31,10 @@ from opsanalytics.llm.catalogue import corpus_query
 from opsanalytics.llm.store import saved, table, text_of
 
 SPACE = r"[\x20\x09-\x0D]+"
-MIN_CHUNK, MAX_CHUNK = 256, 4096
-# About one pair of neighbouring characters in some hundreds ends a chunk in prose
-# of Latin-script languages; other scripts end chunks at their sentence marks.
-CUT = r"(?:[bdghkmvw0-4][cfjpuxyz5-9]|[\u3002\uFF01\uFF1F\u0964\u061F])"
+MIN_CHUNK, MAX_CHUNK = 512, 4096
+# In Latin-script prose some dozens of characters lie between two places that can end a
+# chunk; other scripts end chunks at their sentence marks.
+CUT = r"(?:[a-m0-4][b-np-z][ckmuvwxyz13579.]|[\u3002\uFF01\uFF1F\u0964\u061F])"
 CHUNK = rf"(?s).{{{MIN_CHUNK},{MAX_CHUNK}}}?{CUT}|.{{1,{MAX_CHUNK}}}"
 
 Digest = Callable[[Column], Column]
