@@ -130,12 +130,15 @@ def verify(n: int, threshold: float):
         by_rid = np.unique(t.column("rid").to_numpy(), return_index=True)[1]
         t = t.take(pa.array(by_rid)).combine_chunks()
         comp, rid, weight, block = (t.column(c).to_numpy() for c in ("component", "rid", "weight", "block"))
+        cross = t.column("cross").to_numpy(zero_copy_only=False)
         parts = [shingles(data, off, n) for _, _, data, off in tv.slices(tv.folded(t.column("text").chunk(0)), 1 << 40)]
         sets, soff = parts[0]
         linked, root = np.zeros(len(rid), np.int64), rid.copy()
         order = np.argsort(comp, kind="stable")
         for idx in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
             first, last = block[idx].min(), block[idx].max()
+            if cross[idx[0]] and first == last:  # the pair's other block is empty
+                continue
             left, right = idx[block[idx] == first], idx[block[idx] == last]
             if first == last:
                 right = left
@@ -186,9 +189,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     placed = placed.withColumn("other", other).withColumn("task", F.when(
         F.col("blocks") == 1, F.struct(F.lit(-1).cast("bigint").alias("c"), F.pmod(F.xxhash64("component"), F.lit(tasks)).cast("int").alias("a"), F.lit(0).alias("b")))
         .otherwise(F.struct(F.col("component").alias("c"), F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))))
-    placed = placed.select("doc_id", "key", "rid", "component", F.col("size").alias("weight"), "block", "blocks", "task")
+    placed = placed.select("doc_id", "key", "rid", "component", F.col("size").alias("weight"), "block", "blocks", "task",
+                           (F.col("block") != F.col("other")).alias("cross"))
     with_text = (src.join(placed, [src.doc_id.eqNullSafe(placed.doc_id), src.key == placed.key])
-                 .select("task", "rid", "component", "weight", "block", "blocks", "text"))
+                 .select("task", "rid", "component", "weight", "block", "blocks", "cross", "text"))
     checked = saved(with_text.groupBy("task").applyInArrow(
         _dropping("task", verify(n, threshold)), "rid bigint, linked bigint, root bigint, blocks int"), "verified")
 
