@@ -340,7 +340,8 @@ def _decode(model: str):
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``encoded`` with a column ``decoded``: the text of ``ids``; null ids give an empty text."""
-    return encoded.mapInArrow(_decode(model), encoded.schema.add("decoded", "string"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields), "decoded string"])
+    return encoded.mapInArrow(_decode(model), schema)
 
 
 @corpus_query("op6_pieces")
