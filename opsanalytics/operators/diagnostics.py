@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where
+from opsanalytics.session import cut_lineage
 
 
 def group_zscore(df: DataFrame, by: Sequence[str], value: str, ddof: int = 1) -> DataFrame:
-    """z = (x - group mean) / group std, as a column ``z_<value>``."""
+    """z = (x - group mean) / group std, as a column ``z_<value>``; NULL where the group does not vary."""
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     stats = df.groupBy(*by).agg(F.avg(value).alias("_mu"), std(value).alias("_sd"))
+    if by:  # stored first: its real size decides the join, before the rows are shuffled by a few group keys
+        stats = cut_lineage(stats)
     out = df.join(stats, list(by)) if by else df.withColumns({"_mu": stats.select("_mu").scalar(), "_sd": stats.select("_sd").scalar()})
-    return out.withColumn(f"z_{value}", (F.col(value) - F.col("_mu")) / F.col("_sd")).drop("_mu", "_sd")
+    return out.withColumn(f"z_{value}", F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd"))).drop("_mu", "_sd")
 
 
 def flag_low_z(df: DataFrame, by: Sequence[str], value: str, cut: float = -2.5) -> DataFrame:
@@ -35,14 +38,14 @@ def global_z_outliers(df: DataFrame, value: str, cut: float = 3.0, ddof: int = 1
     """|z| > cut against the whole column; a missing value is never an outlier."""
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     st = df.agg(F.struct(F.avg(value).alias("mu"), std(value).alias("sd"))).scalar()  # one subquery
-    z = (F.col(value) - st["mu"]) / st["sd"]
+    z = F.try_divide(F.col(value) - st["mu"], st["sd"])  # NULL, and so no outlier, if the column does not vary
     return df.withColumn(f"z_{value}", z).filter(F.coalesce(F.abs(F.col(f"z_{value}")) > cut, F.lit(False)))
 
 
 def outlier_counts(df: DataFrame, cols: Sequence[str], cut: float = 3.0) -> DataFrame:
-    """Per numeric column, rows with |z| > cut (population std), long form."""
+    """Per numeric column, rows with |z| > cut (population std), long form; none in a column that does not vary."""
     st = df.agg(F.struct(*[F.avg(c).alias(f"{c}__mu") for c in cols], *[F.stddev_pop(c).alias(f"{c}__sd") for c in cols])).scalar()
-    counts = [count_where(F.abs((F.col(c) - st[f"{c}__mu"]) / st[f"{c}__sd"]) > cut).alias(c) for c in cols]
+    counts = [count_where(F.abs(F.try_divide(F.col(c) - st[f"{c}__mu"], st[f"{c}__sd"])) > cut).alias(c) for c in cols]
     wide = df.agg(*counts)
     return wide.unpivot([], list(cols), "column", "n_outliers")
 
@@ -86,33 +89,35 @@ def feature_mismatches(df: DataFrame, stored: str, recomputed: str, tol: float =
     )
 
 
-def binned_kde(df: DataFrame, value: str, by: Sequence[str] = (), grid: int = 64, fine_bins: int = 1024) -> DataFrame:
+def binned_kde(df: DataFrame, value: str, by: Sequence[str] = (), grid: int = 64, fine_bins: int = 1024, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per group on a grid (Scott's bandwidth).
 
-    The data are first reduced to ``fine_bins`` bin counts per group (an
-    aggregate); each bin then spreads its weight over the grid points with
-    ``explode`` of a fixed grid -- work is groups x bins x grid, independent of
-    the row count.  Binning moves each point by at most half a fine bin.
+    The grid reaches ``cut`` bandwidths beyond the smallest and largest value.  The
+    data are first reduced to ``fine_bins`` bin counts per group (an aggregate);
+    each bin then spreads its weight over the grid points with ``explode`` of a
+    fixed grid -- work is groups x bins x grid, independent of the row count.
+    Binning moves each point by at most half a fine bin.  A group of one value
+    has no bandwidth: its grid points coincide and the density is NULL.
     """
     stats = df.groupBy(*by).agg(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd")
     )
     present = df.filter(F.col(value).isNotNull())
-    if by:
-        x = present.join(stats, list(by))
+    if by:  # stored first: its real size decides the join
+        x = present.join(cut_lineage(stats), list(by))
     else:  # one global row: scalar subqueries, no join
         x = present.withColumns({c: stats.select(c).scalar() for c in ("_lo", "_hi", "_n", "_sd")})
     width = (F.col("_hi") - F.col("_lo")) / fine_bins
-    b = F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(fine_bins - 1))
+    b = F.coalesce(F.least(F.floor(F.try_divide(F.col(value) - F.col("_lo"), width)), F.lit(fine_bins - 1)), F.lit(0))
     bins = x.groupBy(*by, "_lo", "_hi", "_n", "_sd", b.alias("_b")).agg(F.count("*").alias("_w"))
     center = F.col("_lo") + (F.col("_b") + 0.5) * (F.col("_hi") - F.col("_lo")) / fine_bins
-    h = F.col("_sd") * F.pow(F.col("_n"), -0.2)
+    h = F.coalesce(F.col("_sd"), F.lit(0.0)) * F.pow(F.col("_n"), -0.2)
     pts = bins.select(
         *by, "_lo", "_hi", "_n", center.alias("_c"), h.alias("_h"), "_w",
         F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
     )
-    gx = F.col("_lo") + F.col("point") * (F.col("_hi") - F.col("_lo")) / (grid - 1)
-    u = (gx - F.col("_c")) / F.col("_h")
-    k = F.col("_w") * F.exp(-0.5 * u * u) / (F.col("_h") * math.sqrt(2 * math.pi))
-    dens = pts.groupBy(*by, "point", gx.alias("x")).agg((F.sum(k) / F.first("_n")).alias("density"))
-    return dens
+    left, right = F.col("_lo") - cut * F.col("_h"), F.col("_hi") + cut * F.col("_h")
+    gx = left + F.col("point") * (right - left) / (grid - 1)
+    u = F.try_divide(gx - F.col("_c"), F.col("_h"))
+    k = F.try_divide(F.col("_w") * F.exp(-0.5 * u * u), F.col("_h") * math.sqrt(2 * math.pi))
+    return pts.groupBy(*by, "point", gx.alias("x")).agg((F.sum(k) / F.first("_n")).alias("density"))

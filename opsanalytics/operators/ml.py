@@ -91,10 +91,14 @@ def preprocess_stages(numeric: Sequence[str], categorical: Sequence[str], scale:
     return stages
 
 
-def fill_most_frequent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """M3: missing categorical <- most frequent value (ties -> smallest)."""
-    modes = df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first().asDict()
-    return df.na.fill({c: v for c, v in modes.items() if v is not None})
+def fill_most_frequent(df: DataFrame, cols: Sequence[str], learned_on: DataFrame | None = None) -> DataFrame:
+    """M3: missing categorical <- most frequent value (ties -> smallest) of ``learned_on``, the training rows."""
+    rows = df if learned_on is None else learned_on
+    modes = {}
+    for c in cols:  # counts per value, then one row: no map of all values in one task
+        top = rows.filter(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).first()
+        modes |= {c: top[0]} if top else {}
+    return df.na.fill(modes) if modes else df
 
 
 def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
@@ -126,9 +130,11 @@ def bagged_trees(label: str = "label", n: int = 40, depth: int = 5, seed: int =
                                   featureSubsetStrategy="all", bootstrap=True, seed=seed)
 
 
-def forest(label: str = "label", n: int = 400, min_leaf: int = 2, weight_col: str | None = "weight", seed: int = 42):
-    """M7: random forest, minimum leaf size, balanced class weights."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n, minInstancesPerNode=min_leaf, seed=seed)
+def forest(label: str = "label", n: int = 400, min_leaf: int = 2, weight_col: str | None = "weight", seed: int = 42, depth: int = 20):
+    """M7: random forest, minimum leaf size, balanced class weights.
+
+    The leaf size ends the trees; ``depth`` (at most 30 in Spark) is only a bound above it."""
+    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n, minInstancesPerNode=min_leaf, seed=seed, maxDepth=depth)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
@@ -233,7 +239,7 @@ def pick_threshold(sweep: DataFrame) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """AUC by the rank-sum formula, ties counted half.
+    """AUC by the rank-sum formula, ties counted half; NULL if one class is missing.
 
     Counts per distinct score, then negatives strictly below each score come
     from a running sum computed per score bucket plus bucket offsets (the same
@@ -251,7 +257,7 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
     x = per.join(off.select("_b", "_off"), "_b").withColumn("neg_below", F.col("_off") + F.coalesce(F.sum("neg").over(inb), F.lit(0)))
     agg = x.agg(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("wins"),
                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select((F.col("wins") / (F.col("P") * F.col("N"))).alias("auc"), F.col("P").cast("bigint").alias("n_pos"),
+    return agg.select(F.try_divide(F.col("wins"), F.col("P") * F.col("N")).alias("auc"), F.col("P").cast("bigint").alias("n_pos"),
                       F.col("N").cast("bigint").alias("n_neg"))
 
 
@@ -316,7 +322,7 @@ def _block_knn(k: int):
     return fn
 
 
-def knn_within(points: DataFrame, k: int, block_rows: int = 50_000, id_col: str = "id", x_col: str = "x") -> DataFrame:
+def knn_within(points: DataFrame, k: int, block_rows: int = 4_000, id_col: str = "id", x_col: str = "x") -> DataFrame:
     """Exact k nearest neighbours of every point among the same points.
 
     Points are cut into B hash blocks of about ``block_rows``; each (query
@@ -346,7 +352,7 @@ def knn_within(points: DataFrame, k: int, block_rows: int = 50_000, id_col: str
 
 
 def smote(train: DataFrame, label: str = "label", features: str = "features", k: int = 5, seed: int = 42,
-          block_rows: int = 50_000, id_col: str = "id") -> DataFrame:
+          block_rows: int = 4_000, id_col: str = "id") -> DataFrame:
     """M9: synthetic minority rows until the classes balance.
 
     Each minority row spawns ``ceil`` or ``floor`` of (needed / m) samples;
@@ -362,6 +368,8 @@ def smote(train: DataFrame, label: str = "label", features: str = "features", k:
     n_max = counts.agg(F.max("n")).scalar()
     mino = train.filter(F.col(label) == minority).select(F.col(id_col).cast("long").alias("id"),
                                                          vector_to_array(F.col(features)).alias("x"))
+    if not mino.limit(2).count() == 2:
+        raise ValueError("SMOTE needs at least two minority rows: a single one has no neighbour")
     nn = knn_within(mino, k, block_rows)
     need = n_max - n_min
     base = F.floor(need / n_min)
@@ -379,7 +387,8 @@ def smote(train: DataFrame, label: str = "label", features: str = "features", k:
     nbx = mino.select(F.col("id").alias("cid"), F.col("x").alias("nx"))
     j = j.join(nbx, "cid")
     newx = F.zip_with("x", "nx", lambda a, b: a + F.col("gap") * (b - a))
-    synth = j.select((-(F.col("id") * 1000 + F.col("j"))).alias(id_col), array_to_vector(newx).alias(features),
+    # Copies of a row number at most ceil(need / n_min) < base + 2, so the ids are distinct (and negative for ids from 0 on).
+    synth = j.select((-(F.col("id") * (base + 2) + F.col("j"))).alias(id_col), array_to_vector(newx).alias(features),
                      F.lit(minority).cast(train.schema[label].dataType).alias(label))
     keep = [id_col, features, label]
     return train.select(*keep).withColumn("synthetic", F.lit(False)).unionByName(synth.withColumn("synthetic", F.lit(True)))

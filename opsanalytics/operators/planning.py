@@ -169,11 +169,13 @@ def horizon_means(fc: DataFrame) -> DataFrame:
 
 
 def holdout_scores(actual: DataFrame, predicted: DataFrame, keys: Sequence[str], y: str = "y", yhat: str = "yhat") -> DataFrame:
-    """T10 + J8: inner join actuals with predictions; MAPE %, RMSE, MAE and a grade."""
+    """T10 + J8: inner join actuals with predictions; MAPE %, RMSE, MAE and a grade.
+
+    An actual of 0 has no percentage error: it is left out of MAPE and counts in the rest."""
     j = actual.select(*keys, F.col(y).alias("_y")).join(predicted.select(*keys, F.col(yhat).alias("_p")), list(keys))
     err = F.col("_y") - F.col("_p")
     out = j.agg(
-        (F.avg(F.abs(err) / F.col("_y")) * 100).alias("mape_pct"),
+        (F.avg(F.try_divide(F.abs(err), F.col("_y"))) * 100).alias("mape_pct"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
         F.avg("_y").alias("mean_actual"),
@@ -192,12 +194,12 @@ def holdout_scores(actual: DataFrame, predicted: DataFrame, keys: Sequence[str],
 def safety_stock(daily: DataFrame, site: str, demand: str, lead_times: DataFrame, service_level: float = SERVICE_LEVEL) -> DataFrame:
     """Z * sigma * sqrt(L), reorder point mu*L + SS, order qty 7 mu, max stock.
 
-    ``lead_times`` (site, lead_time_d) is one row per site: broadcast.
+    ``lead_times`` (site, lead_time_d) is one row per site; its size decides how it is joined.
     """
     z = normal_ppf(service_level)
     st = daily.groupBy(site).agg(F.avg(demand).alias("mean_demand"), F.stddev_samp(demand).alias("std_dev"),
                                  F.count(demand).alias("n_days"))
-    x = st.join(F.broadcast(lead_times), site)
+    x = st.join(lead_times, site)
     ss = F.lit(z) * F.col("std_dev") * F.sqrt(F.col("lead_time_d"))
     rop = F.col("mean_demand") * F.col("lead_time_d") + F.col("safety_stock")
     return x.withColumn("safety_stock", ss).withColumns(
@@ -208,7 +210,7 @@ def safety_stock(daily: DataFrame, site: str, demand: str, lead_times: DataFrame
 def stockout_days(daily: DataFrame, site: str, demand: str, params: DataFrame) -> DataFrame:
     """Days with demand above mean + 0.5 std (no buffer) vs mean + SS / sqrt(L)."""
     p = params.select(site, "mean_demand", "std_dev", "safety_stock", "lead_time_d")
-    x = daily.join(F.broadcast(p), site)
+    x = daily.join(p, site)
     d = F.col(demand)
     no_ss = d > F.col("mean_demand") + NO_SS_STD_FACTOR * F.col("std_dev")
     with_ss = d > F.col("mean_demand") + F.col("safety_stock") / F.sqrt(F.col("lead_time_d"))
@@ -232,7 +234,8 @@ def allocate(sites: DataFrame, scenario: str = "scenario", required: str | None
     Minimums first; the extra needed to reach ``required`` goes to the cheapest
     sites first, capped at each site's headroom.  Infeasible when the minimums
     exceed supply or a minimum exceeds its capacity (or the required total
-    cannot be placed).  Windows run per scenario over its few sites.
+    cannot be placed).  Windows run per scenario over its few sites.  Without
+    supply, utilisation is NULL; without cost, so are the cost shares.
     """
     x = sites.withColumn("headroom", F.col("max_qty") - F.col("min_qty"))
     w_all = Window.partitionBy(scenario)
@@ -253,8 +256,8 @@ def allocate(sites: DataFrame, scenario: str = "scenario", required: str | None
     return x.withColumns(
         {
             "remaining": F.col("supply") - F.col("total_alloc"),
-            "utilization_pct": F.col("total_alloc") * 100.0 / F.col("supply"),
-            "cost_share_pct": F.col("site_cost") * 100.0 / F.col("total_cost"),
+            "utilization_pct": F.try_divide(F.col("total_alloc") * 100.0, F.col("supply")),
+            "cost_share_pct": F.try_divide(F.col("site_cost") * 100.0, F.col("total_cost")),
         }
     ).drop("headroom", "bad_site")
 

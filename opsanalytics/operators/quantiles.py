@@ -1,21 +1,22 @@
 """Exact quantiles without buffering a group in one task.
 
-``percentile``/``median`` aggregates keep every value of a group in memory; a
-hot group would hold a third of the data in one task.  Here each order
-statistic is found by range refinement:
+``percentile``/``median`` aggregates keep every value of a group in memory; a hot
+group would hold a third of the data in one task.  Here order statistics come
+from counts:
 
-1. per group, equal-width bins over [min, max] are counted (partial aggregate,
-   map-side combine) and each target rank picks the bin that holds it;
-2. on later passes each row is matched only against the open target ranges
-   of its group (one array per group, ``filter`` + ``inline``: no replication)
-   and the chosen bin is refined again;
-3. once a bin holds at most ``LEAF_ROWS`` rows, or a single value, its values
-   are read and the exact order statistic taken.
+1. rows per (group, distinct value), with partial aggregation, so a value that
+   two thirds of the rows share is one row;
+2. these are range-partitioned by (group, value); each partition's total per group
+   gives the rank at which the partition starts;
+3. only partitions that hold a wanted rank are read again, and a running count in
+   value order inside the partition finds the value.
+
+The work does not depend on how the values are spread, and there is nothing to
+converge.  NaN sorts after every other value (Spark's own order), so it is the
+largest order statistic; NULL values are left out; a group without values has no row.
 
 Quantiles interpolate linearly between the order statistics at floor/ceil of
-(n - 1) * p, the definition of Spark ``percentile`` and DuckDB
-``quantile_cont``.  The small per-target state is cut with a reliable
-checkpoint in the shared checkpoint folder after each pass.
+(n - 1) * p, the definition of Spark ``percentile`` and DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
@@ -27,20 +28,6 @@ from pyspark.sql import functions as F
 
 from opsanalytics.session import cut_lineage
 
-BINS = 4096
-LEAF_ROWS = 4096
-MAX_PASSES = 16
-
-
-def _pick(counts: DataFrame, targets: DataFrame, keys_bin: list[str], keys_t: list[str]) -> DataFrame:
-    """Choose, per target, the bin holding rank ``k`` (``below`` rows lie before the range)."""
-    w = Window.partitionBy(*keys_bin).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # <= BINS rows
-    c = counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    j = c.join(targets, keys_bin)
-    hit = (F.col("below") + F.col("before") <= F.col("k")) & (F.col("k") < F.col("below") + F.col("before") + F.col("n"))
-    return j.filter(hit).select(*keys_t, "k", F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
-                                (F.col("below") + F.col("before")).alias("below"), "n")
-
 
 def order_statistics(df: DataFrame, value: str, by: Sequence[str], ranks: DataFrame) -> DataFrame:
     """Value at 0-based rank ``k`` per (group, target); ``ranks`` has columns by + [target, k]."""
@@ -48,40 +35,20 @@ def order_statistics(df: DataFrame, value: str, by: Sequence[str], ranks: DataFr
     src = df if "_g" not in by else df.withColumn("_g", F.lit(0))
     rk = ranks if "_g" not in by else ranks.withColumn("_g", F.lit(0))
     x = src.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    keys = by + ["target"]
-
-    def bin_of(lo, hi):
-        width = (hi - lo) / BINS
-        return F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("_v") - lo) / width), F.lit(BINS - 1))).cast("int")
-
-    # Pass 1: one bin count per group, shared by all of its targets.
-    bounds = x.groupBy(*by).agg(F.min("_v").alias("glo"), F.max("_v").alias("ghi"))
-    xb = x.join(bounds, by)
-    c1 = xb.groupBy(*by, bin_of(F.col("glo"), F.col("ghi")).alias("_bin")).agg(
-        F.count("*").alias("n"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"))
-    state = _pick(c1, rk.withColumn("below", F.lit(0).cast("bigint")), by, keys)
-    solved = None
-    for _ in range(MAX_PASSES):
-        state = cut_lineage(state)
-        leaf = (F.col("n") <= LEAF_ROWS) | (F.col("lo") == F.col("hi"))
-        small, big = state.filter(leaf), state.filter(~leaf)
-        # Leaves: read the (bounded) values of the chosen bin and index into them.
-        ranges = small.groupBy(*by).agg(F.collect_list(F.struct("target", "lo", "hi")).alias("rs"))
-        vals = x.join(ranges, by).select(*by, "_v", F.inline(F.filter("rs", lambda r: (F.col("_v") >= r["lo"]) & (F.col("_v") <= r["hi"]))))
-        got = vals.groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("vs"))
-        done = small.join(got, keys, "left").select(
-            *keys, F.when(F.col("lo") == F.col("hi"), F.col("lo"))
-            .otherwise(F.element_at("vs", (F.col("k") - F.col("below") + 1).cast("int"))).alias("value"))
-        solved = done if solved is None else solved.unionByName(done)
-        if big.isEmpty():
-            break
-        # Refine the open targets: rows match only their group's open ranges.
-        open_r = big.groupBy(*by).agg(F.collect_list(F.struct("target", "lo", "hi")).alias("rs"))
-        m = x.join(open_r, by).select(*by, "_v", F.inline(F.filter("rs", lambda r: (F.col("_v") >= r["lo"]) & (F.col("_v") <= r["hi"]))))
-        cnt = m.groupBy(*keys, bin_of(F.col("lo"), F.col("hi")).alias("_bin")).agg(
-            F.count("*").alias("n"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"))
-        state = _pick(cnt, big.select(*keys, "k", "below"), keys, keys)
-    out = solved.select(*keys, "value")
+    counts = x.groupBy(*by, "_v").agg(F.count("*").alias("_c"))
+    # Stored, so that a partition keeps its number and its values.
+    placed = cut_lineage(counts.repartitionByRange(*by, "_v").withColumn("_p", F.spark_partition_id()))
+    totals = placed.groupBy(*by, "_p").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = totals.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+    wanted = rk.groupBy(*by).agg(F.collect_list(F.struct("target", "k")).alias("_want"))  # a few per group
+    starts = starts.join(wanted, by).withColumn(
+        "_want", F.filter("_want", lambda r: (r["k"] >= F.col("_off")) & (r["k"] < F.col("_off") + F.col("_t"))))
+    starts = cut_lineage(starts.filter(F.size("_want") > 0).select(*by, "_p", "_off", "_want"))
+    upto = Window.partitionBy(*by, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = placed.join(starts, [*by, "_p"]).withColumn("_end", F.col("_off") + F.sum("_c").over(upto))
+    hit = F.filter("_want", lambda r: (r["k"] >= F.col("_end") - F.col("_c")) & (r["k"] < F.col("_end")))
+    out = ranked.select(*by, F.col("_v").alias("value"), F.inline(hit)).select(*by, "target", "value")
     return out.drop("_g") if "_g" in by else out
 
 
@@ -104,5 +71,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     for i, p in enumerate(probs):
         lo, hi = F.col(str(2 * i)), F.col(str(2 * i + 1))
         pos = (F.col("n") - 1) * F.lit(float(p))
-        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(f"q{i}"))
+        # Equal neighbours are the quantile themselves (infinities have no difference).
+        cols.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(f"q{i}"))
     return wide.select(*by, *cols, "n")

@@ -109,8 +109,11 @@ def argmax_row(df: DataFrame, value_col: str, cols: Sequence[str]) -> DataFrame:
 
 
 def most_frequent(df: DataFrame, col: str) -> DataFrame:
-    """The most frequent value; ties -> the smallest value (``mode(..., true)``)."""
-    return df.agg(F.mode(F.col(col), True).alias(f"mode_{col}"))
+    """The most frequent value; ties -> the smallest value; NULL for an empty column.
+
+    Counts per value first (partial aggregates), then one best row: no map of all values in a task."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+    return counts.agg(F.min_by(F.col(col), F.struct(-F.col("n"), F.col(col))).alias(f"mode_{col}"))
 
 
 # ---------------------------------------------------------------------------
@@ -253,16 +256,15 @@ def missing_audit(df: DataFrame, cols: Sequence[str] | None = None, only_offende
 
 
 def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Columns with exactly one distinct value, NULL counting as a value."""
+    """Columns with exactly one distinct value, NULL counting as a value.
+
+    One pass of least, greatest and null count per column; no distinct values are gathered.
+    In an empty table no column is constant."""
     cols = list(cols or df.columns)
-    wide = df.agg(
-        *[
-            (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(c)
-            for c in cols
-        ]
-    )
-    long = wide.unpivot([], cols, "column", "n_distinct_with_null")
-    return long.withColumn("is_constant", F.col("n_distinct_with_null") == 1)
+    parts = df.agg(*[
+        F.coalesce(F.when(F.count(c) == F.count("*"), F.min(c) == F.max(c)).otherwise(F.count(c) == 0), F.lit(False)).alias(c) for c in cols
+    ])
+    return parts.unpivot([], cols, "column", "is_constant")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -342,22 +344,15 @@ def cohort_header(df: DataFrame, entity: str, date_col: str) -> DataFrame:
 def profile_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, unique, most frequent value (ties -> smallest) and its frequency per column.
 
-    Per column: one value-count aggregate (bounded by the column's
-    cardinality), then the top value is the smallest among those with the
-    highest count.
+    One pass over the rows counts (column, value) pairs; the top value is the
+    smallest among those with the highest count.
     """
-    parts = []
-    for c in cols:
-        s = F.col(c).cast("string")
-        vc = df.groupBy(s.alias("v")).agg(F.count("*").alias("n")).filter(F.col("v").isNotNull())
-        top = vc.agg(F.min_by(F.col("v"), F.struct(-F.col("n"), F.col("v"))).alias("top"), F.max("n").alias("freq"))
-        base = df.agg(F.count(s).alias("count"), F.count_distinct(s).alias("unique"))
-        parts.append(base.select(F.lit(c).alias("column"), "count", "unique", top.select("top").scalar().alias("top"),
-                                 top.select("freq").scalar().alias("freq")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p")
+    counts = df.select(pairs).select("p.*").groupBy("column", "v").agg(F.count("*").alias("n"))
+    some = F.col("v").isNotNull()
+    return counts.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(some, F.col("n"))), F.lit(0)).alias("count"), F.count("v").alias("unique"),
+        F.min_by("v", F.when(some, F.struct(-F.col("n"), F.col("v")))).alias("top"), F.max(F.when(some, F.col("n"))).alias("freq"))
 
 
 def sum_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -153,8 +153,14 @@ def m13_roc_auc(spark, sf_dir):
 # Fitted models (row-count checked)
 # ----------------------------------------------------------------------------
 def _split_docs(spark, sf_dir):
-    x = ml.fill_most_frequent(doc_features(spark, sf_dir), CATEGORICAL)
-    return ml.stratified_split(x, "label", "doc_id", 0.25, SEED)
+    x = ml.stratified_split(doc_features(spark, sf_dir), "label", "doc_id", 0.25, SEED)
+    return ml.fill_most_frequent(x, CATEGORICAL, x.filter(F.col("split") == "train"))
+
+
+def _fold(x, f):
+    """Training and test rows of fold ``f``; missing categories are filled from the training rows only."""
+    train, test = x.filter(F.col("fold") != f), x.filter(F.col("fold") == f)
+    return ml.fill_most_frequent(train, CATEGORICAL), ml.fill_most_frequent(test, CATEGORICAL, train)
 
 
 @query("m2_m3_preprocess")
@@ -209,21 +215,18 @@ def m7_weighted_forest(spark, sf_dir):
     return _metrics_row(pred)
 
 
-GBT_ITERATIONS = 100  # the reference uses 400; fewer keeps the driver check short
-
-
 @query("m8_boosted_trees")
 def m8_boosted_trees(spark, sf_dir):
-    _, pred = _fit_eval(spark, sf_dir, lambda tr: ml.boosted(n=GBT_ITERATIONS))
+    _, pred = _fit_eval(spark, sf_dir, lambda tr: ml.boosted())
     return _metrics_row(pred)
 
 
 @query("m10_cv_scores")
 def m10_cv_scores(spark, sf_dir):
-    x = ml.stratified_folds(ml.fill_most_frequent(doc_features(spark, sf_dir), CATEGORICAL), "label", "doc_id", 5, SEED)
+    x = ml.stratified_folds(doc_features(spark, sf_dir), "label", "doc_id", 5, SEED)
     out = None
     for f in range(5):
-        train, test = x.filter(F.col("fold") != f), x.filter(F.col("fold") == f)
+        train, test = _fold(x, f)
         model = ml.fit_pipeline(train, ml.preprocess_stages(NUMERIC, CATEGORICAL), ml.logistic(train.count()))
         row = _metrics_row(ml.positive_score(model.transform(test))).withColumn("fold", F.lit(f))
         out = row if out is None else out.unionByName(row)
@@ -245,7 +248,7 @@ def m14_kmeans_profile(spark, sf_dir):
 
 @query("m15_feature_importance")
 def m15_feature_importance(spark, sf_dir):
-    model, _ = _fit_eval(spark, sf_dir, lambda tr: ml.forest(n=100), weighted=True)
+    model, _ = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True)
     names = ml.feature_names(model, NUMERIC, CATEGORICAL)
     pairs = ml.feature_importance(model.stages[-1], names, 15)
     return spark.createDataFrame(pairs, "feature string, importance double")
@@ -297,11 +300,11 @@ def m9_smote_cv(spark, sf_dir):
 
     # Folds and each balanced training set are read several times (fit, counts,
     # neighbour search): persisted once each.
-    x = ml.stratified_folds(ml.fill_most_frequent(doc_features(spark, sf_dir), CATEGORICAL), "label", "doc_id", 5, SEED)
+    x = ml.stratified_folds(doc_features(spark, sf_dir), "label", "doc_id", 5, SEED)
     x = x.persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     for f in range(5):
-        train, test = x.filter(F.col("fold") != f), x.filter(F.col("fold") == f)
+        train, test = _fold(x, f)
         prep = Pipeline(stages=ml.preprocess_stages(NUMERIC, CATEGORICAL)).fit(train)
         balanced = ml.smote(prep.transform(train), "label", "features", k=5, seed=SEED, id_col="doc_id")
         balanced = balanced.persist(StorageLevel.MEMORY_AND_DISK)
@@ -317,7 +320,7 @@ def _forest_contributions(spark, sf_dir):
 
     from opsanalytics.session import checkpoint_dir
 
-    model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(n=100), weighted=True)
+    model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True)
     names = ml.feature_names(model, NUMERIC, CATEGORICAL)
     work = f"{checkpoint_dir(spark)}/models/forest-{uuid.uuid4().hex}"
     return pred, ml.tree_contributions(pred, model.stages[-1], names, work, id_col="doc_id")

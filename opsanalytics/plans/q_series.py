@@ -109,7 +109,6 @@ def w2_rolling14_full(spark, sf_dir):
 
 # Per-user rolling features on raw events via the skew-proof block method.
 # A small block size makes the halo logic carry most rows even at sf0.01.
-BLOCK_ROWS = 16
 
 
 def _user_features(spark, sf_dir):
@@ -118,7 +117,7 @@ def _user_features(spark, sf_dir):
         ev, ["user_id"], ["ts", "event_id"], 6,
         {"value_mean_6": ts.mean_of("value"), "value_rms_6": ts.rms("value"), "value_p2p_6": ts.peak_to_peak("value"),
          "value_std_6": ts.std_filled("value")},
-        bucket=F.to_date("ts"), block_rows=BLOCK_ROWS,
+        bucket=F.to_date("ts"),
     )
 
 
@@ -152,7 +151,7 @@ def w3_rolling_features(spark, sf_dir):
 def w4_rolling_std_diff(spark, sf_dir):
     f = _user_features(spark, sf_dir)
     d = ts.rolling_rows(f, ["user_id"], ["ts", "event_id"], 7, {"mean_diff_6": ts.diff_rows("value_mean_6", 6)},
-                        bucket=F.to_date("ts"), block_rows=BLOCK_ROWS)
+                        bucket=F.to_date("ts"))
     return finish(d.select("event_id", "user_id", "value_std_6", "mean_diff_6"))
 
 
@@ -229,18 +228,22 @@ def w8_fill_rolling_median(spark, sf_dir):
     "j5_hourly_join",
     sql_finish(
         """
-        SELECT c.bin, c.n AS clicks, v.mean_value AS view_mean
-        FROM (SELECT bin, n FROM hourly WHERE event_type = 'click') c
-        LEFT JOIN (SELECT bin, mean_value FROM hourly WHERE event_type = 'view') v ON c.bin = v.bin
+        SELECT h.event_type, h.bin, h.n AS events, v.peak_mean
+        FROM hourly h LEFT JOIN (SELECT CASE WHEN hour(bin) % 6 <> 0 THEN bin END AS bin, max(mean_value) AS peak_mean FROM hourly GROUP BY hourly.bin) v
+        ON h.bin = v.bin
         """,
-        doubles=["view_mean"], times=["bin"], ctes=HOURLY_SQL,
+        doubles=["peak_mean"], times=["bin"], ctes=HOURLY_SQL,
     ),
 )
 def j5_hourly_join(spark, sf_dir):
-    h = hourly(spark, sf_dir)
-    ops = h.filter(F.col("event_type") == "click").select("bin", F.col("n").alias("clicks"))
-    weather = h.filter(F.col("event_type") == "view").select("bin", F.col("mean_value").alias("view_mean"))
-    return finish(ops.join(weather, "bin", "left"))
+    return finish(_with_peak_mean(hourly(spark, sf_dir)))
+
+
+def _with_peak_mean(h):
+    """Every type's hours with the hour's highest mean of any type; the means of every sixth hour have lost their key."""
+    means = h.groupBy("bin").agg(F.max("mean_value").alias("peak_mean"))
+    means = means.withColumn("bin", F.when(F.hour("bin") % 6 != 0, F.col("bin")))
+    return h.select("event_type", "bin", F.col("n").alias("events")).join(means, "bin", "left")
 
 
 def calendar(df, date_col: str):
@@ -268,17 +271,17 @@ CAL_SQL = """cal AS (
 @query(
     "j6_calendar_join",
     sql_finish(
-        f"SELECT h.bin, h.n, c.day_name, coalesce(c.holiday_name, 'None') AS holiday_name, CAST(coalesce(c.is_holiday, 0) AS INT) AS is_holiday "
-        f"FROM hourly h LEFT JOIN cal c ON CAST(h.bin AS DATE) = c.date WHERE h.event_type = 'click'",
+        f"SELECT h.event_type, h.bin, h.n, c.day_name, coalesce(c.holiday_name, 'None') AS holiday_name, CAST(coalesce(c.is_holiday, 0) AS INT) AS is_holiday "
+        f"FROM hourly h LEFT JOIN cal c ON CAST(h.bin AS DATE) = c.date",
         times=["bin"], bigints=["is_holiday"], ctes=HOURLY_SQL + ",\n" + CAL_SQL,
     ),
 )
 def j6_calendar_join(spark, sf_dir):
-    h = hourly(spark, sf_dir).filter(F.col("event_type") == "click").withColumn("date", F.to_date("bin"))
+    h = hourly(spark, sf_dir).withColumn("date", F.to_date("bin"))
     cal = calendar(read_table(spark, sf_dir, "events"), "ts")
     # The calendar has one row per day of the range: bounded, broadcast it.
     j = h.join(F.broadcast(cal), "date", "left").select(
-        "bin", "n", "day_name", F.coalesce("holiday_name", F.lit("None")).alias("holiday_name"),
+        "event_type", "bin", "n", "day_name", F.coalesce("holiday_name", F.lit("None")).alias("holiday_name"),
         F.coalesce("is_holiday", F.lit(0)).alias("is_holiday"),
     )
     return finish(j)
@@ -313,22 +316,16 @@ def j7_future_regressor(spark, sf_dir):
 @query(
     "j10_join_null_audit",
     sql_finish(
-        """
-        WITH j AS (SELECT c.bin, c.n AS clicks, v.mean_value AS view_mean
-                   FROM (SELECT bin, n FROM hourly WHERE event_type = 'click') c
-                   LEFT JOIN (SELECT bin, mean_value FROM hourly WHERE event_type = 'view') v ON c.bin = v.bin)
-        SELECT * FROM (
-          SELECT 'bin' AS "column", CAST(count(*) FILTER (WHERE bin IS NULL) AS BIGINT) AS n_missing, count(*) FILTER (WHERE bin IS NULL) * 100.0 / count(*) AS pct_missing FROM j
-          UNION ALL SELECT 'clicks', CAST(count(*) FILTER (WHERE clicks IS NULL) AS BIGINT), count(*) FILTER (WHERE clicks IS NULL) * 100.0 / count(*) FROM j
-          UNION ALL SELECT 'view_mean', CAST(count(*) FILTER (WHERE view_mean IS NULL) AS BIGINT), count(*) FILTER (WHERE view_mean IS NULL) * 100.0 / count(*) FROM j)
-        """,
+        "WITH j AS (SELECT h.event_type, h.bin, h.n AS events, v.peak_mean FROM hourly h LEFT JOIN "
+        "(SELECT CASE WHEN hour(bin) % 6 <> 0 THEN bin END AS bin, max(mean_value) AS peak_mean FROM hourly GROUP BY hourly.bin) v ON h.bin = v.bin) "
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing, "
+            f"count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS pct_missing FROM j"
+            for c in ("event_type", "bin", "events", "peak_mean")),
         doubles=["pct_missing"], ctes=HOURLY_SQL,
     ),
 )
 def j10_join_null_audit(spark, sf_dir):
     from opsanalytics.operators.summaries import missing_audit
 
-    h = hourly(spark, sf_dir)
-    ops = h.filter(F.col("event_type") == "click").select("bin", F.col("n").alias("clicks"))
-    weather = h.filter(F.col("event_type") == "view").select("bin", F.col("mean_value").alias("view_mean"))
-    return finish(missing_audit(ops.join(weather, "bin", "left"), only_offenders=False))
+    return finish(missing_audit(_with_peak_mean(hourly(spark, sf_dir)), only_offenders=False))

@@ -295,7 +295,7 @@ def t8_holiday_windows(spark, sf_dir):
 def t7_forecast(spark, sf_dir):
     hist = _daily_counts(spark, sf_dir)
     rate = hist.agg(F.avg("regressor")).scalar()
-    return pl.forecast(hist, 14, holidays=_holidays(spark, sf_dir), regressor_future=rate, yearly_order=0)
+    return pl.forecast(hist, 60, holidays=_holidays(spark, sf_dir), regressor_future=rate)
 
 
 @query("t9_weekly_component")

@@ -389,7 +389,7 @@ def a29_describe(spark, sf_dir):
     return finish(sm.describe(read_table(spark, sf_dir, "lineitem"), DESC_COLS, by=["l_returnflag"]))
 
 
-PROFILE_COLS = ["c_mktsegment", "c_nationkey"]
+PROFILE_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 @query(
@@ -418,18 +418,20 @@ def a31_missing_audit(spark, sf_dir):
     return finish(sm.missing_audit(_events(spark, sf_dir)))
 
 
+A32_COLS = ["l_linestatus", "l_returnflag", "l_tax", "l_orderkey", "batch", "note"]
+
+
 @query(
     "a32_constant_columns",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", CAST(count(DISTINCT {c}) + max(CAST({c} IS NULL AS INT)) AS BIGINT) AS n_distinct_with_null, "
-        f"count(DISTINCT {c}) + max(CAST({c} IS NULL AS INT)) = 1 AS is_constant FROM lineitem WHERE l_linestatus = 'F'"
-        for c in ["l_linestatus", "l_returnflag", "l_tax"]
+        f"SELECT '{c}' AS \"column\", coalesce(count(DISTINCT {c}) + max(CAST({c} IS NULL AS INT)) = 1, false) AS is_constant "
+        "FROM (SELECT *, 'batch 1' AS batch, CAST(NULL AS VARCHAR) AS note FROM lineitem)"
+        for c in A32_COLS
     ),
 )
 def a32_constant_columns(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
-    out = sm.constant_columns(li, ["l_linestatus", "l_returnflag", "l_tax"])
-    return out.withColumn("n_distinct_with_null", F.col("n_distinct_with_null").cast("bigint"))
+    li = read_table(spark, sf_dir, "lineitem").withColumns({"batch": F.lit("batch 1"), "note": F.lit(None).cast("string")})
+    return sm.constant_columns(li, A32_COLS)
 
 
 @query(
@@ -504,43 +506,53 @@ def a37_cohort_header(spark, sf_dir):
     "w9_group_zscore_flags",
     sql_finish(
         f"""WITH {EVENTS_SQL},
-        s AS (SELECT event_type, avg(value) AS mu, stddev_samp(value) AS sd FROM events_g GROUP BY 1)
+        e AS (SELECT event_id, event_type, CASE WHEN event_id % 101 = 0 THEN value - 1000 ELSE value END AS value FROM events_g),
+        s AS (SELECT event_type, avg(value) AS mu, stddev_samp(value) AS sd FROM e GROUP BY 1)
         SELECT e.event_id, e.event_type, e.value, (e.value - s.mu) / s.sd AS z_value
-        FROM events_g e JOIN s USING (event_type) WHERE (e.value - s.mu) / s.sd < -1.0""",
+        FROM e JOIN s USING (event_type) WHERE (e.value - s.mu) / s.sd < -2.5""",
         doubles=["value", "z_value"],
     ),
 )
 def w9_group_zscore_flags(spark, sf_dir):
-    ev = _events(spark, sf_dir).select("event_id", "event_type", "value")
-    return finish(dg.flag_low_z(ev, ["event_type"], "value", cut=-1.0))
+    # Every 101st event reads far too low.
+    low = F.when(F.col("event_id") % 101 == 0, F.col("value") - 1000).otherwise(F.col("value"))
+    ev = _events(spark, sf_dir).select("event_id", "event_type", low.alias("value"))
+    return finish(dg.flag_low_z(ev, ["event_type"], "value"))
 
 
 @query(
     "w10_global_z_outliers",
     sql_finish(
-        "SELECT l_orderkey, l_linenumber, l_extendedprice, (l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem)) "
-        "/ (SELECT stddev_samp(l_extendedprice) FROM lineitem) AS z_l_extendedprice FROM lineitem "
-        "WHERE coalesce(abs((l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem)) / (SELECT stddev_samp(l_extendedprice) FROM lineitem)) > 1.5, false)",
+        "WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 211 = 0 THEN l_extendedprice * 20 ELSE l_extendedprice END "
+        "AS l_extendedprice FROM lineitem), s AS (SELECT avg(l_extendedprice) AS mu, stddev_samp(l_extendedprice) AS sd FROM l) "
+        "SELECT l_orderkey, l_linenumber, l_extendedprice, (l_extendedprice - mu) / sd AS z_l_extendedprice FROM l, s "
+        "WHERE coalesce(abs((l_extendedprice - mu) / sd) > 3, false)",
         doubles=["l_extendedprice", "z_l_extendedprice"],
     ),
 )
 def w10_global_z_outliers(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return finish(dg.global_z_outliers(li, "l_extendedprice", cut=1.5))
+    # Some orders are priced twenty times too high.
+    price = F.when(F.col("l_orderkey") % 211 == 0, F.col("l_extendedprice") * 20).otherwise(F.col("l_extendedprice"))
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", price.alias("l_extendedprice"))
+    return finish(dg.global_z_outliers(li, "l_extendedprice"))
 
 
 W11_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+W11_FACTOR = {"l_quantity": (97, 30), "l_extendedprice": (211, 20), "l_discount": (53, 1), "l_tax": (89, 25)}
 
 
 @query(
     "w11_outlier_counts",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE abs(({c} - (SELECT avg({c}) FROM lineitem)) / (SELECT stddev_pop({c}) FROM lineitem)) > 2.0) AS BIGINT) AS n_outliers FROM lineitem"
+    "WITH l AS (SELECT " + ", ".join(f"{c} * CASE WHEN l_orderkey % {m} = 0 THEN {f} ELSE 1 END AS {c}" for c, (m, f) in W11_FACTOR.items())
+    + " FROM lineitem) " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE abs(({c} - (SELECT avg({c}) FROM l)) / (SELECT stddev_pop({c}) FROM l)) > 3) AS BIGINT) AS n_outliers FROM l"
         for c in W11_COLS
     ),
 )
 def w11_outlier_counts(spark, sf_dir):
-    return dg.outlier_counts(read_table(spark, sf_dir, "lineitem"), W11_COLS, cut=2.0)
+    # Some keys' values are scaled up, so that every cut-off has rows beyond it.
+    scaled = {c: F.col(c) * F.when(F.col("l_orderkey") % m == 0, f).otherwise(1) for c, (m, f) in W11_FACTOR.items()}
+    return dg.outlier_counts(read_table(spark, sf_dir, "lineitem").withColumns(scaled), W11_COLS)
 
 
 @query(
@@ -563,16 +575,23 @@ def w12_pareto_loss(spark, sf_dir):
 
 @query(
     "w13_feature_recheck",
-    sql_finish("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_mismatch, 0.0 AS max_abs_diff FROM events",
-               doubles=["max_abs_diff"]),
+    sql_finish(
+        """
+        WITH f AS (SELECT event_id, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS m FROM events),
+        d AS (SELECT abs(CASE WHEN event_id % 97 = 0 THEN m + 0.5 ELSE m END - m) AS d FROM f)
+        SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE d > 1e-6) AS BIGINT) AS n_mismatch, max(d) AS max_abs_diff FROM d
+        """,
+        doubles=["max_abs_diff"],
+    ),
 )
 def w13_feature_recheck(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    # The stored feature: a plain per-user window (what a feature table would hold).
-    stored = ev.withColumn("stored", F.avg("value").over(ts.rows_window(["user_id"], ["ts", "event_id"], 6)))
-    rec = ts.rolling_rows(stored, ["user_id"], ["ts", "event_id"], 6, {"recomputed": ts.mean_of("value")},
-                          bucket=F.to_date("ts"), block_rows=16)
-    return finish(dg.feature_mismatches(rec, "stored", "recomputed"))
+    # The stored feature, from sums and counts, is wrong by a half for every 97th event; the recheck is the mean.
+    x = ts.rolling_rows(ev, ["user_id"], ["ts", "event_id"], 6,
+                        {"total": lambda w: F.sum("value").over(w), "n": lambda w: F.count("value").over(w), "recomputed": ts.mean_of("value")},
+                        bucket=F.to_date("ts"))
+    stored = F.try_divide("total", "n") + F.when(F.col("event_id") % 97 == 0, 0.5).otherwise(0.0)
+    return finish(dg.feature_mismatches(x.withColumn("stored", stored), "stored", "recomputed"))
 
 
 @query(

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 
 from opsanalytics.functions.scalar import NULL_TOKENS
 
@@ -28,15 +28,18 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str], tokens:
                  order_col: str | None = ORDER_COL) -> DataFrame:
     """CSV with every column read as string; null tokens become NULL.
 
-    ``order_col`` keeps the file position (file name, then a per-file
-    monotonically increasing id) so "keep first" dedupes are deterministic.
+    ``order_col`` is the row's place in the input, as a struct that sorts by file
+    path, then by the split's start in the file, then by row within the split, so
+    "keep first" follows the files whatever order they are read in.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    df = df.select(*[F.when(~F.col(c).isin(list(tokens)), F.col(c)).alias(c) for c in columns])
+    values = [F.when(~F.col(c).isin(list(tokens)), F.col(c)).alias(c) for c in columns]
     if order_col:
-        df = df.withColumn(order_col, F.monotonically_increasing_id())
-    return df
+        # Rows of one split stay in order inside one task, so the id orders them.
+        values.append(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                               F.monotonically_increasing_id().alias("row")).alias(order_col))
+    return df.select(*values)
 
 
 def read_bundle(spark: SparkSession, paths: Mapping[str, str], columns: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
@@ -81,15 +84,25 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "name string, database string, is_temporary boolean")
 
 
-def read_or_else(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
-    """The primary source, or a substitute with the same schema when it fails."""
+def read_or_else(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame],
+                 probe: bool = False) -> tuple[DataFrame, str, str | None]:
+    """The primary source, or a substitute when it is not there or cannot be read.
+
+    Returns the table, which source was used, and why the primary was not.  Only Spark's own read errors and
+    missing files count; other errors are raised.  ``probe`` reads one row, for sources that fail only then.
+    If the primary resolves but its probe fails, the substitute must have the same schema."""
+    resolved = None
     try:
-        df = primary()
-        df.schema  # noqa: B018
-        used = "primary"
-    except Exception:  # noqa: BLE001 - any source failure falls back
-        df, used = fallback(), "fallback"
-    return df, used
+        resolved = primary()
+        resolved.schema  # noqa: B018 - resolves the path now
+        if probe:
+            resolved.limit(1).collect()
+        return resolved, "primary", None
+    except (PySparkException, FileNotFoundError) as exc:
+        df = fallback()
+        if resolved is not None and probe:
+            assert_same_schema(resolved, df)
+        return df, "fallback", f"{type(exc).__name__}: {exc}"
 
 
 def assert_same_schema(a: DataFrame, b: DataFrame) -> None:
