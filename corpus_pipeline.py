@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsanalytics.llm.op1_exact_dedup import SPACE, exact_dedup
-from opsanalytics.llm.op3_quality_crf import learn, score, training_rows
+from opsanalytics.llm.op3_quality_crf import SAMPLE, learn, score, training_rows
 from opsanalytics.llm.op5_latent_decontamination import decontaminate
 from opsanalytics.llm.op6_pieces import encode
 from opsanalytics.llm.op7_jaccard_join import jaccard_join
@@ -27,7 +27,7 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose line-level quality score reaches the cut stay."""
-    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
+    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2, {0: SAMPLE, 1: SAMPLE}))
     return score(docs, model, keep_text=True).where("predicted = 1").select("row.*")
 
 

@@ -212,18 +212,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return coef
 
 
-def learn(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """``rows`` has id, text and label (0 or 1)."""
-    rows = rows.where("label in (0, 1)")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return Model(Lexicon({}, {}), np.zeros(3), float(next(iter(counts), 0.5)))
-    place = F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(1_000_000))
-    part = {1: min(1.0, sample / counts[1]), 0: min(1.0, 3 * sample / counts[0])}
-    share = F.when(F.col("label") == 1, int(1e6 * part[1])).otherwise(int(1e6 * part[0]))
-    chosen = saved(rows.where(place < share).select("label", "text"), "labelled")
+def learn(rows: DataFrame) -> Model:
+    """``rows`` is a bounded sample with text and label (0 or 1)."""
+    chosen = saved(rows.where("label in (0, 1)").select("label", "text"), "labelled")
     n = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
-    toxic_n, other_n = max(n.get(1, 0), 1), max(n.get(0, 0), 1)
+    if len(n) < 2:
+        return Model(Lexicon({}, {}), np.zeros(3), float(next(iter(n), 0.5)))
+    toxic_n, other_n = n[1], n[0]
     tally = chosen.mapInArrow(_tally, "term string, other bigint, toxic bigint").groupBy("term").agg(
         F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     ratio = F.log((F.col("toxic") / toxic_n) / ((F.col("other") + 0.5) / (other_n + 1)))
@@ -260,6 +255,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from opsanalytics.llm.op3_quality_crf import training_rows
 
     docs = table(spark, sf_dir, "documents")
-    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1))
+    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, {0: 3 * SAMPLE, 1: SAMPLE}))
     marked = score(docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out")), model)
     return marked.select("doc_id", "held_out", "score", "predicted")

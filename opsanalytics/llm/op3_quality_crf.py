@@ -177,15 +177,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return max(float(a), 1e-3), float(b)
 
 
-def learn(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """``rows`` has id, text and label (0 or 1)."""
-    rows = rows.where("label in (0, 1)")
+def learn(rows: DataFrame) -> Model:
+    """``rows`` is a bounded sample with text and label (0 or 1)."""
+    rows = rows.where("label in (0, 1)").select("label", "text")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Model(np.zeros(OWN), np.ones(OWN), np.zeros(0), np.zeros((2, 2)), 1, 0, float(next(iter(counts), 0.5)))
-    place = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000))
-    share = F.when(F.col("label") == 1, F.lit(int(1e6 * min(1, sample / counts[1])))).otherwise(F.lit(int(1e6 * min(1, sample / counts[0]))))
-    got = rows.where(place < share).select("label", "text").mapInArrow(
+    got = rows.mapInArrow(
         _sample_features, "label int, length array<double>, own array<double>").toArrow()
     label = got.column("label").to_numpy()
     n = got.column("length").combine_chunks().value_lengths().to_numpy()
@@ -219,16 +217,23 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool
     return src.mapInArrow(_score(model), schema).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int) -> DataFrame:
-    """(id, text, label) of the labelled documents outside the held-out fold; one label per id."""
-    known = labels.groupBy("doc_id").agg(F.min(label).alias("label")).where("label is not null")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, most: dict[int, int]) -> DataFrame:
+    """(text, label) of a sample of the labelled documents outside the held-out fold: about ``most[label]``
+    of each label at most, chosen by a hash of the id.  The sample's ids are bounded by that, so they are
+    broadcast and no text is shuffled.  An id with several labels has the least."""
+    known = labels.groupBy("doc_id").agg(F.min(label).alias("label")).where("label in (0, 1)")
     known = known.where(~held_out("doc_id", modulus, remainder))
-    return docs.select("doc_id", "text").join(known, "doc_id").select(F.col("doc_id").alias("id"), "text", "label")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    place = F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1_000_000))
+    share = F.lit(0)
+    for value, n in counts.items():
+        share = F.when(F.col("label") == value, int(1e6 * min(1.0, most[value] / n))).otherwise(share)
+    return docs.select("doc_id", "text").join(F.broadcast(known.where(place < share)), "doc_id").select("text", "label")
 
 
 @corpus_query("op3_quality_crf")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
+    model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2, {0: SAMPLE, 1: SAMPLE}))
     scored = score(docs.select("doc_id", "text", held_out("doc_id", 4, 2).alias("held_out")), model)
     return scored.select("row.doc_id", "row.held_out", "score", "predicted")

@@ -150,4 +150,4 @@ def test_toxicity_edges(spark, docs, no_docs):
     assert got[1]["predicted"] == got[2]["predicted"] == 0 and got[1]["total"] == 0
     assert op10.score(spark.createDataFrame([(1, "so vile")], "doc_id bigint, text string"), model).first()["predicted"] == 1
     assert op10.score(no_docs, model).count() == 0
-    assert op10.learn(no_docs.selectExpr("doc_id as id", "text", "1 as label")).constant == 0.5
+    assert op10.learn(no_docs.selectExpr("text", "1 as label")).constant == 0.5
