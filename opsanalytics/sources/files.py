@@ -7,6 +7,7 @@ are atomic per job and safe to retry after a lost executor.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,11 +86,11 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def read_or_else(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame],
-                 probe: bool = False) -> tuple[DataFrame, str, str | None]:
+                 probe: bool = False) -> tuple[DataFrame, str]:
     """The primary source, or a substitute when it is not there or cannot be read.
 
-    Returns the table, which source was used, and why the primary was not.  Only Spark's own read errors and
-    missing files count; other errors are raised.  ``probe`` reads one row, for sources that fail only then.
+    Returns the table and which source was used; why the primary was not goes to the log.  Only Spark's own
+    read errors and missing files count; other errors are raised.  ``probe`` reads one row, for sources that fail only then.
     If the primary resolves but its probe fails, the substitute must have the same schema."""
     resolved = None
     try:
@@ -97,12 +98,13 @@ def read_or_else(primary: Callable[[], DataFrame], fallback: Callable[[], DataFr
         resolved.schema  # noqa: B018 - resolves the path now
         if probe:
             resolved.limit(1).collect()
-        return resolved, "primary", None
+        return resolved, "primary"
     except (PySparkException, FileNotFoundError) as exc:
         df = fallback()
         if resolved is not None and probe:
             assert_same_schema(resolved, df)
-        return df, "fallback", f"{type(exc).__name__}: {exc}"
+        logging.getLogger(__name__).warning("fallback source used: %s: %s", type(exc).__name__, exc)
+        return df, "fallback"
 
 
 def assert_same_schema(a: DataFrame, b: DataFrame) -> None:

@@ -6,6 +6,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from opsanalytics.operators.quality import DataQualityGateError
 from opsanalytics.plans import o2c_job
 from opsanalytics.plans.driver_tables import PRIORITY_ALIASES, SEGMENT_PRICES, o2c_raw_exports
 from opsanalytics.sources import files as io
@@ -79,10 +80,10 @@ def test_strict_job_stops_and_logs(spark, out_dir):
     raw = o2c_raw_exports(spark, SF)
     # Orphan every dispatch: the strict gate must stop the run and still log it.
     raw["dispatch_events"] = raw["dispatch_events"].withColumn("loading_id", F.lit("GHOST"))
-    with pytest.raises(Exception):
+    with pytest.raises(DataQualityGateError):
         o2c_job.run_job(spark, raw, f"{out_dir}/strict", default_prices=SEGMENT_PRICES, aliases=PRIORITY_ALIASES, strict=True)
     log = io.read_run_log(spark, f"{out_dir}/strict/run_log").collect()
-    assert log[0]["status"] == "FAILED" and log[0]["gate_status"] is None
+    assert log[0]["status"] == "FAILED" and log[0]["gate_status"] == "FAIL"
 
 
 def test_entry_contract(spark):

@@ -174,10 +174,9 @@ def test_tree_contributions_add_up(spark, out_dir):
     assert imp["a"] > imp["b"] and imp["a"] > imp["c"]
 
 
-def test_exact_quantiles_match_percentile(spark, monkeypatch):
+def test_exact_quantiles_match_percentile(spark):
     from opsanalytics.operators import quantiles as qt
 
-    monkeypatch.setattr(qt, "LEAF_ROWS", 40)  # force several refinement passes
     rng = np.random.default_rng(21)
     rows = [("hot", float(v)) for v in np.round(rng.normal(10, 3, 5000), 3)]
     rows += [("few", float(v)) for v in rng.integers(0, 4, 90)] + [("one", 7.0)]
