@@ -13,7 +13,7 @@ Each match adds the insult word's learnt weight times the factor of its marks; c
 (largest, and sum) go through a logistic curve fitted on the training sample.
 
 Insults are learnt: words, and word beginnings shared by several words, whose presence in
-toxic training documents is far beyond chance (``EVIDENCE``).  Functional words (targets,
+toxic training documents, in different surroundings, is far beyond chance (``EVIDENCE``).  Functional words (targets,
 negations, verbs of saying, threats) are short fixed lists in four languages.  Learning uses
 a bounded sample of labelled training rows, about ``SAMPLE`` toxic and three times as many
 other documents, chosen by a hash of the id.  Scoring reads every text whole.
@@ -170,6 +170,22 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *((zero, n) if label else (n, zero))], names=["term", "other", "toxic"])
 
 
+def _contexts(terms: set[str]):
+    """Each place of a candidate term as (term, hash of the words around it)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for text in batch.column("text").to_pylist():
+                words = ["", *(w for w in TOKEN.findall((text or "").lower()) if w.isalpha()), ""]
+                for before, w, after in zip(words, words[1:], words[2:], strict=False):
+                    for term in (w, *(w[:k] + "*" for k in STEMS if k < len(w))):
+                        if term in terms:
+                            found.add((term, f"{before} {after}"))
+            term, around = (list(x) for x in zip(*found, strict=True)) if found else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(term, pa.string()), pa.array(around, pa.string())], names=["term", "around"])
+    return run
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -224,8 +240,17 @@ def learn(rows: DataFrame) -> Model:
     ratio = F.log((F.col("toxic") / toxic_n) / ((F.col("other") + 0.5) / (other_n + 1)))
     # The evidence test bounds these: each kept term takes part of the sample's toxic documents' words.
     kept = tally.where("toxic > 2").withColumn("ratio", ratio).where((F.col("ratio") >= RATIO) & (F.col("toxic") * F.col("ratio") >= EVIDENCE)).collect()
-    words = {r["term"]: float(r["ratio"]) for r in kept if not r["term"].endswith("*")}
-    stems = {r["term"][:-1]: float(r["ratio"]) for r in kept if r["term"].endswith("*")}
+    # Copies of a toxic document repeat all its words, but always between the same two: evidence counts different surroundings.
+    around = chosen.where("label = 1").mapInArrow(_contexts({r["term"] for r in kept}), "term string, around string")
+    places = {r["term"]: r["n"] for r in around.groupBy("term").agg(F.count_distinct("around").alias("n")).collect()}
+    weight_of = {}
+    for r in kept:
+        n_toxic = min(r["toxic"], places.get(r["term"], 0))
+        value = float(np.log((n_toxic / toxic_n) / ((r["other"] + 0.5) / (other_n + 1)))) if n_toxic else 0.0
+        if value >= RATIO and n_toxic * value >= EVIDENCE:
+            weight_of[r["term"]] = value
+    words = {t: v for t, v in weight_of.items() if not t.endswith("*")}
+    stems = {t[:-1]: v for t, v in weight_of.items() if t.endswith("*")}
     family = Counter(w[:k] for w in words for k in STEMS if k < len(w))
     stems = {s: w for s, w in stems.items() if family[s] >= FAMILY}
     lexicon = Lexicon(words, stems)
