@@ -10,7 +10,7 @@ from opsanalytics.llm import op2_language_id as op2
 from opsanalytics.llm import op3_quality_crf as op3
 from opsanalytics.llm import op10_toxicity as op10
 
-from .conftest import corpus
+from .conftest import corpus, prose
 
 SF = "/root/testdata/sf0.01"
 
@@ -144,8 +144,11 @@ def test_toxicity_held_out(spark, labels):
 
 
 def test_toxicity_edges(spark, docs, no_docs):
-    rows = [(k, "vile word here" if k % 2 else "kind word here", k % 2) for k in range(60)]
+    rows = [(k, f"{prose(k, 4)} {'vile' if k % 2 else 'kind'} {prose(k + 500, 4)}", k % 2) for k in range(60)]
+    # Copies of one toxic text say nothing about its words.
+    rows += [(200 + k, "onlyhere and evermore", 1) for k in range(60)]
     model = op10.learn(spark.createDataFrame([*rows, (99, None, 0), (98, "vile", None)], "id bigint, text string, label int"))
+    assert set(model.lexicon.words) == {"vile"}
     got = {r["doc_id"]: r for r in op10.score(docs, model).collect()}
     assert got[1]["predicted"] == got[2]["predicted"] == 0 and got[1]["total"] == 0
     assert op10.score(spark.createDataFrame([(1, "so vile")], "doc_id bigint, text string"), model).first()["predicted"] == 1
