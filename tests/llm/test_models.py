@@ -144,10 +144,10 @@ def test_toxicity_held_out(spark, labels):
 
 
 def test_toxicity_edges(spark, docs, no_docs):
-    rows = [(k, f"{prose(k, 4)} {'vile' if k % 2 else 'kind'} {prose(k + 500, 4)}", k % 2) for k in range(60)]
+    rows = [(k, f"{prose(k, 4)} {'kind' if k % 6 else 'vile'} {prose(k + 500, 4)}", int(k % 6 == 0)) for k in range(180)]
     # Copies of one toxic text say nothing about its words.
-    rows += [(200 + k, "onlyhere and evermore", 1) for k in range(60)]
-    model = op10.learn(spark.createDataFrame([*rows, (99, None, 0), (98, "vile", None)], "id bigint, text string, label int"))
+    rows += [(300 + k, "onlyhere and evermore", 1) for k in range(60)]
+    model = op10.learn(spark.createDataFrame([*rows, (999, None, 0), (998, "vile", None)], "id bigint, text string, label int"))
     assert set(model.lexicon.words) == {"vile"}
     got = {r["doc_id"]: r for r in op10.score(docs, model).collect()}
     assert got[1]["predicted"] == got[2]["predicted"] == 0 and got[1]["total"] == 0
