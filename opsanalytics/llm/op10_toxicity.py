@@ -176,7 +176,7 @@ def _contexts(terms: set[str]):
         for batch in batches:
             found = set()
             for text in batch.column("text").to_pylist():
-                words = ["", *(w for w in TOKEN.findall((text or "").lower()) if w.isalpha()), ""]
+                words = ["", *TOKEN.findall((text or "").lower()), ""]
                 for before, w, after in zip(words, words[1:], words[2:], strict=False):
                     for term in (w, *(w[:k] + "*" for k in STEMS if k < len(w))):
                         if term in terms:
