@@ -55,6 +55,7 @@ def load_all() -> None:
     """Import every query module so its registrations run."""
     from opsanalytics.plans import (  # noqa: F401
         q_clean,
+        q_files,
         q_ml,
         q_o2c,
         q_quality,
