@@ -217,6 +217,24 @@ def _dropping(column: str, run):
     return inner
 
 
-@corpus_query("op7_jaccard_join")
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION ALL SELECT r, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = p.a JOIN n y ON y.r = p.b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+near AS (SELECT r AS a, r AS b FROM d UNION SELECT near.a, l.b FROM near JOIN l ON l.a = near.b)
+SELECT d.doc_id,
+       (SELECT min(o.doc_id) FROM near JOIN d o ON o.r = near.b WHERE near.a = d.r) AS class_id,
+       (SELECT count(*) FROM l WHERE l.a = d.r) AS n_links
+FROM d
+"""
+
+
+@corpus_query("op7_jaccard_join", SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
