@@ -99,8 +99,8 @@ def top_per_group(
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
-    """N rows chosen by a seeded hash of a key (repeatable, no global shuffle of rows)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """N rows chosen by a seeded hash of a key (repeatable on any engine, no global shuffle of rows)."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def argmax_row(df: DataFrame, value_col: str, cols: Sequence[str]) -> DataFrame:

@@ -608,9 +608,14 @@ def w14_top_per_group(spark, sf_dir):
     return finish(out, digits=2)
 
 
-@query("l5_seeded_sample")
+@query(
+    "l5_seeded_sample",
+    sql_finish("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey LIMIT 100",
+               doubles=["o_totalprice"], digits=2),
+)
 def l5_seeded_sample(spark, sf_dir):
-    return sm.seeded_sample(read_table(spark, sf_dir, "orders"), 100, 42, "o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return finish(sm.seeded_sample(o, 100, 42, "o_orderkey"), digits=2)
 
 
 @query(
