@@ -39,13 +39,44 @@ def t1_pearson(spark, sf_dir):
                   overrides={"r": 6})
 
 
-@query("t1_c25_pearson_test")
+def _t_p_sql(t: str, dof: str) -> str:
+    """Two-sided p of Student's t by Simpson's rule over the angle, t = sqrt(dof) tan(angle)."""
+    return (f"(SELECT 2 * exp(lgamma(({dof} + 1) / 2) - lgamma({dof} / 2)) / sqrt(pi()) * (pi() / 2 - a) / 60000 "
+            f"* sum(CASE WHEN k IN (0, 20000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * pow(greatest(cos(a + (pi() / 2 - a) * k / 20000), 0), {dof} - 1)) "
+            f"FROM (SELECT atan(abs({t}) / sqrt({dof})) AS a, unnest(range(20001)) AS k) GROUP BY a)")
+
+
+def _f_p_sql(f: str, d1: str, d2: str) -> str:
+    """Upper-tail p of F by Simpson's rule, the beta integral over sin^2 of the angle."""
+    return (f"(SELECT 2 * exp(lgamma(({d1} + {d2}) / 2) - lgamma({d1} / 2) - lgamma({d2} / 2)) * a / 600000 "
+            f"* sum(CASE WHEN k IN (0, 200000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END "
+            f"* pow(sin(a * k / 200000), {d2} - 1) * pow(cos(a * k / 200000), {d1} - 1)) "
+            f"FROM (SELECT asin(sqrt({d2} / ({d2} + {d1} * {f}))) AS a, unnest(range(200001)) AS k) GROUP BY a)")
+
+
+@query(
+    "t1_c25_pearson_test",
+    sql_finish(
+        f"""
+        WITH h AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n_events, avg(value) AS mean_value FROM events GROUP BY 1),
+        r AS (SELECT corr(n_events, mean_value) AS r, CAST(count(*) AS DOUBLE) AS n FROM h WHERE mean_value IS NOT NULL),
+        t AS (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t_stat FROM r),
+        p AS (SELECT *, {_t_p_sql("t_stat", "(n - 2)")} AS p_value FROM t)
+        SELECT r, CAST(n AS BIGINT) AS n, t_stat, p_value,
+               CASE WHEN abs(r) < 0.1 THEN 'negligible' WHEN abs(r) < 0.3 THEN 'weak' WHEN abs(r) < 0.5 THEN 'moderate' ELSE 'strong' END
+               || CASE WHEN r < 0 THEN ' negative' ELSE ' positive' END || ' correlation, '
+               || CASE WHEN p_value < 0.05 THEN 'statistically significant (p < 0.05)' ELSE 'not statistically significant (p ≥ 0.05)' END AS interpretation
+        FROM p
+        """,
+        doubles=["r", "t_stat", "p_value"],
+    ),
+)
 def t1_c25_pearson_test(spark, sf_dir):
     """T1 with p-value and the C25 interpretation label (p checked in tests)."""
     ev = read_table(spark, sf_dir, "events")
     hourly = ev.groupBy(F.date_trunc("hour", "ts").alias("h")).agg(
         F.count("*").alias("n_events"), F.avg("value").alias("mean_value"))
-    return st.pearson(hourly, "n_events", "mean_value")
+    return finish(st.pearson(hourly, "n_events", "mean_value"))
 
 
 CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -103,10 +134,23 @@ def t4_t5_welch_ttest(spark, sf_dir):
     return finish(st.welch_ttest(ev, "value", F.col("event_type"), "click", "view").drop("p_value"))
 
 
-@query("t4_welch_pvalue")
+@query(
+    "t4_welch_pvalue",
+    sql_finish(
+        f"""
+        WITH s AS (SELECT avg(value) FILTER (WHERE event_type = 'click') AS ma, avg(value) FILTER (WHERE event_type = 'view') AS mb,
+                   var_samp(value) FILTER (WHERE event_type = 'click') / count(value) FILTER (WHERE event_type = 'click') AS a,
+                   var_samp(value) FILTER (WHERE event_type = 'view') / count(value) FILTER (WHERE event_type = 'view') AS b,
+                   count(value) FILTER (WHERE event_type = 'click') AS na, count(value) FILTER (WHERE event_type = 'view') AS nb FROM events),
+        t AS (SELECT (ma - mb) / sqrt(a + b) AS t_stat, (a + b) ^ 2 / (a ^ 2 / (na - 1) + b ^ 2 / (nb - 1)) AS dof FROM s)
+        SELECT t_stat, dof, {_t_p_sql("t_stat", "dof")} AS p_value FROM t
+        """,
+        doubles=["t_stat", "dof", "p_value"],
+    ),
+)
 def t4_welch_pvalue(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
-    return st.welch_ttest(ev, "value", F.col("event_type"), "click", "view").select("t_stat", "dof", "p_value")
+    return st.welch_ttest(ev, "value", F.col("event_type"), "click", "view").select("t_stat", "dof", "p_value").transform(finish)
 
 
 ANOVA_SQL = """
@@ -129,9 +173,21 @@ def t6_anova(spark, sf_dir):
     return finish(out, digits=2, overrides={"f_stat": 6})
 
 
-@query("t6_anova_pvalue")
+@query(
+    "t6_anova_pvalue",
+    sql_finish(
+        f"""
+        WITH g AS (SELECT event_type, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events
+                   WHERE value IS NOT NULL AND event_type IS NOT NULL GROUP BY 1),
+        t AS (SELECT CAST(sum(n) AS DOUBLE) AS n, CAST(count(*) AS DOUBLE) AS k, sum(n * m) / sum(n) AS grand, sum((n - 1) * v) AS ssw FROM g),
+        f AS (SELECT k - 1 AS d1, t.n - k AS d2, (SELECT sum(g.n * (g.m - t.grand) ^ 2) FROM g) / (k - 1) / (ssw / (t.n - k)) AS f_stat FROM t)
+        SELECT f_stat, {_f_p_sql("f_stat", "d1", "d2")} AS p_value FROM f
+        """,
+        doubles=["f_stat", "p_value"],
+    ),
+)
 def t6_anova_pvalue(spark, sf_dir):
-    return st.anova_oneway(read_table(spark, sf_dir, "events"), "value", "event_type").select("f_stat", "p_value")
+    return finish(st.anova_oneway(read_table(spark, sf_dir, "events"), "value", "event_type").select("f_stat", "p_value"))
 
 
 # ----------------------------------------------------------------------------

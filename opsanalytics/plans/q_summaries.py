@@ -465,9 +465,24 @@ def a34_histogram(spark, sf_dir):
     return finish(sm.histogram(read_table(spark, sf_dir, "lineitem"), "l_extendedprice", 40, by=["l_returnflag"]), digits=2)
 
 
-@query("a35_kernel_density")
+@query(
+    "a35_kernel_density",
+    sql_finish(
+        """
+        WITH s AS (SELECT l_returnflag, min(l_quantity) AS lo, max(l_quantity) AS hi, stddev_samp(l_quantity) * pow(count(l_quantity), -0.2) AS h,
+                          count(l_quantity) AS n FROM lineitem GROUP BY 1),
+        b AS (SELECT l.l_returnflag, least(floor((l_quantity - lo) / ((hi - lo) / 1024)), 1023) AS b, count(*) AS w
+              FROM lineitem l JOIN s USING (l_returnflag) WHERE l_quantity IS NOT NULL GROUP BY 1, 2),
+        g AS (SELECT *, unnest(range(32)) AS point FROM s),
+        x AS (SELECT *, lo - 3 * h + point * (hi - lo + 6 * h) / 31 AS x FROM g)
+        SELECT l_returnflag, point, x, sum(w * exp(-0.5 * pow((x - (lo + (b + 0.5) * (hi - lo) / 1024)) / h, 2)) / (h * sqrt(2 * pi()))) / any_value(n) AS density
+        FROM x JOIN b USING (l_returnflag) GROUP BY 1, 2, 3
+        """,
+        doubles=["x", "density"], digits=6, bigints=["point"],
+    ),
+)
 def a35_kernel_density(spark, sf_dir):
-    return dg.binned_kde(read_table(spark, sf_dir, "lineitem"), "l_quantity", by=["l_returnflag"], grid=32)
+    return finish(dg.binned_kde(read_table(spark, sf_dir, "lineitem"), "l_quantity", by=["l_returnflag"], grid=32), digits=6)
 
 
 @query(
