@@ -36,7 +36,7 @@ from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.store import row_key, saved, text_of
 
 GROUP_LIMIT = 1000
-LADDER = (0.05, 0.0)  # cell widths as shares of the window; the last is one window
+LADDER = (0.05, 0.0125, 0.0)  # cell widths as shares of the window; the last is one window
 BUCKET_BYTES = 1 << 20
 
 OCCURRENCES = ("doc_id bigint, key bigint, lo int, n int, byte_lo int, byte_n int, "
