@@ -11,6 +11,11 @@ a passage is two neighbouring blocks, so any ``BLOCK`` words lie whole in some p
 3. Every passage is folded in (projected, each direction over its singular value); benchmark
    passages within cosine ``COSINE`` are its candidates, if the words they share can cover
    ``COVER`` of the benchmark passage at all (by inverse document frequency).
+   Retrieval in ``RANK`` dimensions misses some short or rewritten items, so candidates also
+   come from the words themselves, without a cosine: an item's commonest words hold less than
+   what step 4 asks for, so a passage it accepts has some of the others, the item's anchors, in
+   its surroundings.  Every passage with enough of them is a candidate, so no passage that
+   step 4 accepts is lost, whatever its cosine.
 4. A candidate counts if the item's words are covered in its surroundings and the
    longest common subsequence of item and surroundings, in words, is at least ``STRICT`` of the
    item; between ``LOOSE`` and that, the item's answer must be there too: what follows
@@ -159,6 +164,18 @@ class Bench:
     vectors: np.ndarray  # of all passages of all items
     owner: np.ndarray
     cover: np.ndarray  # per passage, each feature's share of its weight, and 0 for no feature
+    anchors: Anchors
+
+
+@dataclass
+class Anchors:
+    words: np.ndarray  # distinct anchor words of all items, sorted
+    first: np.ndarray  # of each, its first posting
+    owner: np.ndarray  # per posting
+    weight: np.ndarray
+    length: np.ndarray  # per item: words, and the weight and number of anchors needed around a passage
+    least: np.ndarray
+    count: np.ndarray
 
 
 _ANSWER = tv.word_hashes(np.frombuffer(b"answer", np.uint8), np.array([0]), np.array([6]))[0]
@@ -202,7 +219,70 @@ def bench_of(rows: list, idf: np.ndarray, mapped: np.ndarray) -> Bench:
         weight = dict(zip(units.tolist(), (idf[features(units)] + 1e-3).tolist(), strict=True))
         items.append(Item(r["item_id"], units.tolist(), answer.tolist(), weight))
     return Bench(items, np.concatenate([np.zeros((0, RANK), np.float32), *vectors]), np.array(owner, np.int64),
-                 np.array(cover).reshape(-1, FEATURES + 1))
+                 np.array(cover).reshape(-1, FEATURES + 1), anchors_of(items))
+
+
+def anchors_of(items: list[Item]) -> Anchors:
+    """Each item's rarer words: the commonest ones, with up to half of what ``share`` asks for in weight and number, are left out."""
+    words, owner, weight, needs = [], [], [], []
+    for k, item in enumerate(items):
+        w = np.array(list(item.weight.values()))
+        n = np.unique(np.array(item.words, tv.U), return_counts=True)
+        n = dict(zip(n[0].tolist(), n[1].tolist(), strict=True))
+        n = np.array([n[x] for x in item.weight])
+        by = np.argsort(w, kind="stable")  # the commonest first
+        wsum, nsum = np.cumsum(w[by]), np.cumsum(n[by])
+        cut = int(np.argmax((wsum > COVER / 2 * wsum[-1]) | (nsum > LOOSE / 2 * nsum[-1])))
+        rest_w, rest_n = (wsum[cut - 1], nsum[cut - 1]) if cut else (0, 0)
+        words.append(np.array(list(item.weight), tv.U)[by[cut:]])
+        weight.append(w[by[cut:]])
+        owner.append(np.full(len(by) - cut, k))
+        needs.append((nsum[-1], (COVER * wsum[-1] - rest_w) * (1 - 1e-6), LOOSE * nsum[-1] - rest_n - 1e-6))
+    if not items:
+        none = np.zeros(0)
+        return Anchors(none.astype(tv.U), np.zeros(1, np.int64), none.astype(np.int64), none, none.astype(np.int64), none, none)
+    word, owner, weight = np.concatenate(words), np.concatenate(owner), np.concatenate(weight)
+    by = np.argsort(word, kind="stable")
+    distinct, first = np.unique(word[by], return_index=True)
+    length, least, count = np.array(needs).T
+    return Anchors(distinct, np.append(first, len(word)), owner[by], weight[by], length.astype(np.int64), least, count)
+
+
+def anchored(a: Anchors, units: np.ndarray, woff: np.ndarray, start: np.ndarray, boff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, item) of all passages with enough of the item's anchors around them, each once."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not len(a.words):
+        return none
+    w = np.minimum(np.searchsorted(a.words, units), len(a.words) - 1)
+    place = np.flatnonzero(a.words[w] == units)
+    w = w[place]
+    n = a.first[w + 1] - a.first[w]
+    posting = np.repeat(a.first[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    p, o = np.repeat(place, n), a.owner[posting]
+    by = np.argsort(o, kind="stable")
+    p, o = p[by], o[by]
+    upto = np.concatenate([[0], np.cumsum(a.weight[posting[by]])])
+    key = o * (len(units) + 1) + p
+
+    def enough(i: np.ndarray, end: np.ndarray) -> np.ndarray:
+        last = np.searchsorted(key, o[i] * (len(units) + 1) + end)
+        return (upto[last] - upto[i] >= a.least[o[i]]) & (last - i >= a.count[o[i]])
+
+    # Surroundings that hold enough hold it from their first anchor on.
+    text = np.searchsorted(woff, p, "right") - 1
+    i = np.arange(len(p))
+    i = i[enough(i, np.minimum(p + 2 * BLOCK + 2 * a.length[o], woff[text + 1]))]
+    if not len(i):
+        return none
+    t, size = text[i], a.length[o[i]]
+    before = np.where((i > 0) & (o[i - 1] == o[i]) & (text[i - 1] == t), p[i - 1] + size, -1)
+    low = np.maximum(np.maximum(before, p[i] - 2 * BLOCK - size) - woff[t], -1) // BLOCK + 1  # starts after these
+    high = np.minimum((p[i] + size - woff[t]) // BLOCK, np.maximum(boff[t + 1] - boff[t] - 2, 0))
+    n = np.maximum(high - low + 1, 0)
+    b = np.repeat(boff[t] + low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    i, t, size = np.repeat(i, n), np.repeat(t, n), np.repeat(size, n)
+    good = enough(i, np.minimum(start[b] + 2 * BLOCK + size, woff[t + 1]))
+    return b[good], o[i[good]]
 
 
 def passage_features(units: np.ndarray, start: np.ndarray, boff: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -254,7 +334,8 @@ def _search(mapped: np.ndarray, bench: Bench):
                 # A word counts once per occurrence here, so this is never less than the true cover.
                 most = bench.cover[q[:, None], passage_features(units, start, boff, at[p])].sum(1)
                 p, q = p[most >= COVER], q[most >= COVER]
-                block, owner = at[p], bench.owner[q]
+                near, item = anchored(bench.anchors, units, woff, start, boff)
+                block, owner = np.append(at[p], near), np.append(bench.owner[q], item)
                 text = np.searchsorted(boff, block, "right") - 1
                 found: dict[tuple[int, int], float] = {}
                 for b, t, o in sorted(set(zip(block.tolist(), text.tolist(), owner.tolist(), strict=True))):

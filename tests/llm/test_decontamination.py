@@ -63,3 +63,51 @@ def test_weighted_sums():
     v, rows, m = r.random(50).astype(np.float32), r.integers(0, 9, 50), r.random((9, 4)).astype(np.float32)
     want = [(v[a:b, None] * m[rows[a:b]]).sum(0) for a, b in zip(head, [1, 20, 21, 50], strict=True)]
     assert np.allclose(op5.weighted_sums(v, rows, head, m, 8), want, atol=1e-4)
+
+
+def every_passage(docs, items, idf):
+    """Brute force: each passage of each text against each item by the final rule alone, without retrieval."""
+    bench = op5.bench_of(items, idf, np.zeros((op5.FEATURES, op5.RANK), np.float32))
+    out = {}
+    for d, text in docs:
+        raw = text.lower().encode()
+        units, woff = op5.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        start, _ = op5.blocks(woff)
+        for item in bench.items:
+            n = len(item.words)
+            best = max((op5.share(item, units[max(0, b - n):b + 2 * op5.BLOCK + n].tolist())
+                        for b in start[:max(1, len(start) - 2)].tolist()), default=0.0)
+            if best:
+                out.setdefault(d, {})[item.item_id] = best
+    return out
+
+
+@pytest.fixture(scope="module")
+def by_length(spark):
+    """Items of 6 to 60 words in random documents: whole, and with one word in five or in four replaced."""
+    r = random.Random(3)
+    common = [f"c{k}" for k in range(60)]
+
+    def text(n):
+        return [r.choice(common) if r.random() < 0.7 else f"w{r.randrange(4000)}" for _ in range(n)]
+
+    items, docs, planted = [], [], []
+    for k in range(96):
+        size = (6, 8, 10, 12, 15, 20, 33, 60)[k % 8]
+        words = text(size)
+        items.append((k, " ".join(words)))
+        for every in (0, 5, 4):
+            inside = [f"new{r.randrange(999)}" if every and n % every == 1 else w for n, w in enumerate(words)]
+            around = text(r.randrange(60, 400))
+            at = r.randrange(len(around))
+            planted.append((len(docs), k, size, every))
+            docs.append((len(docs), " ".join([*around[:at], *inside, *around[at:]])))
+    return spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), planted
+
+
+def test_recall_by_length(by_length):
+    docs, bench, planted = by_length
+    got = {r["doc_id"]: {x["item_id"]: x["share"] for x in r["leaks"]} for r in op5.decontaminate(docs, bench).collect() if r["contaminated"]}
+    want = every_passage([tuple(r) for r in docs.collect()], bench.collect(), op5.inverse_frequencies(docs.select("text")))
+    assert got == want
+    assert all(k in got.get(d, {}) for d, k, _, every in planted if not every)
