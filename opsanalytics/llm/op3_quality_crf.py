@@ -6,8 +6,8 @@ are averaged into one figure per document, and a logistic curve fitted on the tr
 sample turns its log-odds into the score.
 
 The field is fitted on a bounded sample of labelled training rows: about ``SAMPLE`` documents of
-each label, chosen by a hash of the id, of each at most ``SAMPLE_LINES`` lines.  Lines carry
-their document's label.  Scoring reads every line of every document.
+each label, chosen by a hash of the id, each with all its lines.  Lines carry their document's
+label.  Scoring reads every line of every document.
 
 Defined cases: a null text is empty; an empty text is one empty line; without training
 rows of both labels every score is the share of label 1 (0.5 without any); rows repeating
@@ -29,7 +29,7 @@ from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
 from opsanalytics.llm.store import held_out, table
 
-SAMPLE, SAMPLE_LINES, CUT = 2500, 200, 0.7
+SAMPLE, CUT = 2500, 0.7
 _UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _MARK, _OTHER = range(7)
 
 
@@ -158,7 +158,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for i, j, data, off in tv.slices(batch.column("text")):
             own, length, loff = line_features(data, off)
             for k in range(j - i):
-                lo, hi = loff[k], min(loff[k + 1], loff[k] + SAMPLE_LINES)
+                lo, hi = loff[k], loff[k + 1]
                 yield pa.RecordBatch.from_pydict({
                     "label": batch.column("label").slice(i + k, 1), "length": [length[lo:hi]], "own": [own[lo:hi].ravel()]})
 

@@ -102,6 +102,20 @@ def test_quality_edges(spark, docs, no_docs):
     assert op3.score(no_docs, model).count() == 0
 
 
+def test_quality_learns_from_whole_texts(spark):
+    def clean(seed, n):
+        return [prose(seed * 1000 + k, 9).capitalize() + "." for k in range(n)]
+
+    def junk(seed, n):
+        return [f"$$ {seed * k} || >> {k} %% ##" for k in range(n)]
+
+    rows = [("\n".join(clean(k, 250)), 1) for k in range(6)] + [("\n".join(clean(50 + k, 210) + junk(k + 1, 600)), 0) for k in range(6)]
+    model = op3.learn(spark.createDataFrame(rows, "text string, label int"))
+    new = spark.createDataFrame([(1, "\n".join(clean(90, 250))), (0, "\n".join(clean(91, 210) + junk(9, 600)))], "good int, text string")
+    got = {r["row"]["good"]: r["score"] for r in op3.score(new, model).collect()}
+    assert got[1] > 0.7 and got[0] < 0.3
+
+
 def score(text, words=("vile",)):
     return op10.clause_scores(text, op10.Lexicon(dict.fromkeys(words, 4.0), {"scul": 3.0}), op10.grammar())[0]
 
