@@ -18,8 +18,8 @@ from opsanalytics.llm.op1_exact_dedup import SPACE, exact_dedup
 from opsanalytics.llm.op3_quality_crf import SAMPLE, learn, score, training_rows
 from opsanalytics.llm.op5_latent_decontamination import decontaminate
 from opsanalytics.llm.op6_pieces import encode
-from opsanalytics.llm.op7_jaccard_join import jaccard_join
-from opsanalytics.llm.store import saved, table, text_of
+from opsanalytics.llm.op7_jaccard_join import heads, linked_rows
+from opsanalytics.llm.store import row_key, saved, table, text_of
 
 # The classifier's curve, the band hashes and the latent basis are not SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -38,20 +38,32 @@ def _stay(docs: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
     return docs.join(named, on, "left_semi")
 
 
+def _one(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """Of the rows that share the keys, the one with the longest text, then the least text and content."""
+    order = F.struct(-F.length(text_of()), text_of(), F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return rows.groupBy(*keys).agg(F.min_by(row, order).alias("row")).select("row.*")
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays: the longest original, then the smallest id."""
+    """One document of each group of equal texts stays: the longest original, then the smallest id, then the least text."""
     kept = saved(exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows")), "kept")
     rows = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_of(), SPACE, ""), 256))
     rows = _stay(rows, kept, "doc_id", "text_sha256")
     if not kept.where("rows > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id", "text_sha256"])
+        rows = _one(rows, docs.columns, "doc_id", "text_sha256")
     return rows.select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group linked by shingle similarity stays."""
-    heads = jaccard_join(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    return _stay(docs, heads, "doc_id")
+    """The document with the least id, then the least row key, of each group linked by shingle similarity stays."""
+    found = saved(heads(linked_rows(docs)).withColumnRenamed("key", "key_of_row"), "heads")
+    rows = docs.withColumn("key_of_row", row_key())
+    stay = _stay(rows, found.where("heads = rows"), "doc_id", "key_of_row").select(*docs.columns)
+    copies = found.where("heads < rows")  # rows repeating id and text, in one group
+    if not copies.isEmpty():
+        stay = stay.unionByName(_one(_stay(rows, copies, "doc_id", "key_of_row"), docs.columns, "doc_id", "key_of_row"))
+    return stay
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,9 +159,9 @@ def verify(n: int, threshold: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
-                 recall: float = RECALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, class_id (least id of its connected group), n_links (documents linked to it)."""
+def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
+                recall: float = RECALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per document: doc_id, key (``row_key``), rid (its number), root (a rid that names its connected group), n_links."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"),
                       row_key(id_col, text_col).alias("key"))
     bands, rows = choose_bands(threshold, recall)
@@ -203,14 +203,30 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_class = classes.join(linked, "rep", "left").select(
         "c1", "c2", "rep", F.coalesce("root", "rep").alias("root"), (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"))
     by_class = saved(by_class, "by-class")
-    rows_ = sig.select("doc_id", "rid", "n", "c1", "c2").join(by_class, ["c1", "c2"], "left")
-    rows_ = rows_.select("doc_id", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("rid")).alias("root"),
+    rows_ = sig.select("doc_id", "key", "rid", "n", "c1", "c2").join(by_class, ["c1", "c2"], "left")
+    rows_ = rows_.select("doc_id", "key", "rid", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("rid")).alias("root"),
                          F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links"))
-    rows_ = saved(rows_, "links")
+    return saved(rows_, "links")
+
+
+def jaccard_join(docs: DataFrame, *args, **options) -> DataFrame:
+    """One row per document: doc_id, class_id (least id of its connected group), n_links (documents linked to it).
+
+    Takes the arguments of ``linked_rows``."""
+    rows_ = linked_rows(docs, *args, **options)
     names = saved(rows_.groupBy("root").agg(F.min("doc_id").alias("class_id")), "names")
     return rows_.join(names, "root").select("doc_id", "class_id", F.col("n_links").cast("bigint").alias("n_links"))
 
 
+def heads(rows: DataFrame) -> DataFrame:
+    """Of ``linked_rows``, by (doc_id, key): all rows, and the heads among them.  One row heads each group:
+    the least id, null last, then the least key; rows repeating id and text are alike, so any one of them."""
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    best = rows.groupBy("root").agg(F.min(order).alias("best")).groupBy("best.doc_id", "best.key").agg(F.count("*").alias("heads"))
+    every = rows.groupBy("doc_id", "key").agg(F.count("*").alias("rows")).select(F.col("doc_id").alias("i"), F.col("key").alias("k"), "rows")
+    return best.join(every, [F.col("i").eqNullSafe(best.doc_id), F.col("k") == best.key]).select("doc_id", "key", "heads", "rows")
+
+
 def _dropping(column: str, run):
     def inner(t: pa.Table) -> pa.Table:
         return run(t.drop_columns([column]))

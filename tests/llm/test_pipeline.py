@@ -7,6 +7,7 @@ from opsanalytics.llm import op6_pieces
 from opsanalytics.llm.op3_quality_crf import op3
 from opsanalytics.llm.store import saved
 
+from .conftest import prose
 from .test_jaccard import want as all_pairs
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +54,27 @@ def test_repeated_rows_and_empty_tables(spark, docs, no_docs):
     assert near.where("doc_id between 300 and 305").count() == 1
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, SF).count() == 0, name
+
+
+def test_one_of_each_group_with_repeated_and_null_ids(spark):
+    def near_copies(seed):
+        words = prose(seed, 150).split()
+        return [" ".join([*words[:k], f"changed{k}", *words[k + 1:]]) for k in (9, 60, 120)]
+
+    a, b, c, d = (near_copies(s) for s in (501, 502, 503, 504))
+    rows = [(7, a[0]), (7, a[1]),  # an id repeated inside a group
+            (1, b[0]), (2, b[1]), (2, c[0]), (3, c[1]),  # an id that heads one group and not the other
+            (None, d[0]), (None, prose(505, 80)), (9, d[1]), (None, d[2]),
+            (11, prose(506, 90)), (11, prose(506, 90)), (12, ""), (12, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, source string").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near(spark, docs, SF).collect()]
+    assert sum(r in got for r in ((7, a[0]), (7, a[1]))) == 1
+    left = [r for r in got if r[0] != 7]
+    want = [(1, b[0]), (2, c[0]), (9, d[1]), (None, prose(505, 80)), (11, prose(506, 90)), (12, ""), (12, "")]
+    assert sorted(left, key=str) == sorted(want, key=str)
+
+
+def test_exact_keeps_the_longest_original_of_one_id(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a  b  c"), (1, "a b  c"), (2, "a b c")], "doc_id bigint, text string")
+    for n in (1, 3):
+        assert [tuple(r) for r in corpus_pipeline.exact(spark, docs.repartition(n), SF).collect()] == [(1, "a  b  c")]
