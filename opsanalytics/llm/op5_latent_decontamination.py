@@ -21,7 +21,8 @@ a passage is two neighbouring blocks, so any ``BLOCK`` words lie whole in some p
    item; between ``LOOSE`` and that, the item's answer must be there too: what follows
    "answer" in the item, else its last words.
 
-Benchmark items are handled ``ITEMS`` at a time, so what tasks carry is bounded for any benchmark.
+Benchmark items are handled about ``ITEMS`` or ``ITEM_BYTES`` of text at a time, whichever is less, so what
+the driver and the tasks carry grows with one batch (at least one whole item), not with the benchmark.
 
 Defined cases: null and wordless texts are clean, null and wordless items match nothing; rows
 repeating an id are judged each; an empty benchmark leaves everything clean; an empty table
@@ -42,12 +43,13 @@ from pyspark.sql import functions as F
 
 from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
-from opsanalytics.llm.store import table, text_of
+from opsanalytics.llm.store import saved, table, text_of
 
 BLOCK, FEATURES, RANK, SKETCH = 16, 1 << 13, 64, 72
 COSINE, COVER, LOOSE, STRICT = 0.45, 0.5, 0.6, 0.8
 ANSWER_WORDS = 5
-ITEMS = 2000
+ITEMS, ITEM_BYTES = 2000, 4 << 20
+PASSAGES = 8192  # of a batch compared at once
 SLICE = 1 << 18
 
 
@@ -163,7 +165,8 @@ class Bench:
     items: list[Item]
     vectors: np.ndarray  # of all passages of all items
     owner: np.ndarray
-    cover: np.ndarray  # per passage, each feature's share of its weight, and 0 for no feature
+    cover_at: np.ndarray  # passage * (FEATURES + 1) + feature, sorted, for the features it has
+    cover: np.ndarray  # of each, its share of the passage's weight
     anchors: Anchors
 
 
@@ -199,7 +202,7 @@ def project(units: np.ndarray, start: np.ndarray, boff: np.ndarray, mapped: np.n
 
 
 def bench_of(rows: list, idf: np.ndarray, mapped: np.ndarray) -> Bench:
-    items, vectors, owner, cover = [], [], [], []
+    items, vectors, owner, cover, cover_at, passages = [], [], [], [], [], 0
     for r in rows:
         raw = (r["text"] or "").lower().encode()
         units, woff = tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
@@ -211,15 +214,29 @@ def bench_of(rows: list, idf: np.ndarray, mapped: np.ndarray) -> Bench:
         v, at = project(units, start, boff, mapped)
         for f in passage_features(units, start, boff, at):
             f = np.unique(f[f < FEATURES])
-            line = np.zeros(FEATURES + 1, np.float32)
-            line[f] = (idf[f] + 1e-3) / (idf[f] + 1e-3).sum()
-            cover.append(line)
+            cover.append((idf[f] + 1e-3) / (idf[f] + 1e-3).sum())
+            cover_at.append(passages * (FEATURES + 1) + f)
+            passages += 1
         owner += [len(items)] * len(v)
         vectors.append(v)
         weight = dict(zip(units.tolist(), (idf[features(units)] + 1e-3).tolist(), strict=True))
         items.append(Item(r["item_id"], units.tolist(), answer.tolist(), weight))
     return Bench(items, np.concatenate([np.zeros((0, RANK), np.float32), *vectors]), np.array(owner, np.int64),
-                 np.array(cover).reshape(-1, FEATURES + 1), anchors_of(items))
+                 np.concatenate([np.zeros(0, np.int64), *cover_at]), np.concatenate([np.zeros(0, np.float32), *cover]), anchors_of(items))
+
+
+def covered(bench: Bench, q: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Per benchmark passage ``q``: the share of its weight that the features ``found`` (a row each) have."""
+    key = q[:, None] * (FEATURES + 1) + found
+    at = np.minimum(np.searchsorted(bench.cover_at, key), len(bench.cover_at) - 1)
+    return np.where(bench.cover_at[at] == key, bench.cover[at], 0).sum(1)
+
+
+def latent_pairs(v: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, benchmark passage) within the cosine, ``PASSAGES`` of the benchmark at a time."""
+    parts = [np.nonzero(v @ vectors[k:k + PASSAGES].T >= COSINE) for k in range(0, len(vectors), PASSAGES)]
+    return (np.concatenate([p for p, _ in parts]),
+            np.concatenate([q + k * PASSAGES for k, (_, q) in enumerate(parts)]))
 
 
 def anchors_of(items: list[Item]) -> Anchors:
@@ -330,9 +347,9 @@ def _search(mapped: np.ndarray, bench: Bench):
                     continue
                 start, boff = blocks(woff)
                 v, at = project(units, start, boff, mapped)
-                p, q = np.nonzero(v @ bench.vectors.T >= COSINE)
+                p, q = latent_pairs(v, bench.vectors)
                 # A word counts once per occurrence here, so this is never less than the true cover.
-                most = bench.cover[q[:, None], passage_features(units, start, boff, at[p])].sum(1)
+                most = covered(bench, q, passage_features(units, start, boff, at[p]))
                 p, q = p[most >= COVER], q[most >= COVER]
                 near, item = anchored(bench.anchors, units, woff, start, boff)
                 block, owner = np.append(at[p], near), np.append(bench.owner[q], item)
@@ -356,26 +373,29 @@ def _search(mapped: np.ndarray, bench: Bench):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  items_at_once: int = ITEMS) -> DataFrame:
+                  items_at_once: int = ITEMS, bytes_at_once: int = ITEM_BYTES) -> DataFrame:
     """One row per document: its id (any column, also a struct), contaminated, leaks (item_id, share) in order of item_id."""
     src = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     bench = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    n = bench.count()
+    n, size = bench.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     if not n:
         none = F.array().cast("array<struct<item_id:bigint,share:double>>")
         return src.select(F.col("id").alias(id_col), F.lit(False).alias("contaminated"), none.alias("leaks"))
     idf = inverse_frequencies(src.select("text"))
     mapped = np.ascontiguousarray(latent_basis(src.select("text"), idf) * idf[:, None])
-    parts = -(-n // items_at_once)
+    parts = max(-(-n // items_at_once), -(-size // bytes_at_once))
     schema = f"id {src.schema['id'].dataType.simpleString()}, leaks array<struct<item_id:bigint,share:double>>"
     found = []
     for k in range(parts):
-        rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # about items_at_once rows
-        found.append(src.mapInArrow(_search(mapped, bench_of(rows, idf, mapped)), schema))
-    out = found[0]
-    if parts > 1:  # the same scan each time, so row numbers agree
-        out = reduce(DataFrame.unionByName, [f.withColumn("rid", F.monotonically_increasing_id()) for f in found])
-        out = out.groupBy("rid", "id").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+        rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # about one batch
+        out = src.mapInArrow(_search(mapped, bench_of(rows, idf, mapped)), schema)
+        if parts > 1:  # stored at once, so the driver lets go of the batch; the same scan each time, so row numbers agree
+            out = out.withColumn("rid", F.monotonically_increasing_id()).where(F.size("leaks") > 0)
+            found.append(saved(out.select("rid", "leaks"), "leaks"))
+    if found:
+        leaks = reduce(DataFrame.unionByName, found).groupBy("rid").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+        every = src.select("id").withColumn("rid", F.monotonically_increasing_id())
+        out = every.join(leaks, "rid", "left").select("id", F.coalesce("leaks", F.array().cast(leaks.schema["leaks"].dataType)).alias("leaks"))
     return out.select(F.col("id").alias(id_col), (F.size("leaks") > 0).alias("contaminated"), "leaks")
 
 

@@ -1,5 +1,6 @@
 """Benchmark leaks: planted items and paraphrases, and the parts by brute force."""
 
+import pickle
 import random
 
 import numpy as np
@@ -111,3 +112,21 @@ def test_recall_by_length(by_length):
     want = every_passage([tuple(r) for r in docs.collect()], bench.collect(), op5.inverse_frequencies(docs.select("text")))
     assert got == want
     assert all(k in got.get(d, {}) for d, k, _, every in planted if not every)
+
+
+def test_batches_are_bounded(by_length, monkeypatch):
+    """Long items make more batches, each of a size in proportion to its words, with the same result."""
+    docs, bench, _ = by_length
+    sizes, build = [], op5.bench_of
+
+    def watched(rows, *args):
+        out = build(rows, *args)
+        sizes.append((sum(len(i.words) for i in out.items), len(pickle.dumps(out))))
+        return out
+
+    want = {r["doc_id"]: r["leaks"] for r in op5.decontaminate(docs, bench).collect()}
+    monkeypatch.setattr(op5, "bench_of", watched)
+    size = sum(len(r["text"]) for r in bench.collect())
+    rows = op5.decontaminate(docs, bench, bytes_at_once=size // 3).collect()
+    assert len(sizes) > 2 and len(rows) == len(want) and {r["doc_id"]: r["leaks"] for r in rows} == want
+    assert all(held < 300 * words + 5000 for words, held in sizes)  # a dense row of all features is 32 KB a passage
