@@ -1,9 +1,9 @@
-"""Removal of repeated word sequences by prefix-partitioned suffix trees.
+"""Removal of repeated word sequences by suffix trees over partitioned windows.
 
-Suffixes are the windows of ``LENGTH`` words.  They are split by prefixes of variable
-length: first by the hash of a fixed-length gram that all places of a window share (see
-``repeats``), and where such a group is too large for memory by the longest prefix, the
-whole window.  Each task builds the suffix subtrees of its groups: suffixes in order,
+Suffixes are the windows of ``LENGTH`` words.  They are grouped by their
+least-hash gram of ``GRAM`` words, at any place in the window (see ``repeats``), not by a prefix:
+a run of windows sharing it is stored once.  Groups too large for memory are split by cells and
+then by the 128-bit hash of the whole window, which decides without a subtree.  Each task builds the suffix subtrees of its groups: suffixes in order,
 longest common prefixes between neighbours, and the internal nodes as the intervals of
 that array.  Nodes at depth ``LENGTH`` or more are maximal repeats; all their leaves are
 marked.
