@@ -22,6 +22,9 @@ MODULES = (
     "op8_suffix_trees",
     "op9_chat_format",
     "op10_toxicity",
+    "op11_spelling_variants",
+    "op12_secret_scan",
+    "op13_laesa_clusters",
 )
 
 
