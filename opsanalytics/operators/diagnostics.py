@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where
+from opsanalytics.operators.ordering import with_ranks
 from opsanalytics.session import cut_lineage
 
 
@@ -50,32 +51,20 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], cut: float = 3.0) -> Data
     return wide.unpivot([], list(cols), "column", "n_outliers")
 
 
-def pareto(df: DataFrame, by: str, loss: Column, buckets: int = 1024) -> DataFrame:
+def pareto(df: DataFrame, by: str, loss: Column) -> DataFrame:
     """Loss per group, sorted desc, cumulative % and share %.
 
-    The running sum over the sorted group totals is computed without a global
-    window: groups are bucketed by loss (monotone in the sort order), bucket
-    totals give offsets (a window over <= ``buckets`` rows), and the running
-    sum and rank continue inside each bucket only.
+    Ranks and running sums over the sorted group totals come from range
+    partitions and their offsets (:mod:`ordering`), never from one global window.
     """
     g = df.groupBy(by).agg(F.sum(loss).alias("loss"))
-    stats = g.agg(F.struct(F.sum("loss").alias("t"), F.min("loss").alias("lo"), F.max("loss").alias("hi"))).scalar()
-    total, lo, hi = stats["t"], stats["lo"], stats["hi"]
-    # Bucket 0 holds the largest losses (descending order).
-    b = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((hi - F.col("loss")) / (hi - lo) * buckets), F.lit(buckets - 1))).cast("int")
-    g = g.withColumn("_b", b)
-    tot = g.groupBy("_b").agg(F.sum("loss").alias("_bl"), F.count("*").alias("_bn"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", F.coalesce(F.sum("_bl").over(before), F.lit(0.0)).alias("_off_l"),
-                     F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off_n"))
-    inb = Window.partitionBy("_b").orderBy(F.desc("loss"), F.asc(by))
-    x = g.join(off, "_b")
+    total = g.agg(F.sum("loss")).scalar()
+    x = with_ranks(g, [F.desc("loss"), F.asc(by)], sums={"_before": "loss"})
     return x.select(
         by, "loss",
         (F.col("loss") * 100 / total).alias("share_pct"),
-        ((F.col("_off_l") + F.sum("loss").over(inb.rowsBetween(Window.unboundedPreceding, 0))) * 100 / total).alias("cum_pct"),
-        (F.col("_off_n") + F.row_number().over(inb)).alias("rank"),
+        ((F.col("_before") + F.coalesce("loss", F.lit(0.0))) * 100 / total).alias("cum_pct"),
+        F.col("_rn").alias("rank"),
     )
 
 

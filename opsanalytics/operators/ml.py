@@ -1,16 +1,17 @@
 """Machine learning on Spark ML.
 
 Splits and folds are exact and repeatable: rows are ordered by a seeded hash
-and numbered per class with :func:`timeseries.row_numbers` (hash buckets keep a
-large class from landing in one task).  Evaluation metrics are aggregates:
-confusion counts, a threshold sweep built from score-bin counts with running
-sums, and ROC-AUC from the rank-sum formula over per-score counts -- no cross
-join and no global sort of the rows.
+and numbered per class with :func:`ordering.with_ranks` (a class of any size
+spans many tasks).  Evaluation metrics are aggregates: confusion counts, a
+threshold sweep built from score-bin counts with running sums, and ROC-AUC from
+the rank-sum formula over per-score counts -- no cross join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -22,7 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where
-from opsanalytics.operators.timeseries import row_numbers
+from opsanalytics.operators.ordering import with_ranks
+from opsanalytics.operators.quantiles import exact_quantiles
+from opsanalytics.session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
@@ -31,7 +34,6 @@ THRESHOLD_GRID = (5, 95)  # thresholds 0.05 ... 0.95 in steps of 0.01
 MIN_RECALL = 0.80
 MAX_FPR = 0.05
 FALLBACK_THRESHOLD = 0.50
-HASH_BUCKETS = 1024
 
 
 def _hash_unit(key: str, seed: int) -> Column:
@@ -42,7 +44,7 @@ def _hash_unit(key: str, seed: int) -> Column:
 def class_row_numbers(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
     """Row number per class in seeded-hash order (``_rn``) plus the class size (``_n``)."""
     x = df.withColumn("_h", _hash_unit(key, seed))
-    numbered = row_numbers(x, [label], ["_h", key], F.floor(F.col("_h") * HASH_BUCKETS))
+    numbered = with_ranks(x, ["_h", key], [label])
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     return numbered.join(F.broadcast(sizes), label)  # one row per class
 
@@ -101,6 +103,14 @@ def fill_most_frequent(df: DataFrame, cols: Sequence[str], learned_on: DataFrame
     return df.na.fill(modes) if modes else df
 
 
+def fill_median(df: DataFrame, cols: Sequence[str], learned_on: DataFrame | None = None) -> DataFrame:
+    """M2: missing numerics <- exact median of ``learned_on``, the training rows."""
+    rows = df if learned_on is None else learned_on
+    found = [(c, exact_quantiles(rows.select(c), c, [0.5]).select("q0").first()) for c in cols]
+    medians = {c: float(r[0]) for c, r in found if r is not None and r[0] is not None}
+    return df.na.fill(medians) if medians else df
+
+
 def feature_names(model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
     """Slot names of the assembled vector (numerics, then each one-hot level)."""
     names = list(numeric)
@@ -130,10 +140,10 @@ def bagged_trees(label: str = "label", n: int = 40, depth: int = 5, seed: int =
                                   featureSubsetStrategy="all", bootstrap=True, seed=seed)
 
 
-def forest(label: str = "label", n: int = 400, min_leaf: int = 2, weight_col: str | None = "weight", seed: int = 42, depth: int = 20):
+def forest(label: str = "label", n: int = 400, min_leaf: int = 2, weight_col: str | None = "weight", seed: int = 42, depth: int = 30):
     """M7: random forest, minimum leaf size, balanced class weights.
 
-    The leaf size ends the trees; ``depth`` (at most 30 in Spark) is only a bound above it."""
+    The leaf size is meant to end the trees; 30 is the deepest tree Spark builds."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n, minInstancesPerNode=min_leaf, seed=seed, maxDepth=depth)
     if weight_col:
         rf.setWeightCol(weight_col)
@@ -167,6 +177,35 @@ def kmeans_best(df: DataFrame, k: int = 3, seeds: Sequence[int] = range(20), fea
     return best[1]
 
 
+def cluster_profile(clustered: DataFrame, numeric: Sequence[str], rate: str, cluster: str = "cluster") -> DataFrame:
+    """Rows, mean of each numeric column and mean of ``rate`` per cluster, highest rate first."""
+    means = [F.avg(c).alias(c) for c in [*numeric, rate]]
+    return clustered.groupBy(cluster).agg(F.count("*").alias("n"), *means).orderBy(F.desc(rate), cluster)
+
+
+def cross_validate(rows: DataFrame, label: str, key: str, fit: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+                   k: int = 5, seed: int = 42, parallel: int = 5) -> DataFrame:
+    """One row per stratified fold: its confusion counts, rates and AUC, and the rows trained and tested on.
+
+    ``fit(train)`` learns from a fold's training rows only and returns the scoring of other
+    rows (columns ``prediction`` and ``score``).  Folds are stored once; their fits run as
+    concurrent Spark jobs."""
+    folds = cut_lineage(stratified_folds(rows, label, key, k, seed))
+
+    def one(f: int) -> DataFrame:
+        train, test = folds.filter(F.col("fold") != f).drop("fold"), folds.filter(F.col("fold") == f).drop("fold")
+        scored = cut_lineage(fit(train)(test).select(label, "prediction", "score"))
+        return fold_metrics(scored, label).withColumns({"fold": F.lit(f), "train_rows": F.lit(train.count())})
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return reduce(DataFrame.unionByName, pool.map(one, range(k)))
+
+
+def fold_metrics(scored: DataFrame, label: str = "label") -> DataFrame:
+    """Confusion counts and rates (M11) with the AUC (M13), one row."""
+    return confusion_metrics(scored, label).withColumn("auc", roc_auc(scored, label).select("auc").scalar())
+
+
 # ---------------------------------------------------------------------------
 # evaluation
 # ---------------------------------------------------------------------------
@@ -241,26 +280,26 @@ def pick_threshold(sweep: DataFrame) -> DataFrame:
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """AUC by the rank-sum formula, ties counted half; NULL if one class is missing.
 
-    Counts per distinct score, then negatives strictly below each score come
-    from a running sum computed per score bucket plus bucket offsets (the same
-    trick as :func:`timeseries.row_numbers`), so no task sorts all scores.
+    Counts per distinct score; the negatives strictly below each score are a
+    running sum over range partitions (:mod:`ordering`), so no task sorts all scores.
     """
     y = F.col(label) == 1
     per = scored.groupBy(F.col(score).alias("s")).agg(count_where(y).alias("pos"), count_where(~y).alias("neg"))
-    bounds = per.agg(F.struct(F.min("s").alias("lo"), F.max("s").alias("hi"))).scalar()  # one subquery, reused
-    lo, hi = bounds["lo"], bounds["hi"]
-    bucket = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("s") - lo) / (hi - lo) * HASH_BUCKETS), F.lit(HASH_BUCKETS - 1)))
-    per = per.withColumn("_b", bucket)
-    btot = per.groupBy("_b").agg(F.sum("neg").alias("_bn"))
-    off = btot.withColumn("_off", F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inb = Window.partitionBy("_b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    x = per.join(off.select("_b", "_off"), "_b").withColumn("neg_below", F.col("_off") + F.coalesce(F.sum("neg").over(inb), F.lit(0)))
+    x = with_ranks(per, ["s"], sums={"neg_below": "neg"})
     agg = x.agg(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("wins"),
                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return agg.select(F.try_divide(F.col("wins"), F.col("P") * F.col("N")).alias("auc"), F.col("P").cast("bigint").alias("n_pos"),
                       F.col("N").cast("bigint").alias("n_neg"))
 
 
+def queue_threshold(sweep: DataFrame) -> DataFrame:
+    """The picked threshold (M12) if it leaves a queue, else the largest grid threshold that does."""
+    picked = pick_threshold(sweep).select("threshold").scalar()
+    queued = F.col("tp") + F.col("fp") > 0
+    reach = sweep.filter(queued).agg(F.max("threshold")).scalar()
+    return sweep.sparkSession.range(1).select(F.least(picked, reach).alias("threshold"))
+
+
 def review_queue(scored: DataFrame, threshold: float, keep: Sequence[str], score: str = "score") -> DataFrame:
     """Rows at or above the threshold, highest risk first."""
     return scored.filter(F.col(score) >= threshold).select(*keep, score).orderBy(F.desc(score), *keep)
@@ -295,59 +334,142 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
 
 
 # ---------------------------------------------------------------------------
-# M9: SMOTE inside a training fold, exact k nearest neighbours
+# M9: exact k nearest neighbours by pivot cells, SMOTE inside a training fold
 # ---------------------------------------------------------------------------
+MAX_PIVOTS = 256
+VISITS = 4          # blocks a point looks at per round
+QUERIES = 8_000     # points of one task that look at a block
+SLACK = 1e-9        # relative, for the rounding of distances in bounds
+
+
+def _distances(q, c):
+    """Euclidean distances by differences (exact up to rounding), in slices of bounded size."""
+    import numpy as np
+
+    step = max(1, 4_000_000 // max(c.size, 1))
+    return np.concatenate([np.sqrt(((q[i:i + step, None, :] - c[None, :, :]) ** 2).sum(2)) for i in range(0, len(q), step)])
+
+
+def _to_pivots(pivots):
+    """Nearest pivot of every point and the distance to it."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                d = _distances(np.stack(pdf["x"].to_numpy()).astype(float), pivots)
+                cell = d.argmin(1)
+                yield pd.DataFrame({"id": pdf["id"], "x": pdf["x"], "cell": cell, "far": d[np.arange(len(d)), cell]})
+
+    return run
+
+
+def _next_blocks(pivots, blocks, visits: int):
+    """For each point the next ``visits`` blocks in the order of their lower bound that can still hold a neighbour.
+
+    Ring ``lo..hi`` of a cell: no point in it is nearer than the gap between the ring and the
+    query's own distance to the pivot."""
+    import numpy as np
+    import pandas as pd
+
+    cell, lo, hi = (np.array([b[c] for b in blocks]) for c in ("cell", "lo", "hi"))
+
+    def run(batches):
+        for pdf in batches:
+            for i in range(0, len(pdf), 512):
+                part = pdf.iloc[i:i + 512]
+                d = _distances(np.stack(part["x"].to_numpy()).astype(float), pivots)[:, cell]
+                low = np.maximum(np.maximum(d - hi, lo - d) - SLACK * (d + hi), 0.0)
+                order = np.argsort(low, axis=1, kind="stable")
+                at = part["seen"].to_numpy()[:, None] + np.arange(visits)[None, :]
+                inside = at < len(cell)
+                block = np.take_along_axis(order, np.minimum(at, len(cell) - 1), axis=1)
+                near = np.take_along_axis(low, block, axis=1) <= part["reach"].to_numpy()[:, None]
+                row, col = np.nonzero(inside & near)
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "x": part["x"].to_numpy()[row], "block": block[row, col]})
+
+    return run
+
+
 def _block_knn(k: int):
     import numpy as np
     import pandas as pd
 
-    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        Q = np.stack(q["x"].to_numpy()).astype(float)
-        C = np.stack(c["x"].to_numpy()).astype(float)
-        d = ((Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * Q @ C.T).clip(min=0.0)
-        qid, cid = q["id"].to_numpy(), c["id"].to_numpy()
-        d[qid[:, None] == cid[None, :]] = np.inf  # a point is not its own neighbour
-        kk = min(k, C.shape[0])
-        idx = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < C.shape[0] else np.tile(np.arange(C.shape[0]), (Q.shape[0], 1))
-        rows = np.repeat(np.arange(Q.shape[0]), idx.shape[1])
-        cols = idx.ravel()
-        dist = d[rows, cols]
-        keep = np.isfinite(dist)
-        return pd.DataFrame({"qid": qid[rows][keep].astype("int64"), "cid": cid[cols][keep].astype("int64"),
-                             "dist": np.sqrt(dist[keep])})
-
-    return fn
+            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
+        c = c.sort_values("id")
+        points, cid = np.stack(c["x"].to_numpy()).astype(float), c["id"].to_numpy()
+        out = []
+        for i in range(0, len(q), 512):
+            ids = q["id"].to_numpy()[i:i + 512]
+            d = _distances(np.stack(q["x"].to_numpy()[i:i + 512]).astype(float), points)
+            d[ids[:, None] == cid[None, :]] = np.inf  # a point is not its own neighbour
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]  # ties: the smaller id
+            dist = np.take_along_axis(d, best, axis=1)
+            row, col = np.nonzero(np.isfinite(dist))
+            out.append(pd.DataFrame({"id": ids[row], "cid": cid[best[row, col]], "dist": dist[row, col]}))
+        return pd.concat(out)
+
+    return run
 
 
 def knn_within(points: DataFrame, k: int, block_rows: int = 4_000, id_col: str = "id", x_col: str = "x") -> DataFrame:
-    """Exact k nearest neighbours of every point among the same points.
+    """Exact k nearest neighbours of every point among the same points (ties: the smaller id).
 
-    Points are cut into B hash blocks of about ``block_rows``; each (query
-    block, candidate block) cogroup holds at most 2 x block_rows rows and
-    returns its local top-k per query; the B x k local candidates per query are
-    merged by an aggregate.  Distances are computed in numpy, not emitted as
-    row pairs.
-    """
-    from pyspark.sql import types as T
+    Points go to the cell of their nearest pivot, and cells are cut into rings of at most
+    ``block_rows`` points by the distance to the pivot (ranks in range partitions, so a cell
+    that holds a third of the points is many blocks).  Pivot, ring and triangle inequality give
+    every block a lower bound for every point.  In rounds each point looks at its next
+    ``VISITS`` blocks in the order of the bounds, and stops when the next bound exceeds its
+    k-th distance: the exact stop bound.  A block meets its points in tasks of about
+    ``QUERIES`` of them; local top-ks merge by an aggregate, so a point carries k rows.
 
-    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x_col).alias("x"))
+    The driver holds the pivots (at most ``MAX_PIVOTS``) and three numbers per block.
+    """
+    pts = points.select(F.col(id_col).cast("long").alias("id"), F.col(x_col).cast("array<double>").alias("x"))
     m = pts.count()
-    nb = max(1, -(-m // block_rows))
-    blk = F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))
-    # Distinct column names on each side: both come from the same points.
-    queries = pts.select(F.col("id").alias("q_id"), F.col("x").alias("q_x"), blk.alias("qb"), others.alias("cb"))
-    cands = pts.select(F.col("id").alias("c_id"), F.col("x").alias("c_x"), blk.alias("cb"), others.alias("qb"))
-    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("dist", T.DoubleType())])
-    knn = _block_knn(k)
-    local = queries.groupBy("qb", "cb").cogroup(cands.groupBy("qb", "cb")).applyInPandas(
-        lambda q, c: knn(q.rename(columns={"q_id": "id", "q_x": "x"})[["id", "x"]],
-                         c.rename(columns={"c_id": "id", "c_x": "x"})[["id", "x"]]), schema)
-    best = local.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct("dist", "cid"))), 1, k).alias("nn"))
-    return best.select("qid", F.posexplode("nn").alias("rank", "n")).select(
+    n_pivots = max(1, min(MAX_PIVOTS, -(-m // block_rows)))
+    import numpy as np
+
+    chosen = pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).collect()
+    if not chosen:
+        return pts.select(F.col("id").alias("qid"), F.lit(0).alias("rank"), F.col("id").alias("cid"), F.lit(0.0).alias("dist"))
+    pivots = np.array([r["x"] for r in chosen], float)
+    placed = pts.mapInPandas(_to_pivots(pivots), "id long, x array<double>, cell int, far double")
+    ring = F.floor((F.col("_rn") - 1) / block_rows)
+    placed = cut_lineage(with_ranks(placed, ["far", "id"], ["cell"]).select("id", "x", "cell", "far", ring.alias("ring")))
+    blocks = [r.asDict() for r in placed.groupBy("cell", "ring").agg(F.min("far").alias("lo"), F.max("far").alias("hi"))
+              .orderBy("cell", "ring").collect()]
+    numbers = pts.sparkSession.createDataFrame([(b["cell"], b["ring"], i) for i, b in enumerate(blocks)], "cell int, ring long, block int")
+    cands = cut_lineage(placed.join(numbers, ["cell", "ring"]).select("id", "x", "block"))
+
+    knn, best = _block_knn(k), None
+    schema = "id long, cid long, dist double"
+    todo = pts.withColumn("seen", F.lit(0)).withColumn("reach", F.lit(float("inf")))
+    done = 0
+    while done < len(blocks):
+        visits = cut_lineage(todo.mapInPandas(_next_blocks(pivots, blocks, VISITS), "id long, x array<double>, block int"))
+        shares = visits.groupBy("block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("shares"))
+        shares = cut_lineage(shares)
+        if shares.isEmpty():
+            break
+        asking = visits.join(shares, "block").withColumn("share", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int"))
+        looked = cands.join(shares, "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        found = (asking.select("id", "x", "block", "share").groupBy("block", "share")
+                 .cogroup(looked.select("id", "x", "block", "share").groupBy("block", "share"))
+                 .applyInPandas(lambda q, c: knn(q, c), schema))
+        rows = found if best is None else best.select("id", F.inline("nn")).unionByName(found)
+        merged = rows.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("dist", "cid"))), 1, k).alias("nn"))
+        best = cut_lineage(merged)
+        done += VISITS
+        full = F.when(F.size("nn") >= k, F.element_at("nn", -1)["dist"]).otherwise(float("inf"))
+        # A point that looked at fewer blocks than it might has met its bound and stays out.
+        went = visits.groupBy("id").agg(F.count("*").alias("c")).where(F.col("c") == VISITS).select("id")
+        todo = pts.join(went, "id").join(best.select("id", full.alias("reach")), "id", "left").select(
+            "id", "x", F.lit(done).alias("seen"), F.coalesce("reach", F.lit(float("inf"))).alias("reach"))
+    return best.select(F.col("id").alias("qid"), F.posexplode("nn").alias("rank", "n")).select(
         "qid", "rank", F.col("n.cid").alias("cid"), F.col("n.dist").alias("dist"))
 
 

@@ -22,6 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsanalytics.operators.ordering import with_ranks
+
 UNIT_INTERVAL = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS"}
 
 
@@ -127,19 +129,9 @@ def ffill_bfill(col: str, by: Sequence[str], order: str) -> Column:
 # ---------------------------------------------------------------------------
 # W3 / W4 on raw, possibly hot, entities
 # ---------------------------------------------------------------------------
-def row_numbers(df: DataFrame, entity: Sequence[str], order: Sequence[str], bucket: Column) -> DataFrame:
-    """Row number per entity in ``order`` without one task per entity.
-
-    ``bucket`` must be monotone in ``order`` (e.g. the day of the timestamp).
-    Counts per (entity, bucket) are small; a running sum over them gives each
-    bucket's offset, and ``row_number`` runs inside (entity, bucket) only.
-    """
-    x = df.withColumn("_bucket", bucket)
-    counts = x.groupBy(*entity, "_bucket").agg(F.count("*").alias("_cnt"))
-    w = Window.partitionBy(*entity).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    local = F.row_number().over(Window.partitionBy(*entity, "_bucket").orderBy(*order))
-    return x.join(offsets, [*entity, "_bucket"]).withColumn("_rn", F.col("_off") + local).drop("_off", "_bucket")
+def row_numbers(df: DataFrame, entity: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Row number per entity in ``order`` (``_rn``) without one task per entity."""
+    return with_ranks(df, order, entity)
 
 
 def rolling_rows(
@@ -148,18 +140,19 @@ def rolling_rows(
     order: Sequence[str],
     n: int,
     features: Mapping[str, "callable"],
-    bucket: Column,
     block_rows: int = 100_000,
 ) -> DataFrame:
     """W3/W4 exactly over the last ``n`` rows per entity, skew-proof.
 
     ``features`` maps an output name to ``f(window) -> Column``.  Rows are cut
-    into blocks of ``block_rows`` consecutive row numbers; each block is given
-    the previous block's last ``n - 1`` rows as a halo, windows run per
-    (entity, block), and halo rows are dropped afterwards.
+    into blocks of ``block_rows`` consecutive row numbers (``n - 1`` if that is
+    more, so that one block before holds all rows a window reaches back to); each
+    block is given the previous block's last ``n - 1`` rows as a halo, windows run
+    per (entity, block), and halo rows are dropped afterwards.
     """
+    block_rows = max(block_rows, n - 1)
     # Reuse row numbers from an earlier pass over the same entity order.
-    numbered = df if "_rn" in df.columns else row_numbers(df, entity, order, bucket)
+    numbered = df if "_rn" in df.columns else row_numbers(df, entity, order)
     blk = F.floor((F.col("_rn") - 1) / block_rows)
     core = numbered.withColumn("_blk", blk).withColumn("_halo", F.lit(False))
     tail = (

@@ -117,7 +117,6 @@ def _user_features(spark, sf_dir):
         ev, ["user_id"], ["ts", "event_id"], 6,
         {"value_mean_6": ts.mean_of("value"), "value_rms_6": ts.rms("value"), "value_p2p_6": ts.peak_to_peak("value"),
          "value_std_6": ts.std_filled("value")},
-        bucket=F.to_date("ts"),
     )
 
 
@@ -150,8 +149,7 @@ def w3_rolling_features(spark, sf_dir):
 )
 def w4_rolling_std_diff(spark, sf_dir):
     f = _user_features(spark, sf_dir)
-    d = ts.rolling_rows(f, ["user_id"], ["ts", "event_id"], 7, {"mean_diff_6": ts.diff_rows("value_mean_6", 6)},
-                        bucket=F.to_date("ts"))
+    d = ts.rolling_rows(f, ["user_id"], ["ts", "event_id"], 7, {"mean_diff_6": ts.diff_rows("value_mean_6", 6)})
     return finish(d.select("event_id", "user_id", "value_std_6", "mean_diff_6"))
 
 

@@ -24,11 +24,12 @@ def _series(spark, n=600, seed=1):
     return spark.createDataFrame(rows, "id long, ent string, ts timestamp, v double")
 
 
-def test_rolling_rows_equals_plain_window(spark):
+@pytest.mark.parametrize("block_rows", [7, 3])  # 3 rows are less than a window reaches back
+def test_rolling_rows_equals_plain_window(spark, block_rows):
     df = _series(spark)
     fast = ts.rolling_rows(df, ["ent"], ["ts", "id"], 6,
                            {"m": ts.mean_of("v"), "p2p": ts.peak_to_peak("v"), "sd": ts.std_filled("v")},
-                           bucket=F.to_date("ts"), block_rows=7)
+                           block_rows=block_rows)
     w = Window.partitionBy("ent").orderBy("ts", "id").rowsBetween(-5, 0)
     ref = df.select("id", F.avg("v").over(w).alias("m0"), (F.max("v").over(w) - F.min("v").over(w)).alias("p0"),
                     F.coalesce(F.stddev_samp("v").over(w), F.lit(0.0)).alias("s0"))
@@ -41,7 +42,7 @@ def test_rolling_rows_equals_plain_window(spark):
 
 def test_row_numbers_dense_and_ordered(spark):
     df = _series(spark, 300, seed=3)
-    n = ts.row_numbers(df, ["ent"], ["ts", "id"], F.to_date("ts"))
+    n = ts.row_numbers(df, ["ent"], ["ts", "id"])
     w = Window.partitionBy("ent").orderBy("ts", "id")
     ref = df.select("id", F.row_number().over(w).alias("rn0"))
     assert n.join(ref, "id").filter(F.col("_rn") != F.col("rn0")).count() == 0
@@ -120,18 +121,91 @@ def test_logistic_recovers_planted_signal(spark):
     assert auc > 0.85
 
 
-def test_knn_within_exact(spark):
+def _brute_neighbours(X, k):
+    d = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    return {(i, r): (int(c), d[i, c]) for i in range(len(X)) for r, c in enumerate(np.argsort(d[i], kind="stable")[:k]) if np.isfinite(d[i, c])}
+
+
+@pytest.mark.parametrize("shape", ["normal", "hot", "few"])
+def test_knn_within_exact(spark, shape):
     rng = np.random.default_rng(3)
-    X = rng.normal(size=(120, 3))
-    pts = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, x array<double>")
-    nn = ml.knn_within(pts, 4, block_rows=25).collect()
-    got = {}
-    for r in nn:
-        got.setdefault(r["qid"], set()).add(r["cid"])
-    D = ((X[:, None, :] - X[None, :, :]) ** 2).sum(-1)
-    np.fill_diagonal(D, np.inf)
-    for i in range(len(X)):
-        assert got[i] == set(np.argsort(D[i])[:4].tolist())
+    X = rng.normal(size=(160, 3)) * 5
+    if shape == "hot":  # one tight cell with most points, repeats and ties on a grid
+        X = np.concatenate([np.round(rng.normal(size=(140, 3)) * 0.3, 1), X[:40]])
+    X = X[:3] if shape == "few" else X
+    pts = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, x array<double>").repartition(3)
+    got = {(r["qid"], r["rank"]): (r["cid"], r["dist"]) for r in ml.knn_within(pts, 4, block_rows=12).collect()}
+    want = _brute_neighbours(X, 4)
+    assert got.keys() == want.keys()
+    for key, (cid, dist) in want.items():
+        assert got[key][0] == cid and got[key][1] == pytest.approx(dist, abs=1e-9)
+
+
+def test_knn_skips_far_blocks():
+    """On separated groups a point looks at a small share of the blocks."""
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    pivots = rng.normal(size=(20, 4)) * 100
+    blocks = [{"cell": c, "lo": 0.0, "hi": 2.0} for c in range(20)]
+    pts = pd.DataFrame({"id": range(20), "x": [p + 0.5 for p in pivots], "seen": 0, "reach": 4.0})
+    assert sum(len(p) for p in ml._next_blocks(pivots, blocks, 4)([pts])) == 20
+
+
+def test_ranks_of_one_hot_group(spark):
+    from opsanalytics.operators.ordering import with_ranks
+
+    rng = np.random.default_rng(6)
+    rows = [(i, "hot" if i % 3 else f"g{i % 5}", datetime(2026, 1, 1), float(rng.integers(0, 9))) for i in range(3000)]
+    rows += [(9000, None, None, None), (9001, None, None, 1.0), (9002, "hot", datetime(2026, 1, 1), None)]
+    df = spark.createDataFrame(rows, "id long, g string, day timestamp, v double").repartition(5)
+    w = Window.partitionBy("g").orderBy("day", F.desc("v"), "id")
+    got = with_ranks(df, ["day", F.desc("v"), "id"], ["g"], {"before": "v"})
+    ref = df.withColumns({"r": F.row_number().over(w),
+                          "b": F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))})
+    assert got.join(ref, "id").where("_rn != r or abs(before - b) > 1e-9").count() == 0 and got.count() == len(rows)
+    assert with_ranks(df.limit(0), ["v"], ["g"]).count() == 0
+
+
+def test_one_day_of_an_entity_is_several_tasks(spark):
+    """All rows at one moment of one entity: ranks come from many range partitions."""
+    from opsanalytics.operators import ordering
+
+    df = spark.range(20_000).select("id", F.lit("hot").alias("g"), F.lit(1).alias("day"))
+    parts = df.repartitionByRange(8, "g", "day", "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 5_000
+    ranked = ordering.with_ranks(df, ["day", "id"], ["g"])
+    assert ranked.where("_rn != id + 1").count() == 0
+
+
+def test_cross_validation_and_profile(spark):
+    df, y, s = _scored(spark, 300)
+
+    def fit(train):
+        cut = train.groupBy("label").agg(F.avg("score").alias("m")).agg(F.avg("m")).first()[0]
+        return lambda test: test.withColumn("prediction", (F.col("score") >= cut).cast("double"))
+
+    folds = ml.cross_validate(df, "label", "id", fit).collect()
+    assert sorted(r["fold"] for r in folds) == [0, 1, 2, 3, 4]
+    assert sum(r["tp"] + r["fn"] for r in folds) == int(y.sum()) and sum(r["tn"] + r["fp"] for r in folds) == int((1 - y).sum())
+    assert all(r["train_rows"] == 300 - (r["tp"] + r["fp"] + r["tn"] + r["fn"]) for r in folds)
+    prof = ml.cluster_profile(df.withColumn("cluster", (F.col("id") % 3).cast("int")), ["score"], "label").collect()
+    assert sum(r["n"] * r["score"] for r in prof) == pytest.approx(s.sum())
+    assert [r["label"] for r in prof] == sorted((r["label"] for r in prof), reverse=True)
+
+
+def test_queue_threshold_leaves_a_queue(spark):
+    low = spark.createDataFrame([(i, float(i % 2), 0.1 + i / 1000) for i in range(50)], "id long, label double, score double")
+    t = ml.queue_threshold(ml.threshold_sweep(low)).first()["threshold"]
+    assert t == 0.14 and ml.review_queue(low, t, ["id"]).count() == 10
+
+
+def test_boosted_importance_sums_to_one(spark):
+    df, _, _ = _scored(spark, 200)
+    model = ml.fit_pipeline(df.withColumn("noise", F.lit(1.0)), ml.preprocess_stages(["score", "noise"], []), ml.boosted(n=5))
+    imp = dict(ml.feature_importance(model.stages[-1], ["score", "noise"]))
+    assert sum(imp.values()) == pytest.approx(1.0) and imp["score"] > 0.99
 
 
 def test_smote_balances_on_segments(spark):
