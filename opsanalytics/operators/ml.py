@@ -495,8 +495,9 @@ def smote(train: DataFrame, label: str = "label", features: str = "features", k:
     nn = knn_within(mino, k, block_rows)
     need = n_max - n_min
     base = F.floor(need / n_min)
-    extra = F.pmod(F.xxhash64("id", F.lit(seed)), n_min) < F.pmod(need, n_min)
-    reps = mino.withColumn("reps", (base + F.when(extra, 1).otherwise(0)).cast("int")).filter(F.col("reps") > 0)
+    ranked = with_ranks(mino.withColumn("_h", F.xxhash64("id", F.lit(seed))), ["_h", "id"]).drop("_h")
+    extra = F.col("_rn") <= F.pmod(need, n_min)  # exactly the remainder
+    reps = ranked.withColumn("reps", (base + F.when(extra, 1).otherwise(0)).cast("int")).drop("_rn").filter(F.col("reps") > 0)
     samples = reps.select("id", "x", F.explode(F.sequence(F.lit(1), F.col("reps"))).alias("j"))
     pick = F.pmod(F.xxhash64("id", "j", F.lit(seed)), F.lit(k)).cast("int")
     gap = F.pmod(F.xxhash64("j", "id", F.lit(seed + 1)), F.lit(1 << 30)).cast("double") / float(1 << 30)

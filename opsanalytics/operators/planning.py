@@ -143,16 +143,44 @@ def forecast(
              (regressor_future if isinstance(regressor_future, Column) else F.lit(float(regressor_future))).cast("double").alias("regressor"),
              F.lit(True).alias("is_future"))
     allrows = h.unionByName(fut)
+    return _fitted(allrows, holidays, n_changepoints=n_changepoints, ridge=ridge, weekly_order=weekly_order, yearly_order=yearly_order)
+
+
+def _fitted(rows: DataFrame, holidays: DataFrame | None, n_changepoints: int = 10, ridge: float = 10.0, weekly_order: int = 3,
+            yearly_order: int = 4) -> DataFrame:
+    """Fit on the rows that are not ``is_future`` and predict all, per series; a series is bounded by its days."""
     if holidays is not None:
         hd = holidays.select(F.col("window_ds").alias("ds")).distinct().withColumn("holiday", F.lit(1.0))
-        allrows = allrows.join(F.broadcast(hd), "ds", "left")
+        rows = rows.join(F.broadcast(hd), "ds", "left")  # a calendar
     else:
-        allrows = allrows.withColumn("holiday", F.lit(0.0))
+        rows = rows.withColumn("holiday", F.lit(0.0))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return _fit_one(pdf, n_changepoints, ridge, weekly_order, yearly_order)
 
-    return allrows.groupBy("series").applyInPandas(fit, FORECAST_SCHEMA)
+    return rows.groupBy("series").applyInPandas(fit, FORECAST_SCHEMA)
+
+
+def rolling_holdout(history: DataFrame, days_before_end: Sequence[int], horizon_days: int, holidays: DataFrame | None = None,
+                    **model) -> DataFrame:
+    """T10 over T7: forecasts of held-out days, refitted for every origin.
+
+    An origin lies so many days before the last day of the history; the model of
+    :func:`forecast` (``model`` as there) is fitted on the days before it and predicts the next
+    ``horizon_days`` days with their known holidays and regressor.  All (series, origin) fits run
+    in one pass.  Columns: origin, series, ds, y, yhat.
+    """
+    h = history.select(F.col("series").cast("string").alias("series"), F.to_date("ds").alias("ds"), F.col("y").cast("double").alias("y"),
+                       F.col("regressor").cast("double").alias("regressor"))
+    last = h.agg(F.max("ds")).scalar()
+    h = h.withColumn("back", F.explode(F.array(*[F.lit(int(d)) for d in days_before_end])))
+    h = h.withColumn("origin", F.date_sub(last, F.col("back") - 1)).where(F.col("ds") < F.date_add("origin", horizon_days))
+    future = F.col("ds") >= F.col("origin")
+    named = h.select(F.concat_ws("|", F.date_format("origin", "yyyy-MM-dd"), "series").alias("series"), "ds",
+                     F.when(~future, F.col("y")).alias("y"), "regressor", future.alias("is_future"))
+    fc = _fitted(named, holidays, **model).where("is_future").select(
+        F.to_date(F.substring_index("series", "|", 1)).alias("origin"), F.expr("substr(series, 12)").alias("series"), "ds", "yhat")
+    return h.where(future).select("origin", "series", "ds", "y").join(fc, ["origin", "series", "ds"])
 
 
 def weekly_component(fc: DataFrame) -> DataFrame:
@@ -169,17 +197,22 @@ def horizon_means(fc: DataFrame) -> DataFrame:
 
 
 def holdout_scores(actual: DataFrame, predicted: DataFrame, keys: Sequence[str], y: str = "y", yhat: str = "yhat") -> DataFrame:
-    """T10 + J8: inner join actuals with predictions; MAPE %, RMSE, MAE and a grade.
+    """T10 + J8: inner join actuals with predictions and score them (:func:`forecast_scores`)."""
+    j = actual.select(*keys, F.col(y).alias("_y")).join(predicted.select(*keys, F.col(yhat).alias("_p")), list(keys))
+    return forecast_scores(j, "_y", "_p")
+
+
+def forecast_scores(rows: DataFrame, y: str = "y", yhat: str = "yhat", by: Sequence[str] = ()) -> DataFrame:
+    """MAPE %, RMSE, MAE, means and a grade, over all rows or per group.
 
     An actual of 0 has no percentage error: it is left out of MAPE and counts in the rest."""
-    j = actual.select(*keys, F.col(y).alias("_y")).join(predicted.select(*keys, F.col(yhat).alias("_p")), list(keys))
-    err = F.col("_y") - F.col("_p")
-    out = j.agg(
-        (F.avg(F.try_divide(F.abs(err), F.col("_y"))) * 100).alias("mape_pct"),
+    err = F.col(y) - F.col(yhat)
+    out = rows.groupBy(*by).agg(
+        (F.avg(F.try_divide(F.abs(err), F.col(y))) * 100).alias("mape_pct"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        F.avg("_y").alias("mean_actual"),
-        F.avg("_p").alias("mean_forecast"),
+        F.avg(y).alias("mean_actual"),
+        F.avg(yhat).alias("mean_forecast"),
         F.count("*").alias("n"),
     )
     grade = None

@@ -360,6 +360,88 @@ def t9_weekly_component(spark, sf_dir):
     return pl.weekly_component(fc).join(pl.horizon_means(fc), "series")
 
 
+# The same model on a fixed design -- a line and the seven weekdays, nothing shrunk -- has a closed form.
+FIXED = {"n_changepoints": 0, "ridge": 0.0, "weekly_order": 3, "yearly_order": 0}
+
+
+def _line_sql(rows: str) -> str:
+    """Least squares of a common slope and a level per weekday, per series, over ``rows`` (series, ds, y; y is null in the future)."""
+    return f"""
+        x AS (SELECT *, date_diff('day', min(ds) OVER (PARTITION BY series), ds) AS t, isodow(ds) - 1 AS wd FROM {rows}),
+        m AS (SELECT series, wd, avg(t) AS tm, avg(y) AS ym FROM x WHERE y IS NOT NULL GROUP BY series, wd),
+        b AS (SELECT series, sum((t - tm) * (y - ym)) / sum((t - tm) * (t - tm)) AS slope FROM x JOIN m USING (series, wd) WHERE y IS NOT NULL GROUP BY series),
+        lvl AS (SELECT series, wd, ym - slope * tm AS a, avg(ym - slope * tm) OVER (PARTITION BY series) AS base, slope FROM m JOIN b USING (series)),
+        fit AS (SELECT x.*, a + slope * t AS yhat, a - base AS weekly, base + slope * t AS trend FROM x JOIN lvl USING (series, wd)),
+        sd AS (SELECT series, stddev_samp(y - yhat) AS sd FROM fit GROUP BY series),
+        fc AS (SELECT fit.*, yhat - {pl.INTERVAL_Z} * sd AS yhat_lower, yhat + {pl.INTERVAL_Z} * sd AS yhat_upper FROM fit JOIN sd USING (series))"""
+
+
+DAILY_SQL = "d AS (SELECT event_type AS series, CAST(ts AS DATE) AS ds, CAST(count(*) AS DOUBLE) AS y FROM events GROUP BY 1, 2)"
+AHEAD_SQL = DAILY_SQL + """,
+        r AS (SELECT series, ds, y FROM d UNION ALL SELECT series, CAST(unnest(generate_series(max(ds) + 1, max(ds) + 60, INTERVAL 1 DAY)) AS DATE), NULL
+              FROM d GROUP BY series),""" + _line_sql("r")
+
+
+def _fixed_forecast(spark, sf_dir):
+    hist = _daily_counts(spark, sf_dir).withColumn("regressor", F.lit(0.0))
+    return pl.forecast(hist, 60, **FIXED)
+
+
+@query(
+    "t7_fixed_design",
+    sql_finish("SELECT series, ds, yhat, yhat_lower, yhat_upper, trend, weekly, y IS NULL AS is_future FROM fc",
+               doubles=["yhat", "yhat_lower", "yhat_upper", "trend", "weekly"], dates=["ds"], ctes=AHEAD_SQL),
+)
+def t7_fixed_design(spark, sf_dir):
+    fc = _fixed_forecast(spark, sf_dir)
+    return finish(fc.select("series", "ds", "yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "is_future"))
+
+
+@query(
+    "t9_fixed_design",
+    sql_finish(
+        """
+        SELECT * FROM (SELECT series, strftime(ds, '%A') AS weekday, CAST(wd AS BIGINT) AS weekday_no, avg(weekly) AS mean_weekly_effect FROM fc GROUP BY ALL)
+        JOIN (SELECT series, avg(yhat) AS mean_yhat, avg(yhat_lower) AS mean_lower, avg(yhat_upper) AS mean_upper, CAST(count(*) AS BIGINT) AS horizon_days
+              FROM fc WHERE y IS NULL GROUP BY series) USING (series)
+        """,
+        doubles=["mean_weekly_effect", "mean_yhat", "mean_lower", "mean_upper"], ctes=AHEAD_SQL,
+    ),
+)
+def t9_fixed_design(spark, sf_dir):
+    fc = _fixed_forecast(spark, sf_dir)
+    return finish(pl.weekly_component(fc).join(pl.horizon_means(fc), "series"))
+
+
+@query("t10_forecast_holdout")
+def t10_forecast_holdout(spark, sf_dir):
+    """The whole model of T7, refitted before each of two held-out weeks and scored on them."""
+    held = pl.rolling_holdout(_daily_counts(spark, sf_dir), [7, 14], 7, holidays=_holidays(spark, sf_dir))
+    return pl.forecast_scores(held, by=["origin"])
+
+
+@query(
+    "t10_fixed_holdout",
+    sql_finish(
+        """
+        SELECT origin, avg(abs(actual - yhat) / actual) * 100 AS mape_pct, sqrt(avg((actual - yhat) ^ 2)) AS rmse, avg(abs(actual - yhat)) AS mae,
+               avg(actual) AS mean_actual, avg(yhat) AS mean_forecast, CAST(count(*) AS BIGINT) AS n,
+               CASE WHEN avg(abs(actual - yhat) / actual) * 100 < 10 THEN 'EXCELLENT' WHEN avg(abs(actual - yhat) / actual) * 100 < 15 THEN 'GOOD'
+                    ELSE 'ACCEPTABLE' END AS grade
+        FROM fc WHERE y IS NULL GROUP BY origin
+        """,
+        doubles=["mape_pct", "rmse", "mae", "mean_actual", "mean_forecast"], dates=["origin"],
+        ctes=DAILY_SQL + """,
+        o AS (SELECT CAST(max(ds) - b + 1 AS DATE) AS origin FROM d, (SELECT unnest([7, 14])::INTEGER AS b) GROUP BY b),
+        r AS (SELECT series || origin AS series, origin, ds, y AS actual, CASE WHEN ds < origin THEN y END AS y FROM d, o WHERE ds < origin + 7),"""
+        + _line_sql("r"),
+    ),
+)
+def t10_fixed_holdout(spark, sf_dir):
+    hist = _daily_counts(spark, sf_dir).withColumn("regressor", F.lit(0.0))
+    return finish(pl.forecast_scores(pl.rolling_holdout(hist, [7, 14], 7, **FIXED), by=["origin"]))
+
+
 @query(
     "t10_holdout_scores",
     sql_finish(
