@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where, sum0
 from opsanalytics.operators.reconcile import LEAKAGE_CATEGORIES
+from opsanalytics.session import cut_lineage
 
 KPI_SUMS = ["expected_revenue_kes", "collected_revenue_kes", "total_leakage_kes", *LEAKAGE_CATEGORIES]
 
@@ -275,7 +276,8 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     the maximum falling in the last bin.
     """
     if by:
-        bounds = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        # Stored first: its real size decides the join, and a hot group's rows can be split.
+        bounds = cut_lineage(df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")))
         x = df.join(bounds, list(by))
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
@@ -297,7 +299,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5 IQR fences and outlier count per group.
 
-    Exact quartiles by range refinement (no group buffered in one task);
+    Exact quartiles by counts (no group buffered in one task);
     fences are joined back on the group keys and outliers counted in a second
     aggregate.
     """
@@ -312,6 +314,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         }
     )
     if by:
+        q = cut_lineage(q)  # as in histogram()
         joined = df.join(q.select(*by, "lower_fence", "upper_fence"), list(by))
         outliers = joined.groupBy(*by).agg(
             count_where((F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))).alias(

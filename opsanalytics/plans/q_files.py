@@ -134,18 +134,22 @@ def s13_json_document(spark, sf_dir):
 
 @query(
     "s14_run_log",
-    sql_finish("SELECT run_id, status, raw_rows, total_leakage_kes, error FROM (SELECT 'a' AS run_id, 'SUCCESS' AS status, "
-               "CAST(count(*) AS BIGINT) AS raw_rows, max(l_quantity) AS total_leakage_kes, CAST(NULL AS VARCHAR) AS error FROM lineitem "
-               "UNION ALL SELECT 'b', 'FAILED', CAST(count(*) AS BIGINT), NULL, repeat('x', 3000) FROM orders)",
-               doubles=["total_leakage_kes"]),
+    sql_finish("SELECT * FROM (SELECT 'a' AS run_id, 'SUCCESS' AS status, count(*) + (SELECT count(*) FROM orders) AS raw_rows, "
+               "count(*) AS raw_lineitem, (SELECT count(*) FROM orders) AS raw_orders, count(*) FILTER (l_quantity > 10) AS exception_count, "
+               "max(l_quantity) AS total_leakage_kes, CAST(NULL AS VARCHAR) AS error FROM lineitem "
+               "UNION ALL SELECT 'b', 'FAILED', count(*), NULL, count(*), NULL, NULL, repeat('x', 3000) FROM orders)",
+               doubles=["total_leakage_kes"], bigints=["raw_rows", "raw_lineitem", "raw_orders", "exception_count"]),
 )
 def s14_run_log(spark, sf_dir):
     path = _folder(spark, "s14")
-    li = read_table(spark, sf_dir, "lineitem").agg(F.count("*").alias("n"), F.max("l_quantity").alias("q")).first()
+    li = read_table(spark, sf_dir, "lineitem").agg(
+        F.count("*").alias("n"), F.max("l_quantity").alias("q"), F.count_if(F.col("l_quantity") > 10).alias("e")).first()
     n = read_table(spark, sf_dir, "orders").count()
-    io.append_run_log(spark, path, {"run_id": "a", "status": "SUCCESS", "raw_rows": li["n"], "total_leakage_kes": float(li["q"])})
-    io.append_run_log(spark, path, {"run_id": "b", "status": "FAILED", "raw_rows": n, "error": "x" * 3000})
-    return finish(io.read_run_log(spark, path).select("run_id", "status", "raw_rows", "total_leakage_kes", "error"))
+    io.append_run_log(spark, path, {"run_id": "a", "status": "SUCCESS", "raw_rows": li["n"] + n, "raw_rows_by_table": {"lineitem": li["n"], "orders": n},
+                                    "exception_count": li["e"], "total_leakage_kes": float(li["q"])})
+    io.append_run_log(spark, path, {"run_id": "b", "status": "FAILED", "raw_rows": n, "raw_rows_by_table": {"orders": n}, "error": "x" * 3000})
+    by = [F.col("raw_rows_by_table")[t].alias(f"raw_{t}") for t in ("lineitem", "orders")]
+    return finish(io.read_run_log(spark, path).select("run_id", "status", "raw_rows", *by, "exception_count", "total_leakage_kes", "error"))
 
 
 @query(
@@ -163,7 +167,7 @@ def s15_issue_log(spark, sf_dir):
 
 @query(
     "f3_require_rows",
-    sql_finish("SELECT l_linestatus, CAST(count(*) AS BIGINT) AS n, 'No rows match the given filters' AS empty_message, sum(l_quantity) AS quantity "
+    sql_finish("SELECT l_linestatus, CAST(count(*) AS BIGINT) AS n, 'Nothing left after filtering' AS empty_message, sum(l_quantity) AS quantity "
                "FROM lineitem GROUP BY 1", doubles=["quantity"], digits=2),
 )
 def f3_require_rows(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from opsanalytics.functions.scalar import NUMERIC_PATTERN
@@ -16,28 +18,27 @@ from opsanalytics.plans.driver_tables import (
     read_table,
     sql_price,
 )
+from opsanalytics.plans.o2c_job import stored_tables
 from opsanalytics.plans.registry import finish, query
 from opsanalytics.plans.sqlkit import sql_finish, sround
 
 
-def cleaned_bundle(spark, sf_dir, persist: bool = True):
-    """Cleaned tables + issue log.  Persisted once for the gate, which reads each
-    table in several independent aggregates (rules, uniqueness, anti joins, counts)."""
-    from pyspark import StorageLevel
+# The driver's products are the market segments.
+DRIVER_SPECS = qa.with_allowed(qa.O2C_SPECS, "loading_events", "product", list(SEGMENT_PRICES))
+
 
-    level = StorageLevel.MEMORY_AND_DISK
+def cleaned_bundle(spark, sf_dir, persist: bool = True):
+    """Cleaned tables + issue log.  With ``persist`` they are tables in the shared checkpoint folder, as the
+    job writes them: the gate reads each in several independent aggregates (rules, uniqueness, anti joins, counts)."""
     raw = o2c_raw_exports(spark, sf_dir)
     if persist:
-        # The issue counts and the cleaned tables both read the raw exports, whose
-        # derivation plan is deep: a reliable checkpoint (shared checkpoint folder)
-        # makes every later plan start from a plain scan.
-        from opsanalytics.session import cut_lineage
-
-        raw = {k: cut_lineage(v) for k, v in raw.items()}
+        # The issue counts and the cleaned tables both read the raw exports, whose derivation plan is deep.
+        raw = stored_tables(spark, raw)
     cleaned, issues = cl.clean_all(raw, SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
     if not persist:
         return cleaned, issues
-    return {k: v.persist(level) for k, v in cleaned.items()}, issues.persist(level)
+    written = stored_tables(spark, {**cleaned, "_issues": issues})
+    return {name: written[name] for name in cleaned}, written["_issues"]
 
 
 # ----------------------------------------------------------------------------
@@ -295,7 +296,7 @@ FROM issue_log i LEFT JOIN (
 ) r ON i."table" = r.t
 WHERE i.severity = 'critical'
 """
-SCHEMA_SQL = " UNION ALL ".join(_table_check_sql(t, s) for t, s in qa.O2C_SPECS.items())
+SCHEMA_SQL = " UNION ALL ".join(_table_check_sql(t, s) for t, s in DRIVER_SPECS.items())
 GATE_SQL = f"{SCHEMA_SQL} UNION ALL {INTEGRITY_SQL} UNION ALL {THRESHOLD_SQL}"
 
 
@@ -303,12 +304,22 @@ GATE_SQL = f"{SCHEMA_SQL} UNION ALL {INTEGRITY_SQL} UNION ALL {THRESHOLD_SQL}"
 def q1_schema_checks(spark, sf_dir):
     cleaned, _ = cleaned_bundle(spark, sf_dir)
     out = None
-    for name, spec in qa.O2C_SPECS.items():
+    for name, spec in DRIVER_SPECS.items():
         part = qa.table_check(cleaned[name], spec)
         out = part if out is None else out.unionByName(part)
     return finish(out)
 
 
+# One segment is no longer allowed: all its loadings fail.
+NARROW_SPECS = qa.with_allowed(qa.O2C_SPECS, "loading_events", "product", sorted(SEGMENT_PRICES)[1:])
+
+
+@query("q1_allowed_products", sql_finish(_table_check_sql("loading_events", NARROW_SPECS["loading_events"]), doubles=["pct_failed"], ctes=CLEAN_CTES))
+def q1_allowed_products(spark, sf_dir):
+    cleaned, _ = cleaned_bundle(spark, sf_dir)
+    return finish(qa.table_check(cleaned["loading_events"], NARROW_SPECS["loading_events"]))
+
+
 @query("q2_referential_integrity", sql_finish(INTEGRITY_SQL, doubles=["pct_failed"], ctes=CLEAN_CTES))
 def q2_referential_integrity(spark, sf_dir):
     return finish(qa.o2c_integrity(cleaned_bundle(spark, sf_dir)[0]))
@@ -331,7 +342,7 @@ def q3_issue_thresholds(spark, sf_dir):
 )
 def q4_gate_status(spark, sf_dir):
     cleaned, issues = cleaned_bundle(spark, sf_dir)
-    return finish(qa.gate_status(qa.quality_gate(cleaned, issues)))
+    return finish(qa.gate_status(qa.quality_gate(cleaned, issues, DRIVER_SPECS)))
 
 
 # ----------------------------------------------------------------------------
@@ -367,6 +378,69 @@ def r15_clean_reconcile_by_depot(spark, sf_dir):
     return finish(rc.summarize_by(r, "depot"), digits=2, overrides={"leakage_pct_of_expected": 6})
 
 
+# ----------------------------------------------------------------------------
+# The result document, written as JSON and read back
+# ----------------------------------------------------------------------------
+def _document_sql() -> str:
+    from opsanalytics.plans.q_o2c import _facts_ctes, alerts_sql, narrative_sql
+
+    seg = "coalesce(sum(total_leakage_kes), 0.0)"
+    kpis = {"total_loadings": "s.n", "exception_count": "s.n_exc", "total_leakage_kes": "s.total", "total_expected_revenue_kes": "s.expected",
+            "annualized_leakage_kes": "s.total / 45 * 365", **{c: f"s.{c}" for c in rc.LEAKAGE_CATEGORIES}}
+    parts = [f"SELECT 'summary' AS part, '{k}' AS item, CAST({e} AS DOUBLE) AS amount, NULL AS text FROM s" for k, e in kpis.items()]
+    for c in ("depot", "product", "customer"):
+        cut = " LIMIT 10" if c == "customer" else ""
+        parts.append(f"SELECT 'by_{c}', {c}, t, NULL FROM (SELECT {c}, {seg} AS t FROM reconciled WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY t DESC, {c}{cut})")
+    parts += [
+        "SELECT 'multi_invoice', NULL, CAST(count(*) AS DOUBLE), NULL FROM (SELECT dispatch_id FROM clean_invoices WHERE dispatch_id IS NOT NULL "
+        "GROUP BY 1 HAVING count(*) > 1)",
+        "SELECT 'data_quality', 'overall_status', NULL, CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' ELSE 'PASS' END FROM gate",
+        """SELECT 'check', "check", CAST(n_failed AS DOUBLE), status || ': ' || detail FROM gate""",
+        """SELECT 'issue', "table" || '.' || "check", CAST("count" AS DOUBLE), severity FROM issue_log""",
+        "SELECT 'roi', 'year1_realized_benefit_kes', year1_realized_benefit_kes, NULL FROM roi",
+        "SELECT 'roi', 'payback_period_months', payback_period_months, NULL FROM roi",
+        f"SELECT 'executive_narrative', NULL, NULL, narrative FROM ({narrative_sql(rc.CATEGORY_ACTIONS)})",
+        f"SELECT 'alert', CAST(loading_id AS VARCHAR), total_leakage_kes, narrative FROM ({alerts_sql(rc.CATEGORY_ACTIONS)})",
+    ]
+    return sql_finish(" UNION ALL ".join(f"SELECT * FROM ({x})" for x in parts), doubles=["amount"], digits=2,
+                      ctes=f"{_reconcile_over_clean()}, gate AS ({GATE_SQL}), {_facts_ctes()}")
+
+
+@query("r15_result_document", _document_sql())
+def r15_result_document(spark, sf_dir):
+    """Raw exports to the result document; its parts as rows, read back from the JSON file."""
+    from opsanalytics.session import checkpoint_dir
+    from opsanalytics.sources import files as io
+
+    cleaned, issues = cleaned_bundle(spark, sf_dir)
+    made = stored_tables(spark, {"checks": qa.quality_gate(cleaned, issues, DRIVER_SPECS), "reconciled": rc.reconcile(cleaned, prices=SEGMENT_PRICES)})
+    doc = rc.result_document(made["reconciled"], cleaned["invoices"], made["checks"], issues)
+    path = f"{checkpoint_dir(spark)}/result-{uuid.uuid4().hex}"
+    io.write_json_document(doc, path)
+    d = io.read_json_document(spark, path, doc.schema)
+
+    def part(name, item, amount, text=None):
+        as_text = [c if c is not None else F.lit(None) for c in (item, text)]
+        return F.struct(F.lit(name).alias("part"), as_text[0].cast("string").alias("item"),
+                        (amount if amount is not None else F.lit(None)).cast("double").alias("amount"), as_text[1].cast("string").alias("text"))
+
+    kpis = ["total_loadings", "exception_count", "total_leakage_kes", "total_expected_revenue_kes", "annualized_leakage_kes", *rc.LEAKAGE_CATEGORIES]
+    single = [part("summary", F.lit(k), F.col(f"summary.{k}")) for k in kpis]
+    single += [part("multi_invoice", None, F.col("multi_invoice_exception_count")),
+               part("data_quality", F.lit("overall_status"), None, F.col("data_quality.overall_status")),
+               *[part("roi", F.lit(k), F.col(f"roi.{k}")) for k in ("year1_realized_benefit_kes", "payback_period_months")],
+               part("executive_narrative", None, None, F.col("executive_narrative"))]
+    lists = [_segments(part, c) for c in ("depot", "product", "customer")]
+    lists += [F.transform("data_quality.checks", lambda x: part("check", x["check"], x["n_failed"], F.concat(x["status"], F.lit(": "), x["detail"]))),
+              F.transform("data_quality.issues", lambda x: part("issue", F.concat(x["table"], F.lit("."), x["check"]), x["count"], x["severity"])),
+              F.transform("alert_narratives", lambda x: part("alert", x["loading_id"], x["total_leakage_kes"], x["narrative"]))]
+    return finish(d.select(F.inline(F.concat(F.array(*single), *lists))), digits=2)
+
+
+def _segments(part, c: str):
+    return F.transform(f"by_{c}", lambda x: part(f"by_{c}", x[c], x["total_leakage_kes"]))
+
+
 # ----------------------------------------------------------------------------
 # J4 / U2 on the driver tables, Q6 rule suite on events
 # ----------------------------------------------------------------------------

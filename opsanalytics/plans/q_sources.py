@@ -62,3 +62,22 @@ LINK_PATTERN = '<li><a href="([^"]*)">([^<]*)</a></li>'
 )
 def s7_html_links(spark, sf_dir):
     return pl.html_list_links(read_table(spark, sf_dir, "pages"), "html", keep=["page_id"])
+
+
+@query(
+    "s7_html_tables",
+    "SELECT n_name AS page, CAST(0 AS BIGINT) AS table_no, row_number() OVER (PARTITION BY n_name ORDER BY s_suppkey) AS row_no, "
+    "CAST(s_suppkey AS VARCHAR) AS number, s_name AS name, CAST(CAST(round(s_acctbal * 100) AS BIGINT) AS VARCHAR) AS cents "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+)
+def s7_html_tables(spark, sf_dir):
+    """Suppliers as one HTML table a nation; header and rows are read back from the page text."""
+    rows = read_table(spark, sf_dir, "supplier").join(read_table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
+    cells = [F.col("s_suppkey").cast("string"), F.col("s_name"), F.round(F.col("s_acctbal") * 100).cast("bigint").cast("string")]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td class='c'> "), c, F.lit("</td>")) for c in cells], F.lit("</tr>\n"))
+    head = "<table border=1>\n<tr><th>number</th><th><b>name</b></th><th>cents</th></tr>\n"
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", row.alias("r")))), lambda x: x["r"])
+    pages = rows.groupBy(F.col("n_name").alias("page")).agg(F.concat(F.lit(head), F.array_join(listed, ""), F.lit("</table>")).alias("html"))
+    recs = pl.html_table_records(pages, "html", keep=["page"])
+    fields = [F.col("record")[c].alias(c) for c in ("number", "name", "cents")]
+    return finish(recs.select("page", "table_no", "row_no", *fields))

@@ -148,8 +148,11 @@ RUN_LOG_SCHEMA = T.StructType(
         T.StructField("duration_s", T.DoubleType()),
         T.StructField("raw_rows", T.LongType()),
         T.StructField("clean_rows", T.LongType()),
+        T.StructField("raw_rows_by_table", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("clean_rows_by_table", T.MapType(T.StringType(), T.LongType())),
         T.StructField("gate_status", T.StringType()),
         T.StructField("total_leakage_kes", T.DoubleType()),
+        T.StructField("exception_count", T.LongType()),
         T.StructField("error", T.StringType()),
     ]
 )

@@ -74,6 +74,26 @@ def test_end_to_end_job(spark, out_dir):
     assert cats.agg(F.max(F.abs("d"))).first()[0] < 1e-6
     log = io.read_run_log(spark, f"{out_dir}/out/run_log").collect()
     assert len(log) == 1 and log[0]["status"] == "SUCCESS"
+    counts = {n: d.count() for n, d in raw.items()}
+    assert log[0]["raw_rows_by_table"] == counts and log[0]["raw_rows"] == sum(counts.values())
+    assert log[0]["exception_count"] == r.filter("is_exception").count()
+    doc = spark.read.json(f"{out_dir}/out/result").first()
+    assert doc["data_quality"]["overall_status"] == rec["gate_status"] and len(doc["data_quality"]["checks"]) > 8
+    assert doc["summary"]["total_leakage_kes"] == pytest.approx(total)
+    assert sum(x["total_leakage_kes"] for x in doc["by_product"]) == pytest.approx(total)
+    assert len(doc["by_customer"]) == 10 and len(doc["alert_narratives"]) == 15
+    assert doc["roi"]["implementation_cost_kes"] == 75e6 and doc["executive_narrative"].endswith(doc["roi"]["note"])
+
+
+def test_job_settings(spark, out_dir):
+    raw = o2c_raw_exports(spark, SF)
+    use = o2c_job.Settings(window_days=90, implementation_cost_kes=1e6, ramp=0.5, actions={"billing_gap_kes": "Send the bill."}, top_exceptions=4,
+                           top_customers=2)
+    o2c_job.run_job(spark, raw, f"{out_dir}/set", default_prices=SEGMENT_PRICES, aliases=PRIORITY_ALIASES, strict=False, settings=use)
+    doc = spark.read.json(f"{out_dir}/set/result").first()
+    assert doc["summary"]["simulation_window_days"] == 90 and doc["roi"]["year1_adoption_ramp_factor"] == 0.5
+    assert doc["roi"]["implementation_cost_kes"] == 1e6 and len(doc["by_customer"]) == 2 and len(doc["alert_narratives"]) == 4
+    assert all((a["recommended_action"] == "Send the bill.") == (a["leakage_category"] == "billing_gap") for a in doc["alert_narratives"])
 
 
 def test_strict_job_stops_and_logs(spark, out_dir):
