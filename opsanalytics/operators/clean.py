@@ -16,7 +16,9 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +65,9 @@ ISSUE_SCHEMA = T.StructType(
 )
 
 
+Store = Callable[[str, DataFrame], DataFrame]
+
+
 def duplicate_count(key: str | Column) -> Column:
     """Rows after the first of each key, missing keys equal to each other."""
     k = F.col(key) if isinstance(key, str) else key
@@ -105,8 +110,13 @@ def _with_dropped(before: DataFrame, dup_col: str, clean: DataFrame, name: str)
     return before.withColumn(name, F.col("_n") - F.col(dup_col) - kept)
 
 
+def _kept(name: str, clean: DataFrame, order_col: str, store: Store | None) -> DataFrame:
+    """The cleaned table, written once by ``store`` where given: what follows counts the stored rows."""
+    return clean if store is None else store(name, clean.drop(order_col))
+
+
 def clean_loading_events(
-    raw: DataFrame, aliases: Mapping[str, str] = DEPOT_ALIASES, order_col: str = "_row"
+    raw: DataFrame, aliases: Mapping[str, str] = DEPOT_ALIASES, order_col: str = "_row", store: Store | None = None
 ) -> tuple[DataFrame, DataFrame]:
     df = raw.withColumns(
         {
@@ -134,6 +144,7 @@ def clean_loading_events(
     )
     df = keep_first(df, "loading_id", order_col)
     clean = df.filter(mask(F.col("volume_loaded_litres") > 0))
+    clean = _kept("loading_events", clean, order_col, store)
     issues = issue_rows(
         "loading_events",
         _with_dropped(before, "duplicate_loading_id", clean, "non_positive_volume"),
@@ -143,7 +154,7 @@ def clean_loading_events(
     return clean, issues
 
 
-def clean_dispatch_events(raw: DataFrame, order_col: str = "_row") -> tuple[DataFrame, DataFrame]:
+def clean_dispatch_events(raw: DataFrame, order_col: str = "_row", store: Store | None = None) -> tuple[DataFrame, DataFrame]:
     df = raw.withColumns(
         {
             "volume_dispatched_litres": parse_numeric("volume_dispatched_litres"),
@@ -159,6 +170,7 @@ def clean_dispatch_events(raw: DataFrame, order_col: str = "_row") -> tuple[Data
     )
     df = keep_first(df, "dispatch_id", order_col)
     clean = df.filter(mask(F.col("volume_dispatched_litres") > 0))
+    clean = _kept("dispatch_events", clean, order_col, store)
     issues = issue_rows(
         "dispatch_events",
         _with_dropped(before, "duplicate_dispatch_id", clean, "non_positive_volume"),
@@ -168,7 +180,7 @@ def clean_dispatch_events(raw: DataFrame, order_col: str = "_row") -> tuple[Data
 
 
 def clean_invoices(
-    raw: DataFrame, default_prices: Mapping[str, float], order_col: str = "_row"
+    raw: DataFrame, default_prices: Mapping[str, float], order_col: str = "_row", store: Store | None = None
 ) -> tuple[DataFrame, DataFrame]:
     df = raw.withColumns(
         {
@@ -194,6 +206,7 @@ def clean_invoices(
     # C14: missing amount <- volume x (filled) price.
     df = df.withColumn("amount_kes", amount_backfill("amount_kes", "volume_invoiced_litres", "unit_price_kes"))
     df = keep_first(df, "invoice_id", order_col)
+    df = _kept("invoices", df, order_col, store)
     # Rows whose dispatch is billed by more than one invoice (all of them counted).
     per_dispatch = df.groupBy("dispatch_id").agg(F.count("*").alias("n"))
     after = per_dispatch.agg(
@@ -208,7 +221,7 @@ def clean_invoices(
     return df, issues
 
 
-def clean_payments(raw: DataFrame, order_col: str = "_row") -> tuple[DataFrame, DataFrame]:
+def clean_payments(raw: DataFrame, order_col: str = "_row", store: Store | None = None) -> tuple[DataFrame, DataFrame]:
     df = raw.withColumns(
         {
             "amount_paid_kes": parse_amount("amount_paid_kes"),
@@ -224,6 +237,7 @@ def clean_payments(raw: DataFrame, order_col: str = "_row") -> tuple[DataFrame,
     )
     df = keep_first(df, "payment_id", order_col)
     clean = df.filter(mask(F.col("amount_paid_kes") > 0))
+    clean = _kept("payments", clean, order_col, store)
     issues = issue_rows(
         "payments",
         _with_dropped(before, "duplicate_payment_id", clean, "non_positive_amount"),
@@ -237,16 +251,20 @@ def clean_all(
     default_prices: Mapping[str, float],
     aliases: Mapping[str, str] = DEPOT_ALIASES,
     order_col: str = "_row",
+    store: Store | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Q5 + U1: clean the four tables; the issue log is the union of their rows."""
-    loadings, i1 = clean_loading_events(raw["loading_events"], aliases, order_col)
-    dispatches, i2 = clean_dispatch_events(raw["dispatch_events"], order_col)
-    invoices, i3 = clean_invoices(raw["invoices"], default_prices, order_col)
-    payments, i4 = clean_payments(raw["payments"], order_col)
-    cleaned = {
-        "loading_events": loadings.drop(order_col),
-        "dispatch_events": dispatches.drop(order_col),
-        "invoices": invoices.drop(order_col),
-        "payments": payments.drop(order_col),
-    }
-    return cleaned, i1.unionByName(i2).unionByName(i3).unionByName(i4)
+    """Q5 + U1: clean the four tables; the issue log is the union of their rows.
+
+    ``store(name, table)`` writes a cleaned table and returns the stored one, so that the issue log
+    counts its rows and cleaning runs once; the four run as concurrent jobs."""
+    steps = [
+        lambda: clean_loading_events(raw["loading_events"], aliases, order_col, store),
+        lambda: clean_dispatch_events(raw["dispatch_events"], order_col, store),
+        lambda: clean_invoices(raw["invoices"], default_prices, order_col, store),
+        lambda: clean_payments(raw["payments"], order_col, store),
+    ]
+    with ThreadPoolExecutor(len(steps)) as pool:
+        done = list(pool.map(lambda step: step(), steps))
+    names = ("loading_events", "dispatch_events", "invoices", "payments")
+    cleaned = {name: table.drop(order_col) for name, (table, _) in zip(names, done, strict=True)}
+    return cleaned, reduce(DataFrame.unionByName, [issues for _, issues in done])

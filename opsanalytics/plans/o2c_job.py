@@ -107,12 +107,8 @@ def run_job(
     try:
         count("raw", raw)
         phase("read_count")
-        cleaned, issues = cl.clean_all(raw, default_prices, aliases)
-        written = _parallel({
-            **{name: (lambda d=df, n=name: _persist(d, f"{out}/clean/{n}")) for name, df in cleaned.items()},
-            "dq_issues": lambda: _persist(issues.coalesce(1), f"{out}/dq_issues"),
-        })
-        cleaned, issues = {name: written[name] for name in cleaned}, written["dq_issues"]
+        cleaned, issues = cl.clean_all(raw, default_prices, aliases, store=lambda name, df: _persist(df, f"{out}/clean/{name}"))
+        issues = _persist(issues.coalesce(1), f"{out}/dq_issues")
         count("clean", cleaned)
         phase("clean")
 
@@ -129,26 +125,23 @@ def run_job(
         reconciled = _persist(r, f"{out}/reconciled", partition_by=("loading_month",))
         phase("reconcile")
 
-        document = rc.result_document(
-            reconciled, cleaned["invoices"], report, issues, use.window_days, use.implementation_cost_kes, use.recovery_rates, use.ramp,
-            use.top_customers, use.top_exceptions, use.actions)
-        outputs = {
+        reports = rc.result_parts(reconciled, cleaned["invoices"], use.window_days, use.top_exceptions, use.actions)
+        multi = rc.multi_invoice_rows(cleaned["invoices"])
+        parts = _parallel({
+            **{name: (lambda d=df, n=name: _persist(d, f"{out}/reports/{n}")) for name, df in reports.items()},
+            "_multi_invoice": lambda: io.write_csv(multi, f"{out}/multi_invoice"),
+        })
+        document = rc.result_document(parts, report, issues, use.implementation_cost_kes, use.recovery_rates, use.ramp, use.top_customers, use.actions)
+        roi = rc.compute_roi(parts["summary"], use.implementation_cost_kes, use.recovery_rates, use.ramp)
+        _parallel({
             "result": lambda: io.write_json_document(document, f"{out}/result"),
-            "multi_invoice": lambda: io.write_csv(rc.multi_invoice_rows(cleaned["invoices"]), f"{out}/multi_invoice"),
-        }
-        for col in ("depot", "product", "customer"):
-            outputs[f"by_{col}"] = (lambda c=col: io.write_csv(rc.summarize_by(reconciled, c), f"{out}/by_{c}", single_file=c != "customer"))
-        _parallel(outputs)
-        # The short documents are parts of the result, read back from it.
-        result = io.read_json_document(spark, f"{out}/result", document.schema)
-        parts = {
-            "summary": result.select("summary.*"),
-            "roi": result.select("roi.*"),
-        }
-        writes = {name: (lambda d=df, n=name: io.write_json_document(d, f"{out}/{n}")) for name, df in parts.items()}
-        writes["alerts"] = lambda: io.write_csv(result.select(F.inline("alert_narratives")), f"{out}/alerts", single_file=True)
-        _parallel(writes)
-        kpi = result.select("summary.total_leakage_kes", "summary.exception_count").first()
+            "summary": lambda: io.write_json_document(parts["summary"], f"{out}/summary"),
+            "roi": lambda: io.write_json_document(roi, f"{out}/roi"),
+            "alerts": lambda: io.write_csv(parts["alerts"], f"{out}/alerts", single_file=True),
+            **{f"by_{c}": (lambda c=c: io.write_csv(parts[f"by_{c}"].orderBy(F.desc("total_leakage_kes"), F.asc(c)), f"{out}/by_{c}",
+                                                    single_file=c != "customer")) for c in ("depot", "product", "customer")},
+        })
+        kpi = parts["summary"].select("total_leakage_kes", "exception_count").first()
         record["total_leakage_kes"], record["exception_count"] = float(kpi[0]), int(kpi[1])
         phase("outputs")
         record["status"] = "SUCCESS"

@@ -34,11 +34,10 @@ def cleaned_bundle(spark, sf_dir, persist: bool = True):
     if persist:
         # The issue counts and the cleaned tables both read the raw exports, whose derivation plan is deep.
         raw = stored_tables(spark, raw)
-    cleaned, issues = cl.clean_all(raw, SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
     if not persist:
-        return cleaned, issues
-    written = stored_tables(spark, {**cleaned, "_issues": issues})
-    return {name: written[name] for name in cleaned}, written["_issues"]
+        return cl.clean_all(raw, SEGMENT_PRICES, aliases=PRIORITY_ALIASES)
+    cleaned, issues = cl.clean_all(raw, SEGMENT_PRICES, aliases=PRIORITY_ALIASES, store=lambda name, df: stored_tables(spark, {name: df})[name])
+    return cleaned, stored_tables(spark, {"issues": issues})["issues"]
 
 
 # ----------------------------------------------------------------------------
@@ -414,7 +413,8 @@ def r15_result_document(spark, sf_dir):
 
     cleaned, issues = cleaned_bundle(spark, sf_dir)
     made = stored_tables(spark, {"checks": qa.quality_gate(cleaned, issues, DRIVER_SPECS), "reconciled": rc.reconcile(cleaned, prices=SEGMENT_PRICES)})
-    doc = rc.result_document(made["reconciled"], cleaned["invoices"], made["checks"], issues)
+    parts = stored_tables(spark, rc.result_parts(made["reconciled"], cleaned["invoices"]))
+    doc = rc.result_document(parts, made["checks"], issues)
     path = f"{checkpoint_dir(spark)}/result-{uuid.uuid4().hex}"
     io.write_json_document(doc, path)
     d = io.read_json_document(spark, path, doc.schema)
