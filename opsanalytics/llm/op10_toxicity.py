@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsanalytics.llm.catalogue import corpus_query
-from opsanalytics.llm.store import held_out, saved, table
+from opsanalytics.llm.store import held_out, packed, saved, table, with_row
 
 SAMPLE, CUT = 8000, 0.7
 STEMS = range(4, 8)
@@ -262,11 +262,10 @@ def learn(rows: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with score, predicted, and the clause scores best and total."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
-    src = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).alias("text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "best double, total double"])
-    found = src.mapInArrow(_clauses(model.lexicon), schema)
+    """(row, best, total, score, predicted): ``row`` holds the columns of ``docs`` without the text; best and
+    total are the clause scores."""
+    src = packed(docs, text_col)
+    found = src.mapInArrow(_clauses(model.lexicon), with_row(src, "best double, total double"))
     if model.constant is not None:
         value = F.lit(model.constant)
     else:
@@ -282,4 +281,4 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, {0: 3 * SAMPLE, 1: SAMPLE}))
     marked = score(docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out")), model)
-    return marked.select("doc_id", "held_out", "score", "predicted")
+    return marked.select("row.doc_id", "row.held_out", "score", "predicted")

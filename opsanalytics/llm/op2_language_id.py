@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
-from opsanalytics.llm.store import held_out, saved, table
+from opsanalytics.llm.store import held_out, packed, saved, table, with_row
 
 GRAM = 5
 SHARE, NOISE = 1e-5, 0.02
@@ -152,22 +152,19 @@ def _predict(model: Filters | None):
                 pick = np.where(top > 0, np.array(model.languages, object)[best], model.most)
                 named[i:j] = np.where(lettered[i:j], pick, "und")
                 score[i:j] = np.where(lettered[i:j], top / np.maximum(corrected.sum(1), 1e-300), 0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"),
-                                              pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1))],
-                                             names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(named, pa.string()), pa.array(np.clip(score, 0, 1))],
+                                             names=["row", "lang_pred", "score"])
     return run
 
 
 def predict(docs: DataFrame, model: Filters | None, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with lang_pred and score."""
-    kept = [f for f in docs.schema.fields if f.name != text_col]
-    src = docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text_col).alias("text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"])
-    return src.mapInArrow(_predict(model), schema)
+    """(row, lang_pred, score): ``row`` holds the columns of ``docs`` without the text."""
+    src = packed(docs, text_col)
+    return src.mapInArrow(_predict(model), with_row(src, "lang_pred string, score double"))
 
 
 @corpus_query("op2_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
     model = learn(docs.where("not held_out"))
-    return predict(docs.select("doc_id", "text", "held_out"), model)
+    return predict(docs.select("doc_id", "text", "held_out"), model).select("row.*", "lang_pred", "score")

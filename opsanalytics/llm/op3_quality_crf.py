@@ -6,8 +6,9 @@ are averaged into one figure per document, and a logistic curve fitted on the tr
 sample turns its log-odds into the score.
 
 The field is fitted on a bounded sample of labelled training rows: about ``SAMPLE`` documents of
-each label, chosen by a hash of the id, each with all its lines.  Lines carry their document's
-label.  Scoring reads every line of every document.
+each label, chosen by a hash of the id, each with all its lines, and of these, in the order of a
+hash of the text, as many as have ``SAMPLE_LINES`` lines together (a text of more lines than that is
+not in the sample).  Lines carry their document's label.  Scoring reads every line of every document.
 
 Defined cases: a null text is empty; an empty text is one empty line; without training
 rows of both labels every score is the share of label 1 (0.5 without any); rows repeating
@@ -18,18 +19,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opsanalytics.llm import crf
 from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
-from opsanalytics.llm.store import held_out, table
+from opsanalytics.llm.store import held_out, packed, table, with_row
 
-SAMPLE, CUT = 2500, 0.7
+SAMPLE, SAMPLE_LINES, CUT = 2500, 250_000, 0.7
 _UPPER, _LOWER, _DIGIT, _SPACE, _STOP, _MARK, _OTHER = range(7)
 
 
@@ -177,9 +179,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return max(float(a), 1e-3), float(b)
 
 
-def learn(rows: DataFrame) -> Model:
+def within_lines(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of a bounded sample, per label in the order of a hash of the text, up to ``most`` lines together."""
+    breaks = F.length("text") - F.length(F.translate("text", "\n", ""))
+    sized = rows.withColumns({"place": F.xxhash64("text"), "lines": F.coalesce(breaks, F.lit(0)) + 1})
+    upto = Window.partitionBy("label").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)  # numbers only, bounded by the sample
+    sums = sized.where(F.col("lines") <= most).select("label", "place", F.sum("lines").over(upto).alias("upto"))
+    last = {r["label"]: r["last"] for r in sums.where(F.col("upto") <= most).groupBy("label").agg(F.max("place").alias("last")).collect()}
+    fits = [(F.col("label") == k) & (F.col("place") <= v) for k, v in last.items()]
+    return sized.where((F.col("lines") <= most) & reduce(lambda a, b: a | b, fits, F.lit(False))).select(*rows.columns)
+
+
+def learn(rows: DataFrame, most_lines: int = SAMPLE_LINES) -> Model:
     """``rows`` is a bounded sample with text and label (0 or 1)."""
-    rows = rows.where("label in (0, 1)").select("label", "text")
+    rows = within_lines(rows.where("label in (0, 1)").select("label", "text"), most_lines)
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Model(np.zeros(OWN), np.ones(OWN), np.zeros(0), np.zeros((2, 2)), 1, 0, float(next(iter(counts), 0.5)))
@@ -211,10 +224,8 @@ def _score(model: Model):
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """(row, score, predicted): ``row`` holds the columns of ``docs``, without the text unless it is to be kept."""
-    kept = [F.col(f"`{f}`") for f in docs.columns if keep_text or f != text_col]
-    src = docs.select(F.struct(*kept).alias("row"), F.col(text_col).alias("text"))
-    schema = f"row {src.schema['row'].dataType.simpleString()}, score double"
-    return src.mapInArrow(_score(model), schema).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    src = packed(docs, text_col, keep_text)
+    return src.mapInArrow(_score(model), with_row(src, "score double")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, most: dict[int, int]) -> DataFrame:

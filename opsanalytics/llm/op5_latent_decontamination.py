@@ -40,10 +40,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
-from opsanalytics.llm.store import saved, table, text_of
+from opsanalytics.llm.store import column, saved, table, text_of
 
 BLOCK, FEATURES, RANK, SKETCH = 16, 1 << 13, 64, 72
 COSINE, COVER, LOOSE, STRICT = 0.45, 0.5, 0.6, 0.8
@@ -375,7 +376,7 @@ def _search(mapped: np.ndarray, bench: Bench):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   items_at_once: int = ITEMS, bytes_at_once: int = ITEM_BYTES) -> DataFrame:
     """One row per document: its id (any column, also a struct), contaminated, leaks (item_id, share) in order of item_id."""
-    src = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    src = docs.select(column(id_col).alias("id"), text_of(text_col).alias("text"))
     bench = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     n, size = bench.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     if not n:
@@ -384,7 +385,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     idf = inverse_frequencies(src.select("text"))
     mapped = np.ascontiguousarray(latent_basis(src.select("text"), idf) * idf[:, None])
     parts = max(-(-n // items_at_once), -(-size // bytes_at_once))
-    schema = f"id {src.schema['id'].dataType.simpleString()}, leaks array<struct<item_id:bigint,share:double>>"
+    schema = T.StructType([src.schema["id"], *T.StructType.fromDDL("leaks array<struct<item_id:bigint,share:double>>").fields])
     found = []
     for k in range(parts):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # about one batch

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsanalytics.session import checkpoint_dir
 
@@ -28,6 +29,23 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(docs: DataFrame, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """(row, text): all columns of the caller in one struct (the text only if it is to be kept), so that no
+    name of theirs meets a working name."""
+    kept = [column(c) for c in docs.columns if keep_text or c != text_col]
+    return docs.select(F.struct(*kept or [F.lit(None).alias("none")]).alias("row"), column(text_col).alias("text"))
+
+
+def with_row(src: DataFrame, fields: str) -> T.StructType:
+    """Schema of ``row`` as in ``src`` and further fields."""
+    return T.StructType([src.schema["row"], *T.StructType.fromDDL(fields).fields])
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """A 64-bit key that, together with the id, names a row by content: rows that
     repeat both id and text share the key, and so share every result."""

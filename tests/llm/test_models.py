@@ -30,9 +30,9 @@ def test_language_held_out_accuracy(spark):
 
 def test_language_edges(spark, docs, no_docs):
     model = op2.learn(docs.select("text", "lang"))
-    got = {r["doc_id"]: r for r in op2.predict(docs.select("doc_id", "text", "key"), model).collect()}
+    got = {r["row"]["doc_id"]: r for r in op2.predict(docs.select("doc_id", "text", "key"), model).collect()}
     assert got[1]["lang_pred"] == got[2]["lang_pred"] == got[3]["lang_pred"] == "und" and got[1]["score"] == 0
-    assert got[4]["lang_pred"] == "en" and got[10]["key"] == "clash"
+    assert got[4]["lang_pred"] == "en" and got[10]["row"]["key"] == "clash"
     assert op2.learn(no_docs) is None
     assert {r["lang_pred"] for r in op2.predict(docs.select("doc_id", "text"), None).collect()} == {"und"}
     assert op2.predict(no_docs, model).count() == 0
@@ -163,8 +163,47 @@ def test_toxicity_edges(spark, docs, no_docs):
     rows += [(300 + k, "onlyhere and evermore", 1) for k in range(60)]
     model = op10.learn(spark.createDataFrame([*rows, (999, None, 0), (998, "vile", None)], "id bigint, text string, label int"))
     assert set(model.lexicon.words) == {"vile"}
-    got = {r["doc_id"]: r for r in op10.score(docs, model).collect()}
+    got = {r["row"]["doc_id"]: r for r in op10.score(docs, model).collect()}
     assert got[1]["predicted"] == got[2]["predicted"] == 0 and got[1]["total"] == 0
     assert op10.score(spark.createDataFrame([(1, "so vile")], "doc_id bigint, text string"), model).first()["predicted"] == 1
     assert op10.score(no_docs, model).count() == 0
     assert op10.learn(no_docs.selectExpr("text", "1 as label")).constant == 0.5
+
+
+CLASHING = ["score", "best", "total", "row", "lang_pred", "predicted", "text_sha256", "key", "key_of_row", "stay_doc_id", "id", "leaks", "a b", "c`d"]
+
+
+def with_clashes(docs):
+    """Rows with columns named as the operators' own, a space and a backtick among them."""
+    from pyspark.sql import functions as F
+
+    return docs.select("doc_id", "text", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING])
+
+
+def test_predictors_keep_every_caller_column(spark, docs):
+    rows = with_clashes(docs)
+    want = sorted((str(tuple(r)) for r in rows.drop("text").collect()))
+    texts = spark.createDataFrame([("good line\nmore", 1), ("BAD!! BAD!!", 0)], "text string, label int")
+    for got in (op2.predict(rows, None), op3.score(rows, op3.learn(texts)), op10.score(rows, op10.learn(texts))):
+        assert got.select("row.*").columns == ["doc_id", *CLASHING]
+        assert sorted(str(tuple(r["row"])) for r in got.collect()) == want
+
+
+def test_training_lines_are_bounded(spark):
+    rows = spark.createDataFrame([(k % 2, f"line {k}\n" * (k % 7)) for k in range(60)] + [(1, "x\n" * 500), (0, None)], "label int, text string")
+    kept = op3.within_lines(rows, 40).collect()
+    lines = {v: [(r["text"] or "").count("\n") + 1 for r in kept if r["label"] == v] for v in (0, 1)}
+    assert all(20 < sum(x) <= 40 for x in lines.values())
+    assert len(op3.within_lines(rows, 10_000).collect()) == 62
+
+
+def test_long_chain_trains_quickly():
+    import time
+
+    r = np.random.default_rng(4)
+    off = np.concatenate([[0, 100_000], np.arange(100_010, 110_001, 10)])
+    y = np.repeat(r.integers(0, 2, len(off) - 1), np.diff(off))
+    x = r.normal(size=(off[-1], 3 * op3.OWN)) + y[:, None]
+    start = time.time()
+    w, _ = crf.fit(x, off, y, np.ones(len(off) - 1))
+    assert time.time() - start < 60 and w.mean() > 0

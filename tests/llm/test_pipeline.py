@@ -78,3 +78,16 @@ def test_exact_keeps_the_longest_original_of_one_id(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a  b  c"), (1, "a b  c"), (2, "a b c")], "doc_id bigint, text string")
     for n in (1, 3):
         assert [tuple(r) for r in corpus_pipeline.exact(spark, docs.repartition(n), SF).collect()] == [(1, "a  b  c")]
+
+
+def test_stages_keep_every_caller_column(spark, docs):
+    from .test_models import with_clashes
+
+    rows = saved(with_clashes(docs), "clashes")
+    want = {str(tuple(r)) for r in rows.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, rows, SF)
+        assert got.columns == rows.columns, name
+        assert {str(tuple(r)) for r in got.collect()} <= want, name
+        assert name == "quality" or got.count() > 0
+    assert corpus_pipeline.tokens(spark, rows, SF).count() == rows.count()

@@ -79,3 +79,31 @@ def test_indexes_on_random_sequences(seed):
     want = [i + window <= len(t) and seen[t[i:i + window]] > 1 for t in texts for i in range(len(t))]
     assert op4.repeated_bytes(units, off, window).tolist() == want
     assert op8.repeated_words(units.astype(np.uint64), off, window).tolist() == want
+
+
+def test_hot_passage_goes_down_the_ladder(spark, monkeypatch):
+    """A passage in more documents than a group may hold, each time between other neighbours: cells, then single windows."""
+    import random
+
+    r = random.Random(9)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(700))
+    rows = []
+    for k in range(op4_limit() + 300):
+        head, tail = ("".join(r.choice("abcdefghijkl ") for _ in range(r.randrange(250))) for _ in "ab")
+        cut = passage if k % 3 else passage[r.randrange(60):]
+        rows.append((k, head + cut + tail))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    steps = []
+    from opsanalytics.llm import repeats
+
+    cells = repeats._cells
+    monkeypatch.setattr(repeats, "_cells", lambda units, width: steps.append(width) or cells(units, width))
+    got = op4.remove_repeats(docs)
+    assert Counter(tuple(x)[:5] for x in got.collect()) == want_bytes(rows)
+    assert len(steps) >= 2
+
+
+def op4_limit() -> int:
+    from opsanalytics.llm.repeats import GROUP_LIMIT
+
+    return GROUP_LIMIT
