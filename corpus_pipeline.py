@@ -6,7 +6,8 @@ a stage returns to the shared checkpoint folder and hands the stored table to th
 
 Defined cases: rows repeating id and text are copies, of which exact deduplication leaves
 one; two rows that share an id but not their text are different documents; a null id is a
-value like any other; an empty table stays empty through every stage.
+value like any other; an empty table stays empty through every stage; further columns,
+whatever their names, come back unchanged from every stage but the last.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from opsanalytics.llm.op3_quality_crf import SAMPLE, learn, score, training_rows
 from opsanalytics.llm.op5_latent_decontamination import decontaminate
 from opsanalytics.llm.op6_pieces import encode
 from opsanalytics.llm.op7_jaccard_join import heads, linked_rows
-from opsanalytics.llm.store import row_key, saved, table, text_of
+from opsanalytics.llm.store import column, row_key, saved, table, text_of
 
 # The classifier's curve, the band hashes and the latent basis are not SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -31,44 +32,48 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score(docs, model, keep_text=True).where("predicted = 1").select("row.*")
 
 
-def _stay(docs: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
-    """Rows of ``docs`` whose keys (null-safe) are in ``ids``."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): the caller's row as one struct beside the columns worked with, so that no name of theirs is in the way."""
+    return docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), "doc_id", text_of().alias("text"))
+
+
+def _stay(rows: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys (null-safe) are in ``ids``."""
     named = ids.select(*[F.col(k).alias(f"stay_{k}") for k in keys])
     on = [F.col(k).eqNullSafe(F.col(f"stay_{k}")) for k in keys]
-    return docs.join(named, on, "left_semi")
+    return rows.join(named, on, "left_semi")
 
 
-def _one(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+def _one(rows: DataFrame, *keys: str) -> DataFrame:
     """Of the rows that share the keys, the one with the longest text, then the least text and content."""
-    order = F.struct(-F.length(text_of()), text_of(), F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
-    return rows.groupBy(*keys).agg(F.min_by(row, order).alias("row")).select("row.*")
+    order = F.struct(-F.length("text"), "text", F.xxhash64("row"))
+    return rows.groupBy(*keys).agg(F.min_by("row", order).alias("row"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays: the longest original, then the smallest id, then the least text."""
     kept = saved(exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows")), "kept")
-    rows = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_of(), SPACE, ""), 256))
+    rows = _rows(docs).withColumn("text_sha256", F.sha2(F.regexp_replace("text", SPACE, ""), 256))
     rows = _stay(rows, kept, "doc_id", "text_sha256")
     if not kept.where("rows > 1").isEmpty():
-        rows = _one(rows, docs.columns, "doc_id", "text_sha256")
-    return rows.select(*docs.columns)
+        rows = _one(rows, "doc_id", "text_sha256")
+    return rows.select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id, then the least row key, of each group linked by shingle similarity stays."""
-    found = saved(heads(linked_rows(docs)).withColumnRenamed("key", "key_of_row"), "heads")
-    rows = docs.withColumn("key_of_row", row_key())
-    stay = _stay(rows, found.where("heads = rows"), "doc_id", "key_of_row").select(*docs.columns)
+    found = saved(heads(linked_rows(docs)), "heads")
+    rows = _rows(docs).withColumn("key", row_key())
+    stay = _stay(rows, found.where("heads = rows"), "doc_id", "key").select("row.*")
     copies = found.where("heads < rows")  # rows repeating id and text, in one group
     if not copies.isEmpty():
-        stay = stay.unionByName(_one(_stay(rows, copies, "doc_id", "key_of_row"), docs.columns, "doc_id", "key_of_row"))
+        stay = stay.unionByName(_one(_stay(rows, copies, "doc_id", "key"), "doc_id", "key").select("row.*"))
     return stay
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, or a paraphrase of one, go."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    rows = _rows(docs).select("row", "text")
     return decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="row").where("not contaminated").select("row.*")
 
 
