@@ -2,10 +2,11 @@
 
 The template is declarative: per role the text before and after its turn, whether
 its text is under the loss mask, and the states from which the role may follow.
-Per turn the operator emits segments (kind, text, loss flag) in order; joined in
+Per turn, that is per row, the operator emits segments (kind, text, loss flag); joined in
 (turn, segment) order they are the formatted conversation.  The state after a turn
-depends on its role alone, so the machine needs only the previous turn's role and
-every turn is checked by itself.
+depends on its role alone, so the machine needs only the previous turn's role, which
+every turn meets by its rank.  Only the formatted text of a conversation and its digests
+bring its turns into one row.
 
 Control strings inside texts are escaped reversibly: in every ``<\\...\\|`` (any
 number of backslashes, also none) one backslash is added, so a text never contains
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from opsanalytics.llm.catalogue import corpus_query
 from opsanalytics.llm.store import table, text_of
+from opsanalytics.operators.ordering import with_ranks
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -84,37 +86,44 @@ def _segment(kind: str, text: Column, loss: Column) -> Column:
     return F.struct(F.lit(kind).alias("kind"), text.alias("text"), loss.alias("loss"))
 
 
-def turns_of(conversations: DataFrame) -> DataFrame:
-    """One row per conversation with its turns in order, as (turn, role, text)."""
-    one = F.struct(F.col("turn"), text_of("role").alias("role"), text_of("text").alias("text"))
-    return conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("turns"))
+def turn_segments(conversations: DataFrame, template: Template = CHAT) -> DataFrame:
+    """One row per turn: conv_id, turn, role, text and its segments (kind, text, loss).  Each turn by itself:
+    no shuffle, and a conversation of any length is as many rows as it has turns."""
+    loss = F.array_contains(F.array(*[F.lit(r.name) for r in template.roles if r.loss]), F.col("role"))
+    off = F.lit(False)
+    rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"))
+    return rows.withColumn("segments", F.array(
+        _segment("start", F.concat(F.lit(template.start), escape_role(F.col("role")), F.lit("\n")), off),
+        _segment("text", escape(F.col("text")), loss),
+        _segment("end", F.lit(template.end + template.turn_break), off),
+    ))
 
 
-def format_chat(conversations: DataFrame, template: Template = CHAT) -> DataFrame:
-    """Per conversation: conv_id, segments (kind, text, loss) in order, valid, formatted."""
-    loss_roles = F.array(*[F.lit(r.name) for r in template.roles if r.loss])
-    allowed = F.array(*[F.lit(f"{before}\n{r.name}") for r in template.roles for before in r.after])
-    off = F.lit(False)
+def role_order(conversations: DataFrame, template: Template = CHAT) -> DataFrame:
+    """(conv_id, valid): every role may follow the one before it, and the last may be last.
 
-    def segments(t: Column) -> Column:
-        loss = F.array_contains(loss_roles, t["role"])
-        return F.array(
-            _segment("start", F.concat(F.lit(template.start), escape_role(t["role"]), F.lit("\n")), off),
-            _segment("text", escape(t["text"]), loss),
-            _segment("end", F.lit(template.end + template.turn_break), off),
-        )
+    Turns are ranked over range partitions and meet the turn before them by (conv_id, rank), so a
+    conversation of any length is many tasks.  Texts stay behind: turns that tie by (turn, role) have one role."""
+    allowed = F.array(*[F.lit(f"{before}\n{r.name}") for r in template.roles for before in r.after])
+    roles = conversations.select("conv_id", "turn", text_of("role").alias("role"), F.xxhash64(text_of("text")).alias("place"))
+    ranked = with_ranks(roles, ["turn", "role", "place"], ["conv_id"], rank="n").select("conv_id", "n", "role")
+    before = ranked.select(F.col("conv_id").alias("c"), (F.col("n") + 1).alias("next"), F.col("role").alias("before"))
+    steps = ranked.join(before, [F.col("conv_id").eqNullSafe(F.col("c")), F.col("n") == F.col("next")], "left")
+    ok = F.array_contains(allowed, F.concat(F.coalesce("before", F.lit("")), F.lit("\n"), F.col("role")))
+    return steps.groupBy("conv_id").agg(F.bool_and(ok).alias("steps"), F.max_by("role", "n").alias("last")).select(
+        "conv_id", (F.col("steps") & F.col("last").isin(*template.final)).alias("valid"))
 
-    def step_ok(t: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit("")).otherwise(F.get(F.col("turns"), i - 1)["role"])
-        return F.array_contains(allowed, F.concat(before, F.lit("\n"), t["role"]))
 
-    df = turns_of(conversations)
-    df = df.select(
-        "conv_id",
-        F.flatten(F.transform("turns", segments)).alias("segments"),
-        (F.forall(F.transform("turns", step_ok), lambda x: x)
-         & F.element_at("turns", -1)["role"].isin(*template.final)).alias("valid"),
-    )
+def format_chat(conversations: DataFrame, template: Template = CHAT) -> DataFrame:
+    """Per conversation: conv_id, segments (kind, text, loss) in order, valid, formatted.
+
+    Here a conversation is one row, as its formatted text is one string; ``turn_segments`` and
+    ``role_order`` have no such limit."""
+    one = F.struct("turn", "role", "text", "segments")
+    whole = turn_segments(conversations, template).groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    whole = whole.select("conv_id", F.flatten(F.transform("turns", lambda t: t["segments"])).alias("segments"))
+    order = role_order(conversations, template).select(F.col("conv_id").alias("c"), "valid")
+    df = whole.join(order, F.col("conv_id").eqNullSafe(F.col("c"))).select("conv_id", "segments", "valid")
     return df.withColumn("formatted", F.concat_ws("", F.transform("segments", lambda s: s["text"])))
 
 

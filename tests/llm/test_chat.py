@@ -54,3 +54,20 @@ def test_empty(spark):
 def test_native_plan(spark):
     plan = op9.digests(op9.format_chat(frame(spark)))._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_turns_are_formatted_row_by_row(spark):
+    turns = op9.turn_segments(frame(spark))
+    assert "Exchange" not in turns._jdf.queryExecution().executedPlan().toString()
+    got = turns.collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        assert [x["kind"] for x in r["segments"]] == ["start", "text", "end"]
+        assert [x["loss"] for x in r["segments"]] == [False, r["role"] == "assistant", False]
+
+
+def test_one_long_conversation(spark):
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(4000)] + [(2, k, "user", "u") for k in range(3)]
+    assert {r["conv_id"]: r["valid"] for r in op9.role_order(frame(spark, rows).repartition(5)).collect()} == {1: True, 2: False}
+    bad = [*rows, (1, 2000, "system", "late")]
+    assert {r["conv_id"]: r["valid"] for r in op9.role_order(frame(spark, bad).repartition(5)).collect()} == {1: False, 2: False}
