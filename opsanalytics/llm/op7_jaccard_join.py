@@ -10,10 +10,13 @@ shingle.  Two documents are linked when their shingle sets have a Jaccard simila
    collides in some band with probability ``recall``, while a pair at half of it rarely does.
    A shuffle on band hashes connects every member of a band bucket with the bucket's
    least member (one edge each, never all pairs).
-3. Connected candidates are verified together, so pairs that missed every band by chance
-   are still seen.  Small candidate groups share tasks; large ones are cut into blocks of at
-   most ``BLOCK`` documents and every pair of blocks is one task.  A task computes the
-   intersection sizes as matrix products and emits one row per document.
+3. Small groups of connected candidates share tasks and are verified whole, so pairs that missed
+   every band by chance are still seen.  Large groups are cut into blocks of at most ``BLOCK``
+   documents or ``BLOCK_BYTES`` of text, in the order of the least hub of a document's buckets, which
+   keeps documents of the same buckets side by side.  Two blocks meet in a task only if
+   a band bucket has documents of both, so a chain of boilerplate costs its neighbours, and only
+   what really shares a hot bucket is compared all with all.  A task computes the intersection
+   sizes as matrix products and emits one row per document.
 4. Verified links give the number of links (counting copies) and the connected groups.
 
 Defined cases: a null or wordless text has no shingle and no link, not even with another
@@ -34,6 +37,7 @@ from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.catalogue import corpus_query
 from opsanalytics.llm.components import components
 from opsanalytics.llm.store import row_key, saved, table, text_of
+from opsanalytics.operators.ordering import with_ranks
 
 N, THRESHOLD, RECALL = 5, 0.8, 0.9995
 BLOCK, BLOCK_BYTES = 1500, 2 << 20
@@ -159,6 +163,22 @@ def verify(n: int, threshold: float):
     return run
 
 
+def meeting_blocks(large: DataFrame, shared: DataFrame, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the documents (component, rid, cost) of large groups, and which blocks meet.
+
+    ``shared`` has the buckets (rid, h, hub) of all documents.  Returns (component, rid, block) and
+    (component, block, other): a block meets itself and every block that shares a bucket with it, in
+    both directions.  Documents follow each other by the least hub of their buckets; a block is full at ``block_bytes``
+    of summed cost, so only its last document may pass it."""
+    wide = saved(shared.join(large, "rid").select("component", "rid", "cost", "h", "hub"), "wide")
+    spots = wide.groupBy("component", "rid", "cost").agg(F.min("hub").alias("spot"))
+    ranked = with_ranks(spots, ["spot", "rid"], by=["component"], sums={"before": "cost"})
+    spread = saved(ranked.select("component", "rid", F.expr(f"int(before div {block_bytes})").alias("block")), "spread")
+    seen = saved(wide.select("rid", "h").join(spread, "rid").select("component", "h", "block").distinct(), "seen")
+    pairs = seen.join(seen.withColumnRenamed("block", "other"), ["component", "h"]).select("component", "block", "other").distinct()
+    return spread, saved(pairs, "pairs")
+
+
 def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
                 recall: float = RECALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, key (``row_key``), rid (its number), root (a rid that names its connected group), n_links."""
@@ -172,25 +192,25 @@ def linked_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     banded = reps.select("rid", F.explode("bands").alias("h"))
     hubs = saved(banded.groupBy("h").agg(F.min("rid").alias("hub"), F.count("*").alias("c")).where("c > 1").select("h", "hub"), "hubs")
-    edges = banded.join(hubs, "h").where("rid != hub").select(F.col("rid").alias("u"), F.col("hub").alias("v"))
-    found = components(edges)
+    shared = banded.join(hubs, "h")
+    found = components(shared.where("rid != hub").select(F.col("rid").alias("u"), F.col("hub").alias("v")))
 
+    # A document's part of a block that holds up to ``block`` documents and ``block_bytes`` of text.
+    cost = F.greatest("bytes", F.lit(-(-block_bytes // block)).cast("bigint")).alias("cost")
     members = saved(found.join(reps.drop("bands"), found.node == reps.rid)
-                    .select("rid", "doc_id", "key", "bytes", "size", "component"), "members")
-    plan = members.groupBy("component").agg(F.sum("bytes").alias("total"), F.count("*").alias("c")).select(
-        "component", F.greatest(F.ceil(F.col("c") / block), F.ceil(F.col("total") / block_bytes)).cast("int").alias("blocks"))
-    plan = saved(plan, "plan")
-    total = members.agg(F.sum("bytes")).first()[0] or 0
-    tasks = int(total // block_bytes) + 1
-    placed = members.join(plan, "component").withColumn("blocks", F.greatest("blocks", F.lit(1)))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    # A group of one block shares a task with others; each pair of blocks of a larger one has its own.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.withColumn("other", other).withColumn("task", F.when(
-        F.col("blocks") == 1, F.struct(F.lit(-1).cast("bigint").alias("c"), F.pmod(F.xxhash64("component"), F.lit(tasks)).cast("int").alias("a"), F.lit(0).alias("b")))
-        .otherwise(F.struct(F.col("component").alias("c"), F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))))
-    placed = placed.select("doc_id", "key", "rid", "component", F.col("size").alias("weight"), "block", "blocks", "task",
-                           (F.col("block") != F.col("other")).alias("cross"))
+                    .select("rid", "doc_id", "key", cost, "size", "component"), "members")
+    plan = saved(members.groupBy("component").agg(F.sum("cost").alias("total")).select(
+        "component", "total", F.ceil(F.col("total") / block_bytes).cast("int").alias("blocks")), "plan")
+    tasks = int((plan.agg(F.sum("total")).first()[0] or 0) // block_bytes) + 1
+    members = members.join(plan.drop("total"), "component")
+    # A group of one block shares a task with others; each pair of meeting blocks of a larger one has its own.
+    small = members.where("blocks = 1").withColumns({"block": F.lit(0), "cross": F.lit(False), "task": F.struct(
+        F.lit(-1).cast("bigint").alias("c"), F.pmod(F.xxhash64("component"), F.lit(tasks)).cast("int").alias("a"), F.lit(0).alias("b"))})
+    spread, pairs = meeting_blocks(members.where("blocks > 1").select("component", "rid", "cost"), shared, block_bytes)
+    large = (members.where("blocks > 1").join(spread.select("rid", "block"), "rid").join(pairs, ["component", "block"])
+             .withColumns({"cross": F.col("block") != F.col("other"), "task": F.struct(
+                 F.col("component").alias("c"), F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))}))
+    placed = small.unionByName(large.drop("other")).withColumnRenamed("size", "weight").drop("cost")
     with_text = (src.join(placed, [src.doc_id.eqNullSafe(placed.doc_id), src.key == placed.key])
                  .select("task", "rid", "component", "weight", "block", "blocks", "cross", "text"))
     checked = saved(with_text.groupBy("task").applyInArrow(

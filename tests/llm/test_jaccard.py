@@ -49,3 +49,37 @@ def test_bands_reach_their_recall():
     for t in (0.5, 0.8, 0.9):
         bands, rows = op7.choose_bands(t, 0.999)
         assert 1 - (1 - t**rows) ** bands >= 0.999
+
+
+def chain(length, step=6, n=150):
+    """Each text shares all but ``step`` words with the next one; far ones share nothing."""
+    words = [f"w{k}" for k in range(length * step + n)]
+    return [(k, " ".join(words[k * step:k * step + n])) for k in range(length)]
+
+
+@pytest.mark.parametrize("hot", [0, 25])
+def test_a_chain_compares_neighbouring_blocks_only(spark, monkeypatch, hot):
+    """One connected group of many blocks, with and without a bucket of near copies that fills several of them."""
+    rows = chain(160)
+    for k in range(hot):
+        words = rows[70][1].split()
+        words[3 * k + 1] = f"edit{k}"
+        rows.append((1000 + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    met = []
+    real = op7.meeting_blocks
+
+    def spy(*args):
+        met.append(real(*args))
+        return met[0]
+
+    monkeypatch.setattr(op7, "meeting_blocks", spy)
+    got = op7.jaccard_join(docs, block=4, block_bytes=4 * 600)
+    assert Counter(map(tuple, got.collect())) == want(rows)
+    spread, pairs = met[0]
+    assert spread.count() == len(rows) and spread.select("component").distinct().count() == 1
+    blocks = spread.select("block").distinct().count()
+    assert blocks > 25 and pairs.count() < blocks * blocks / 2
+    # Meeting goes both ways, and every block meets itself.
+    links = {tuple(r) for r in pairs.select("block", "other").collect()}
+    assert all((b, a) in links for a, b in links) and all((b, b) in links for b in range(blocks))
