@@ -15,11 +15,14 @@ a passage is two neighbouring blocks, so any ``BLOCK`` words lie whole in some p
    come from the words themselves, without a cosine: an item's commonest words hold less than
    what step 4 asks for, so a passage it accepts has some of the others, the item's anchors, in
    its surroundings.  Every passage with enough of them is a candidate, so no passage that
-   step 4 accepts is lost, whatever its cosine.
+   step 4 accepts without a cosine is lost.
 4. A candidate counts if the item's words are covered in its surroundings and the
    longest common subsequence of item and surroundings, in words, is at least ``STRICT`` of the
    item; between ``LOOSE`` and that, the item's answer must be there too: what follows
-   "answer" in the item, else its last words.
+   "answer" in the item, else its last words.  A paraphrase keeps less of the order.  Around a
+   passage within cosine ``NEAR`` of one of the item's passages, ``REWRITTEN`` of the item in order is enough,
+   if the answer is there or ``SPREAD`` of the words' weight, in whatever order.  Items of fewer
+   than ``BLOCK`` words have too few words for their vector to tell, and keep the first rule.
 
 Benchmark items are handled about ``ITEMS`` or ``ITEM_BYTES`` of text at a time, whichever is less, so what
 the driver and the tasks carry grows with one batch (at least one whole item), not with the benchmark.
@@ -48,6 +51,7 @@ from opsanalytics.llm.store import column, saved, table, text_of
 
 BLOCK, FEATURES, RANK, SKETCH = 16, 1 << 13, 64, 72
 COSINE, COVER, LOOSE, STRICT = 0.45, 0.5, 0.6, 0.8
+NEAR, REWRITTEN, SPREAD = 0.5, 0.4, 0.7
 ANSWER_WORDS = 5
 ITEMS, ITEM_BYTES = 2000, 4 << 20
 PASSAGES = 8192  # of a batch compared at once
@@ -233,11 +237,15 @@ def covered(bench: Bench, q: np.ndarray, found: np.ndarray) -> np.ndarray:
     return np.where(bench.cover_at[at] == key, bench.cover[at], 0).sum(1)
 
 
-def latent_pairs(v: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, benchmark passage) within the cosine, ``PASSAGES`` of the benchmark at a time."""
-    parts = [np.nonzero(v @ vectors[k:k + PASSAGES].T >= COSINE) for k in range(0, len(vectors), PASSAGES)]
-    return (np.concatenate([p for p, _ in parts]),
-            np.concatenate([q + k * PASSAGES for k, (_, q) in enumerate(parts)]))
+def latent_pairs(v: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, benchmark passage, cosine) within the cosine, ``PASSAGES`` of the benchmark at a time."""
+    found = []
+    for k in range(0, len(vectors), PASSAGES):
+        cosine = v @ vectors[k:k + PASSAGES].T
+        p, q = np.nonzero(cosine >= COSINE)
+        found.append((p, q + k, cosine[p, q]))
+    p, q, cosine = zip(*found, strict=True)
+    return np.concatenate(p), np.concatenate(q), np.concatenate(cosine)
 
 
 def anchors_of(items: list[Item]) -> Anchors:
@@ -325,15 +333,20 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def share(item: Item, around: list[int]) -> float:
-    """Share of the item found in order in ``around``; 0 if it does not count as a leak."""
+def share(item: Item, around: list[int], near: bool = False) -> float:
+    """Share of the item found in order in ``around``; 0 if it does not count as a leak.
+
+    Around a passage whose latent vector is ``near`` the item's, less order is asked for: ``REWRITTEN`` of the
+    item, and besides ``SPREAD`` of its words' weight, in any order, or its answer."""
+    near = near and len(item.words) >= BLOCK
     there = set(around)
-    if sum(w for x, w in item.weight.items() if x in there) < COVER * sum(item.weight.values()):
+    cover = sum(w for x, w in item.weight.items() if x in there) / sum(item.weight.values())
+    if cover < COVER:
         return 0.0
     part = common_subsequence(item.words, around) / len(item.words)
-    if part >= STRICT:
+    if part >= STRICT or (near and part >= REWRITTEN and cover >= SPREAD):
         return part
-    if part >= LOOSE and common_subsequence(item.answer, around) >= STRICT * len(item.answer):
+    if part >= (REWRITTEN if near else LOOSE) and common_subsequence(item.answer, around) >= STRICT * len(item.answer):
         return part
     return 0.0
 
@@ -348,19 +361,20 @@ def _search(mapped: np.ndarray, bench: Bench):
                     continue
                 start, boff = blocks(woff)
                 v, at = project(units, start, boff, mapped)
-                p, q = latent_pairs(v, bench.vectors)
+                p, q, cosine = latent_pairs(v, bench.vectors)
                 # A word counts once per occurrence here, so this is never less than the true cover.
                 most = covered(bench, q, passage_features(units, start, boff, at[p]))
-                p, q = p[most >= COVER], q[most >= COVER]
-                near, item = anchored(bench.anchors, units, woff, start, boff)
-                block, owner = np.append(at[p], near), np.append(bench.owner[q], item)
+                p, q, cosine = p[most >= COVER], q[most >= COVER], cosine[most >= COVER]
+                first, item = anchored(bench.anchors, units, woff, start, boff)
+                block, owner = np.append(at[p], first), np.append(bench.owner[q], item)
+                close = set(zip(at[p][cosine >= NEAR].tolist(), bench.owner[q][cosine >= NEAR].tolist(), strict=True))
                 text = np.searchsorted(boff, block, "right") - 1
                 found: dict[tuple[int, int], float] = {}
                 for b, t, o in sorted(set(zip(block.tolist(), text.tolist(), owner.tolist(), strict=True))):
                     item = bench.items[o]
                     margin = len(item.words)
                     lo, hi = max(woff[t], start[b] - margin), min(woff[t + 1], start[b] + 2 * BLOCK + margin)
-                    part = share(item, units[lo:hi].tolist())
+                    part = share(item, units[lo:hi].tolist(), (b, o) in close)
                     if part > found.get((t, o), 0.0):
                         found[t, o] = part
                 for (t, o), part in found.items():

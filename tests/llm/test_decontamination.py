@@ -66,18 +66,23 @@ def test_weighted_sums():
     assert np.allclose(op5.weighted_sums(v, rows, head, m, 8), want, atol=1e-4)
 
 
-def every_passage(docs, items, idf):
-    """Brute force: each passage of each text against each item by the final rule alone, without retrieval."""
-    bench = op5.bench_of(items, idf, np.zeros((op5.FEATURES, op5.RANK), np.float32))
+def every_passage(docs, items, idf, basis):
+    """Brute force: each passage of each text against each item by the final rule, without retrieval."""
+    mapped = np.ascontiguousarray(basis * idf[:, None])
+    bench = op5.bench_of(items, idf, mapped)
     out = {}
     for d, text in docs:
         raw = text.lower().encode()
         units, woff = op5.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-        start, _ = op5.blocks(woff)
-        for item in bench.items:
-            n = len(item.words)
-            best = max((op5.share(item, units[max(0, b - n):b + 2 * op5.BLOCK + n].tolist())
-                        for b in start[:max(1, len(start) - 2)].tolist()), default=0.0)
+        start, boff = op5.blocks(woff)
+        vectors, at = op5.project(units, start, boff, mapped)
+        cosine = vectors @ bench.vectors.T
+        for k, item in enumerate(bench.items):
+            n, own, best = len(item.words), np.flatnonzero(bench.owner == k), 0.0
+            for p, b in enumerate(start[:max(1, len(start) - 2)].tolist()):
+                words = op5.passage_features(units, start, boff, np.repeat(at[p:p + 1], len(own)))
+                near = ((cosine[p, own] >= op5.NEAR) & (op5.covered(bench, own, words) >= op5.COVER)).any()
+                best = max(best, op5.share(item, units[max(0, b - n):b + 2 * op5.BLOCK + n].tolist(), bool(near)))
             if best:
                 out.setdefault(d, {})[item.item_id] = best
     return out
@@ -109,11 +114,53 @@ def by_length(spark):
 def test_recall_by_length(by_length):
     docs, bench, planted = by_length
     got = {r["doc_id"]: {x["item_id"]: x["share"] for x in r["leaks"]} for r in op5.decontaminate(docs, bench).collect() if r["contaminated"]}
-    want = every_passage([tuple(r) for r in docs.collect()], bench.collect(), op5.inverse_frequencies(docs.select("text")))
+    texts = docs.select("text")
+    idf = op5.inverse_frequencies(texts)
+    want = every_passage([tuple(r) for r in docs.collect()], bench.collect(), idf, op5.latent_basis(texts, idf))
     assert got == want
     assert all(k in got.get(d, {}) for d, k, _, every in planted if not every)
 
 
+def rewritten(words, kind, r):
+    if kind == "halves swapped":
+        return words[len(words) // 2:] + words[:len(words) // 2]
+    if kind == "neighbours swapped":
+        return [words[min(n ^ 1, len(words) - 1)] for n in range(len(words))]
+    return [f"new{r.randrange(999)}" if n % 2 and n < len(words) - 5 else w for n, w in enumerate(words)]  # "half replaced", answer kept
+
+
+def test_paraphrases_come_through_the_latent_route(spark, monkeypatch):
+    """Reordered and half replaced items are found by their cosine only, and no document without an item is flagged."""
+    r = random.Random(8)
+    topics = [[f"t{t}x{k}" for k in range(60)] for t in range(24)]
+    common = [f"c{k}" for k in range(40)]
+
+    def text(topic, n):
+        return [r.choice(common) if r.random() < 0.4 else r.choice(topic) for _ in range(n)]
+
+    items = [(k, text(topics[k], r.randrange(30, 60))) for k in range(24)]
+    docs, kinds = [], ("halves swapped", "neighbours swapped", "half replaced")
+    for kind in kinds:
+        for k, words in items:
+            host = text(topics[(k + 7) % 24], 120)
+            docs.append((f"{kind}:{k}", " ".join([*host[:50], *rewritten(words, kind, r), *host[50:]])))
+    docs += [(f"clean:{k}", " ".join(text(topics[k % 24], 150))) for k in range(240)]
+    table = spark.createDataFrame(docs, "doc_id string, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id bigint, text string")
+
+    def hits():
+        rows = op5.decontaminate(table, bench).where("contaminated").collect()
+        found = {(*x["doc_id"].split(":"), leak["item_id"]) for x in rows for leak in x["leaks"]}
+        assert not any(kind == "clean" for kind, _, _ in found)
+        return {kind: sum((kind, str(k), k) in found for k, _ in items) for kind in kinds}
+
+    now = hits()
+    monkeypatch.setattr(op5, "NEAR", 2.0)  # no passage is near
+    before = hits()
+    assert all(now[kind] >= 0.9 * len(items) for kind in kinds[:2]), now
+    assert all(before[kind] < now[kind] for kind in kinds), (before, now)
+
+
 def test_batches_are_bounded(by_length, monkeypatch):
     """Long items make more batches, each of a size in proportion to its words, with the same result."""
     docs, bench, _ = by_length
