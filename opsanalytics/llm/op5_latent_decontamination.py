@@ -172,12 +172,14 @@ class Bench:
     owner: np.ndarray
     cover_at: np.ndarray  # passage * (FEATURES + 1) + feature, sorted, for the features it has
     cover: np.ndarray  # of each, its share of the passage's weight
+    cover_marks: np.ndarray
     anchors: Anchors
 
 
 @dataclass
 class Anchors:
     words: np.ndarray  # distinct anchor words of all items, sorted
+    marks: np.ndarray
     first: np.ndarray  # of each, its first posting
     owner: np.ndarray  # per posting
     weight: np.ndarray
@@ -189,6 +191,17 @@ class Anchors:
 _ANSWER = tv.word_hashes(np.frombuffer(b"answer", np.uint8), np.array([0]), np.array([6]))[0]
 
 
+def marks_of(keys: np.ndarray) -> np.ndarray:
+    """A table of 8 to 16 places a key, marked at the keys: most other keys are told apart without a search."""
+    table = np.zeros(max(64, 1 << (8 * len(keys)).bit_length()), bool)
+    table[_place(table, keys)] = True
+    return table
+
+
+def _place(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return (keys.view(tv.U) * tv.U(tv.ODD[0])) >> tv.U(65 - len(table).bit_length())
+
+
 def project(units: np.ndarray, start: np.ndarray, boff: np.ndarray, mapped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit latent vectors of all passages, and the block each starts with; a text of one block has one passage."""
     if len(start) > 1:
@@ -226,15 +239,18 @@ def bench_of(rows: list, idf: np.ndarray, mapped: np.ndarray) -> Bench:
         vectors.append(v)
         weight = dict(zip(units.tolist(), (idf[features(units)] + 1e-3).tolist(), strict=True))
         items.append(Item(r["item_id"], units.tolist(), answer.tolist(), weight))
+    cover_at = np.concatenate([np.zeros(0, np.int64), *cover_at])
     return Bench(items, np.concatenate([np.zeros((0, RANK), np.float32), *vectors]), np.array(owner, np.int64),
-                 np.concatenate([np.zeros(0, np.int64), *cover_at]), np.concatenate([np.zeros(0, np.float32), *cover]), anchors_of(items))
+                 cover_at, np.concatenate([np.zeros(0, np.float32), *cover]), marks_of(cover_at), anchors_of(items))
 
 
 def covered(bench: Bench, q: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Per benchmark passage ``q``: the share of its weight that the features ``found`` (a row each) have."""
-    key = q[:, None] * (FEATURES + 1) + found
-    at = np.minimum(np.searchsorted(bench.cover_at, key), len(bench.cover_at) - 1)
-    return np.where(bench.cover_at[at] == key, bench.cover[at], 0).sum(1)
+    key = (q[:, None] * (FEATURES + 1) + found).ravel()
+    i = np.flatnonzero(bench.cover_marks[_place(bench.cover_marks, key)])
+    at = np.minimum(np.searchsorted(bench.cover_at, key[i]), len(bench.cover_at) - 1)
+    has = bench.cover_at[at] == key[i]
+    return np.bincount(i[has] // found.shape[1], bench.cover[at[has]], len(q))
 
 
 def latent_pairs(v: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,12 +282,12 @@ def anchors_of(items: list[Item]) -> Anchors:
         needs.append((nsum[-1], (COVER * wsum[-1] - rest_w) * (1 - 1e-6), LOOSE * nsum[-1] - rest_n - 1e-6))
     if not items:
         none = np.zeros(0)
-        return Anchors(none.astype(tv.U), np.zeros(1, np.int64), none.astype(np.int64), none, none.astype(np.int64), none, none)
+        return Anchors(none.astype(tv.U), marks_of(none.astype(tv.U)), np.zeros(1, np.int64), none.astype(np.int64), none, none.astype(np.int64), none, none)
     word, owner, weight = np.concatenate(words), np.concatenate(owner), np.concatenate(weight)
     by = np.argsort(word, kind="stable")
     distinct, first = np.unique(word[by], return_index=True)
     length, least, count = np.array(needs).T
-    return Anchors(distinct, np.append(first, len(word)), owner[by], weight[by], length.astype(np.int64), least, count)
+    return Anchors(distinct, marks_of(distinct), np.append(first, len(word)), owner[by], weight[by], length.astype(np.int64), least, count)
 
 
 def anchored(a: Anchors, units: np.ndarray, woff: np.ndarray, start: np.ndarray, boff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,9 +295,10 @@ def anchored(a: Anchors, units: np.ndarray, woff: np.ndarray, start: np.ndarray,
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not len(a.words):
         return none
-    w = np.minimum(np.searchsorted(a.words, units), len(a.words) - 1)
-    place = np.flatnonzero(a.words[w] == units)
-    w = w[place]
+    place = np.flatnonzero(a.marks[_place(a.marks, units)])
+    w = np.minimum(np.searchsorted(a.words, units[place]), len(a.words) - 1)
+    there = a.words[w] == units[place]
+    place, w = place[there], w[there]
     n = a.first[w + 1] - a.first[w]
     posting = np.repeat(a.first[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())
     p, o = np.repeat(place, n), a.owner[posting]
