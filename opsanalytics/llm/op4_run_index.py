@@ -31,6 +31,7 @@ from opsanalytics.llm.repeats import Units, byte_units, with_spans
 from opsanalytics.llm.store import table
 
 LENGTH, GRAM = 400, 64
+WIDTHS = (20, 5, 1)
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
 
@@ -107,7 +108,7 @@ def cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
-    marked = with_spans(docs, id_col, text_col, Units(LENGTH, GRAM, byte_units), repeated_bytes, **limits)
+    marked = with_spans(docs, id_col, text_col, Units(LENGTH, GRAM, byte_units, WIDTHS), repeated_bytes, **limits)
     return marked.mapInArrow(cut_bytes, RESULT)
 
 

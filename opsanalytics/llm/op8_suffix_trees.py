@@ -1,9 +1,13 @@
 """Removal of repeated word sequences by suffix trees over partitioned windows.
 
-Suffixes are the windows of ``LENGTH`` words.  They are grouped by their
-least-hash gram of ``GRAM`` words, at any place in the window (see ``repeats``), not by a prefix:
-a run of windows sharing it is stored once.  Groups too large for memory are split by cells and
-then by the 128-bit hash of the whole window, which decides without a subtree.  Each task builds the suffix subtrees of its groups: suffixes in order,
+A window is ``LENGTH`` consecutive words.  The suffixes placed are a sample that every window
+holds one of: those that start at the least-hash gram of ``GRAM`` words of some window
+(see ``repeats``), each with the words before it that its windows need.  They are grouped by a
+prefix of ``GRAM`` words.  Groups too large for memory get longer prefixes, of ``PREFIXES``
+words: the windows of a suffix split by whether they hold its first 18 words, or start that much
+earlier and hold the first 18 words of an earlier suffix, and so on with 27 and 32; a prefix of
+35 words is a window, whose group is one node.  Words are compared by 64-bit hash, prefixes and
+whole copies by 128 bits.  Each task builds the suffix subtrees of its groups: suffixes in order,
 longest common prefixes between neighbours, and the internal nodes as the intervals of
 that array.  Nodes at depth ``LENGTH`` or more are maximal repeats; all their leaves are
 marked.
@@ -30,6 +34,7 @@ from opsanalytics.llm.repeats import Units, with_spans, word_units
 from opsanalytics.llm.store import table
 
 LENGTH, GRAM = 35, 8
+PREFIXES = (18, 27, 32, 35)
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
 
 
@@ -87,7 +92,7 @@ def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (the words left, one space between)."""
-    marked = with_spans(docs, id_col, text_col, Units(LENGTH, GRAM, word_units), repeated_words, **limits)
+    marked = with_spans(docs, id_col, text_col, Units(LENGTH, GRAM, word_units, tuple(LENGTH - p + 1 for p in PREFIXES)), repeated_words, **limits)
     return marked.mapInArrow(cut_words, RESULT)
 
 

@@ -13,10 +13,11 @@ under one anchor hash.
 4. Groups (anchors) with several contents are resolved from the text itself by the
    operator's own index, many groups per task and at most ``GROUP_LIMIT`` contents per
    group.  Larger groups (a passage in a third of all documents, each time between
-   other neighbours) are split by ``LADDER``: windows that start within so many units of
-   each other relative to the anchor form a cell, named by the hash of what all its windows
-   have in common.  Equal windows share their cell, contents collapse again, and what is
-   still too large goes down to cells of one window, where equal names are equal windows.
+   other neighbours) are split by the operator's ``widths``: that many windows, at fixed places
+   relative to the anchor, form a cell, named by the hash of what all its windows
+   have in common: the first ``window - width + 1`` units of the cell's last window.  Equal windows
+   share their cell, contents collapse again, and what is still too large goes down the
+   widths to cells of one window, where equal names are equal windows.
 5. Marked windows go back to the documents by key.
 """
 
@@ -36,7 +37,6 @@ from opsanalytics.llm import textvec as tv
 from opsanalytics.llm.store import row_key, saved, text_of
 
 GROUP_LIMIT = 1000
-LADDER = (0.05, 0.0125, 0.0)  # cell widths as shares of the window; the last is one window
 BUCKET_BYTES = 1 << 20
 
 OCCURRENCES = ("doc_id bigint, key bigint, lo int, n int, byte_lo int, byte_n int, "
@@ -45,11 +45,13 @@ OCCURRENCES = ("doc_id bigint, key bigint, lo int, n int, byte_lo int, byte_n in
 
 @dataclass(frozen=True)
 class Units:
-    """What a window is made of: ``cut`` gives unit hashes, unit offsets of the texts, and unit starts and ends in bytes."""
+    """What a window is made of: ``cut`` gives unit hashes, unit offsets of the texts, and unit starts and ends in bytes.
+    ``widths`` are the cells of oversize groups, in windows; the last is 1."""
 
     window: int
     gram: int
     cut: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]]
+    widths: tuple[int, ...]
 
 
 def byte_units(data: np.ndarray, off: np.ndarray):
@@ -226,8 +228,8 @@ def repeated_windows(docs: DataFrame, units: Units, repeated, group_limit: int =
 
     marks = [resolved(cut.where(F.col("contents") <= group_limit))]
     large = cut.where(F.col("contents") > group_limit).drop("contents")
-    for step in LADDER:
-        cells = saved(large.mapInPandas(_cells(units, max(1, int(step * units.window))), CELLS), "cells")
+    for width in units.widths:
+        cells = saved(large.mapInPandas(_cells(units, width), CELLS), "cells")
         if cells.isEmpty():
             break
         named = cells.groupBy("g", "c1", "c2").agg(F.sum("copies").alias("total"))
@@ -235,7 +237,7 @@ def repeated_windows(docs: DataFrame, units: Units, repeated, group_limit: int =
         sizes = saved(named.groupBy("g").agg(contents), "sizes")
         cells = saved(cells.join(named, ["g", "c1", "c2"]).join(sizes, "g"), "placed")
         marks.append(cells.where("copies = 1 and total > 1").select(*ids, (F.col("base") + F.col("at")).alias("at"), F.col("n").alias("m")))
-        if step:
+        if width > 1:
             several_ = cells.where(F.col("contents").between(2, group_limit))
             groups = several_.dropDuplicates(["g", "c1", "c2"]).select(
                 F.col("g").alias("anchor"), F.col("c1").alias("h1"), F.col("c2").alias("h2"), F.col("total").alias("copies"), "piece")

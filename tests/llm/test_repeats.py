@@ -103,6 +103,31 @@ def test_hot_passage_goes_down_the_ladder(spark, monkeypatch):
     assert len(steps) >= 2
 
 
+def test_long_groups_get_longer_prefixes(spark, monkeypatch):
+    """A passage of words in more documents than a group may hold: prefixes of 18, 27, 32 and 35 words, subtrees in between."""
+    import random
+
+    r = random.Random(3)
+
+    def words(n):
+        return [r.choice("ab cd ef gh ij kl mn op".split()) + str(r.randrange(40)) for _ in range(n)]
+
+    passage = words(60)
+    rows = [(k, " ".join([*words(r.randrange(12)), *passage[r.randrange(20) if k % 4 else 0:r.randrange(40, 61)], *words(r.randrange(9))]))
+            for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    steps = []
+    from opsanalytics.llm import repeats
+
+    cells = repeats._cells
+    monkeypatch.setattr(repeats, "_cells", lambda units, width: steps.append(width) or cells(units, width))
+    for limit in (3, 60, 250):
+        steps.clear()
+        got = op8.remove_repeats(docs, group_limit=limit)
+        assert Counter(tuple(x)[:4] for x in got.collect()) == want_words(rows)
+        assert steps == [18, 9, 4, 1][:len(steps)] and steps
+
+
 def op4_limit() -> int:
     from opsanalytics.llm.repeats import GROUP_LIMIT
 
