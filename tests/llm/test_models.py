@@ -157,6 +157,99 @@ def test_toxicity_held_out(spark, labels):
     assert sum(r["predicted"] for r in toxic) >= 0.6 * len(toxic)
 
 
+def brute_clauses(text, lexicon, factors):
+    """(largest, sum) of the clause scores by rules over the tokens, without machines."""
+    scores, clause, last, target, threat, negated, reported = [0.0], 0.0, None, False, None, 0, ""
+    insult_before = False
+    for token in [*op10.TOKEN.findall(text.lower()), "."]:
+        kind, weight = lexicon.look_up(token)
+        mark = ("~" if negated else "") + ("^" if reported else "")
+        if kind == "negation":
+            negated = 2
+            continue
+        if kind in ("insult", "threat"):
+            negated = 0
+        elif kind in ("word", "target", "saying"):
+            negated = max(0, negated - 1)
+        if kind == "quote":
+            reported = "" if reported == "quote" else "quote"
+        elif kind == "saying":
+            reported = reported or "said"
+        elif kind in ("end", "line"):
+            if kind == "end":
+                negated = 0
+            reported = "quote" if reported == "quote" and kind == "end" else ""
+            scores.append(clause)
+            clause, target, threat, insult_before = 0.0, False, None, False
+        elif kind == "insult":
+            factor = factors[mark] if mark else 1.0
+            last = weight * factor
+            clause += last * (factors["+"] if target else 1)
+            insult_before = insult_before or not target
+        elif kind == "threat" and not mark:
+            if threat == "named":
+                clause += weight * factors["threat"]
+            elif threat is None:
+                threat = weight
+        elif kind == "target":
+            if isinstance(threat, float):
+                clause += threat * factors["threat"]
+            elif insult_before:
+                clause += last * factors["after"]
+            target, insult_before, threat = True, False, "named"
+    return max(scores), sum(scores)
+
+
+def test_toxicity_equals_plain_rules(spark):
+    """All rows of the table, with the learnt lexicon, factors and curve, against rules without machines."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    train = op3.training_rows(docs, spark.read.parquet(f"{SF}/labels.parquet"), "toxic", 3, 1, {0: 24000, 1: 8000})
+    model = op10.learn(train)
+    got = {r["row"]["doc_id"]: r for r in op10.score(docs, model).collect()}
+    for d in docs.select("doc_id", "text").collect():
+        best, total = brute_clauses(d["text"] or "", model.lexicon, model.factors)
+        r = got[d["doc_id"]]
+        assert (r["best"], r["total"]) == pytest.approx((best, total))
+        assert r["score"] == pytest.approx(float(model.score(np.array([best]), np.array([total]))[0]))
+    r = np.random.default_rng(5)
+    pool = [*"you they not never said vile sculling kill we a the house to".split(), ".", '"', "\n"]
+    lexicon, machine = op10.Lexicon({"vile": 4.0}, {"scul": 3.0}, {"kill": 2.0, "house": 0.7}), op10.grammar()
+    for _ in range(3000):
+        text = " ".join(r.choice(pool, r.integers(1, 14)))
+        assert op10.clause_scores(text, lexicon, machine) == pytest.approx(brute_clauses(text, lexicon, op10.FACTORS)), text
+
+
+def test_threats_are_learnt(spark):
+    """A word that is harmless elsewhere and stands with targets in toxic documents only."""
+    def row(k):
+        head, tail = prose(k, 5), prose(k + 4000, 5)
+        if k % 4 == 0:
+            return f"{head}. {prose(k + 9000, 1)} zorch {prose(k + 8000, 1)} you. {tail}", 1
+        return f"{head}. zorch {prose(k + 8000, 1)} it. {prose(k + 9000, 2)} you {tail}", 0
+
+    rows = [(k, *row(k)) for k in range(400)]
+    model = op10.learn(spark.createDataFrame(rows, "id bigint, text string, label int"))
+    assert "zorch" in model.lexicon.threats and "zorch" not in model.lexicon.words
+    assert set(model.lexicon.threats) - {"zorch"} <= set(op10.THREATS.split())
+    new = spark.createDataFrame([(1, "we zorch you"), (2, "we zorch wood"), (3, "you and wood")], "id int, text string")
+    assert {r["row"]["id"]: r["predicted"] for r in op10.score(new, model).collect()} == {1: 1, 2: 0, 3: 0}
+
+
+def test_factors_follow_the_sample(spark):
+    """Quoted insults in clean documents weigh less than at the start; what the sample says nothing against stays."""
+    def row(k):
+        head, tail = prose(k, 4), prose(k + 4000, 4)
+        middle = ("vile", "vile", "not vile", '"vile"')[k % 4] if k < 900 else "plain"
+        return f"{head} {middle} {tail}", int(k < 900 and k % 4 < 3)
+
+    rows = [(k, *row(k)) for k in range(9000)]
+    model = op10.learn(spark.createDataFrame(rows, "id bigint, text string, label int"))
+    assert model.factors["^"] < op10.FACTORS["^"]
+    assert {k: v for k, v in model.factors.items() if k != "^"} == {k: v for k, v in op10.FACTORS.items() if k != "^"}
+    new = spark.createDataFrame([(1, "so vile"), (2, "not vile"), (3, 'so "vile"'), (4, "so")], "id int, text string")
+    assert {r["row"]["id"]: r["predicted"] for r in op10.score(new, model).collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
 def test_toxicity_edges(spark, docs, no_docs):
     rows = [(k, f"{prose(k, 4)} {'kind' if k % 6 else 'vile'} {prose(k + 500, 4)}", int(k % 6 == 0)) for k in range(180)]
     # Copies of one toxic text say nothing about its words.
