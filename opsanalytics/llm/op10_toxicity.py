@@ -302,22 +302,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def _evidence(lexicon: Lexicon):
-    """Per document its weights by slot, summed, and its different clauses as such vectors."""
+    """Per document with a match its weights by slot, summed, and its different clauses as such vectors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = grammar()
         for batch in batches:
-            clauses, sums = [], []
-            for text in batch.column("text").to_pylist():
+            labels, clauses, sums = [], [], []
+            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = matched_clauses(text or "", lexicon, machine)
+                if not found:
+                    continue
                 total, different = np.zeros(SLOTS), set()
-                for clause in matched_clauses(text or "", lexicon, machine):
+                for clause in found:
                     vector = np.zeros(SLOTS)
                     for k, w in clause:
                         vector[k] += w
                     total += vector
                     different.add(tuple(vector.tolist()))
+                labels.append(label)
                 clauses.append([x for v in sorted(different) for x in v])
                 sums.append(total.tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(clauses, pa.list_(pa.float64())), pa.array(sums, pa.list_(pa.float64()))],
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(clauses, pa.list_(pa.float64())), pa.array(sums, pa.list_(pa.float64()))],
                                              names=["label", "clauses", "sums"])
     return run
 
@@ -411,15 +415,14 @@ def learn(rows: DataFrame) -> Model:
     lexicon = Lexicon(words, stems)
     lexicon = Lexicon(words, stems, learn_threats(chosen, lexicon))
     got = chosen.mapInArrow(_evidence(lexicon), "label int, clauses array<double>, sums array<double>").toArrow()
-    y = got.column("label").to_numpy().astype(float)
-    weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-    clauses = [np.array(c, float).reshape(-1, SLOTS) for c in got.column("clauses").to_pylist()]
-    sums = np.array(got.column("sums").to_pylist()).reshape(-1, SLOTS)
-    # Documents without a match count as one row of each label.
-    some = np.array([len(c) > 0 for c in clauses])
-    none = [weight[~some & (y == v)].sum() for v in (0, 1)]
-    clauses = [c for c in clauses if len(c)] + [np.zeros((0, SLOTS))] * 2
-    factors, coef = fit(clauses, np.vstack([sums[some], np.zeros((2, SLOTS))]), np.append(y[some], [0, 1]), np.append(weight[some], none))
+    # Both labels weigh the same; documents without a match count as one row of each label.
+    y = np.append(got.column("label").to_numpy().astype(float), [0, 1])
+    each = np.array([0.5 / n[0], 0.5 / n[1]]) * (n[0] + n[1])
+    weight = each[y.astype(int)]
+    weight[-2:] = [each[v] * (n[v] - (y[:-2] == v).sum()) for v in (0, 1)]
+    clauses = [np.array(c, float).reshape(-1, SLOTS) for c in got.column("clauses").to_pylist()] + [np.zeros((0, SLOTS))] * 2
+    sums = np.vstack([np.array(got.column("sums").to_pylist(), float).reshape(-1, SLOTS), np.zeros((2, SLOTS))])
+    factors, coef = fit(clauses, sums, y, weight)
     return Model(lexicon, coef, factors=factors)
 
 
