@@ -16,6 +16,7 @@ from opsanalytics.functions.nulls import count_where, sum0
 from opsanalytics.operators.reconcile import LEAKAGE_CATEGORIES
 from opsanalytics.session import cut_lineage
 
+FEW_GROUPS = 100_000  # group statistics up to so many rows are broadcast
 KPI_SUMS = ["expected_revenue_kes", "collected_revenue_kes", "total_leakage_kes", *LEAKAGE_CATEGORIES]
 
 
@@ -268,6 +269,15 @@ def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     return parts.unpivot([], cols, "column", "is_constant")
 
 
+def join_groups(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with their group's statistics (one row per group), which are stored first.
+
+    Few groups are broadcast: the rows stay where they are read, and no task sorts or merges a hot
+    group.  Many groups meet their rows in a shuffle join."""
+    stats = cut_lineage(stats)
+    return df.join(F.broadcast(stats) if stats.count() <= FEW_GROUPS else stats, list(by))
+
+
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins between the (per-group) min and max; counts per bin.
 
@@ -276,9 +286,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     the maximum falling in the last bin.
     """
     if by:
-        # Stored first: its real size decides the join, and a hot group's rows can be split.
-        bounds = cut_lineage(df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")))
-        x = df.join(bounds, list(by))
+        x = join_groups(df.select(*dict.fromkeys([*by, value])), df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")), by)
         lo, hi = F.col("_lo"), F.col("_hi")
     else:
         b = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()  # one subquery
@@ -314,8 +322,8 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         }
     )
     if by:
-        q = cut_lineage(q)  # as in histogram()
-        joined = df.join(q.select(*by, "lower_fence", "upper_fence"), list(by))
+        q = cut_lineage(q)
+        joined = join_groups(df.select(*dict.fromkeys([*by, value])), q.select(*by, "lower_fence", "upper_fence"), by)
         outliers = joined.groupBy(*by).agg(
             count_where((F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))).alias(
                 "n_outliers"
