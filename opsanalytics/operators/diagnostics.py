@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where
 from opsanalytics.operators.ordering import with_ranks
-from opsanalytics.session import cut_lineage
+from opsanalytics.operators.summaries import join_groups
 
 
 def group_zscore(df: DataFrame, by: Sequence[str], value: str, ddof: int = 1) -> DataFrame:
     """z = (x - group mean) / group std, as a column ``z_<value>``; NULL where the group does not vary."""
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     stats = df.groupBy(*by).agg(F.avg(value).alias("_mu"), std(value).alias("_sd"))
-    if by:  # stored first: its real size decides the join, before the rows are shuffled by a few group keys
-        stats = cut_lineage(stats)
-    out = df.join(stats, list(by)) if by else df.withColumns({"_mu": stats.select("_mu").scalar(), "_sd": stats.select("_sd").scalar()})
+    out = join_groups(df, stats, by) if by else df.withColumns({"_mu": stats.select("_mu").scalar(), "_sd": stats.select("_sd").scalar()})
     return out.withColumn(f"z_{value}", F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd"))).drop("_mu", "_sd")
 
 
@@ -92,8 +90,8 @@ def binned_kde(df: DataFrame, value: str, by: Sequence[str] = (), grid: int = 64
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd")
     )
     present = df.filter(F.col(value).isNotNull())
-    if by:  # stored first: its real size decides the join
-        x = present.join(cut_lineage(stats), list(by))
+    if by:
+        x = join_groups(present.select(*dict.fromkeys([*by, value])), stats, by)
     else:  # one global row: scalar subqueries, no join
         x = present.withColumns({c: stats.select(c).scalar() for c in ("_lo", "_hi", "_n", "_sd")})
     width = (F.col("_hi") - F.col("_lo")) / fine_bins

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from opsanalytics.operators import diagnostics as dg
 from opsanalytics.operators import summaries as sm
 
 
@@ -40,3 +41,10 @@ def test_many_groups_meet_their_rows_in_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(sm, "FEW_GROUPS", 3)
     plan, rows = _without_auto_broadcast(spark, lambda: sm.histogram(_rows(spark), "v", 40, by=["g"]))
     assert "SortMergeJoin" in plan and sum(r["n"] for r in rows) == 20_000
+
+
+def test_kernel_density_and_zscore_rows_stay_where_they_are_read(spark):
+    plan, rows = _without_auto_broadcast(spark, lambda: dg.binned_kde(_rows(spark), "v", by=["g"], grid=8))
+    assert "SortMergeJoin" not in plan and len(rows) == 4 * 8
+    plan, rows = _without_auto_broadcast(spark, lambda: dg.group_zscore(_rows(spark), ["g"], "v"))
+    assert "SortMergeJoin" not in plan and len(rows) == 20_000
