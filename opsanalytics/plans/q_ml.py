@@ -162,7 +162,9 @@ def m13_roc_auc(spark, sf_dir):
 # Fitted models (row-count checked)
 # ----------------------------------------------------------------------------
 def _split_docs(spark, sf_dir):
-    x = ml.stratified_split(doc_features(spark, sf_dir), "label", "doc_id", 0.25, SEED)
+    # Stored before and after the split: ranks, sizes and every fitted stage would each derive the features again.
+    # Dealt over the cores: a small table would be one partition, and its rows pass a forest in one task.
+    x = ml.spread(ml.stratified_split(cut_lineage(doc_features(spark, sf_dir)), "label", "doc_id", 0.25, SEED), ["doc_id"])
     return ml.fill_most_frequent(x, CATEGORICAL, x.filter(F.col("split") == "train"))
 
 
