@@ -571,23 +571,19 @@ def forest_nodes(model, work_dir: str, spark) -> DataFrame:
     model.write().overwrite().save(work_dir)
     stats = F.col("nodeData.impurityStats")
     total = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
+    cut, ordered = F.col("nodeData.split.leftCategoriesOrThreshold"), F.col("nodeData.split.numCategories") < 0
     return spark.read.parquet(f"{work_dir}/data").select(
         F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"),
         F.when(total > 0, stats[1] / total).otherwise(0.0).alias("p1"),
         F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feat"), F.col("nodeData.split.numCategories").alias("n_cats"),
-        F.col("nodeData.split.leftCategoriesOrThreshold").alias("cut"))
+        F.col("nodeData.split.featureIndex").alias("feat"),
+        F.when(ordered, F.get(cut, F.lit(0))).alias("thr"), F.when(~ordered, cut).alias("cats"))
 
 
 def _trees(nodes):
     """Node columns of each tree as numpy arrays, indexed by node id."""
-    import numpy as np
-
     for _, t in nodes.sort_values(["tree", "node"]).groupby("tree", sort=True):
-        n_cats, cut = t["n_cats"].to_numpy(), [() if c is None else c for c in t["cut"]]
-        yield {"p1": t["p1"].to_numpy(), "left": t["left"].to_numpy(), "right": t["right"].to_numpy(), "feat": t["feat"].to_numpy(),
-               "thr": np.array([c[0] if n < 0 and len(c) else np.nan for n, c in zip(n_cats, cut, strict=True)]),
-               "cats": [set(c) if n >= 0 else None for n, c in zip(n_cats, cut, strict=True)]}
+        yield {c: t[c].to_numpy() for c in ("p1", "left", "right", "feat", "thr", "cats")}
 
 
 def tree_contributions(scored: DataFrame, model, names: Sequence[str], work_dir: str, id_col: str = "id",
@@ -600,39 +596,42 @@ def tree_contributions(scored: DataFrame, model, names: Sequence[str], work_dir:
     import numpy as np
     import pandas as pd
 
-    nodes = cut_lineage(forest_nodes(model, work_dir, scored.sparkSession))
+    nodes = forest_nodes(model, work_dir, scored.sparkSession)
     n_feat, roots = len(names), [r["p1"] for r in nodes.filter(F.col("node") == 0).orderBy("tree").collect()]
     bias = float(np.mean(roots))
     x = cut_lineage(scored.select(id_col, vector_to_array(F.col(features)).alias("x")).withColumn("_row", F.monotonically_increasing_id()))
-    groups = max(1, min(len(roots), -(-nodes.count() // GROUP_NODES)))
     blocks = max(1, -(-x.count() // GROUP_ROWS))
+    cores = x.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, min(len(roots), max(-(-nodes.count() // GROUP_NODES), -(-2 * cores // blocks))))
+    # The few pairs of a group and a block are all the tasks there are: room for them, so that they do not share one.
+    deal = (groups * blocks + min(3 * groups * blocks, 100), "group", "block")
 
     def run(rows: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         X = np.stack(rows["x"].to_numpy()).astype(float) if len(rows) else np.zeros((0, n_feat))
         contrib = np.zeros((X.shape[0], n_feat))
         for t in _trees(part) if len(rows) else ():
-            node = np.zeros(X.shape[0], dtype=int)
-            active = t["left"][node] >= 0
-            while active.any():
-                idx = np.where(active)[0]
-                nd = node[idx]
-                f = t["feat"][nd]
+            idx, nd = np.arange(X.shape[0]), np.zeros(X.shape[0], dtype=int)
+            while True:
+                inner = t["left"][nd] >= 0
+                idx, nd = idx[inner], nd[inner]  # rows that have not reached a leaf
+                if not len(idx):
+                    break
+                f, thr = t["feat"][nd], t["thr"][nd]
                 xv = X[idx, f]
-                thr = t["thr"][nd]
                 go_left = xv <= thr
-                for i in np.nonzero(np.isnan(thr))[0]:
-                    go_left[i] = t["cats"][nd[i]] is not None and xv[i] in t["cats"][nd[i]]
+                if (by_set := np.isnan(thr)).any():
+                    for n in np.unique(nd[by_set]):
+                        go_left[nd == n] = np.isin(xv[nd == n], t["cats"][n])
                 child = np.where(go_left, t["left"][nd], t["right"][nd])
                 contrib[idx, f] += t["p1"][child] - t["p1"][nd]
-                node[idx] = child
-                active = t["left"][node] >= 0
+                nd = child
         return pd.DataFrame({"_row": rows["_row"], "c": list(contrib / len(roots))})
 
     asked = x.select("_row", "x", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("block"),
                      F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
     held = nodes.select("*", F.pmod("tree", F.lit(groups)).cast("int").alias("group"),
                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    sums = (asked.groupBy("group", "block").cogroup(held.groupBy("group", "block"))
+    sums = (asked.repartition(*deal).groupBy("group", "block").cogroup(held.repartition(*deal).groupBy("group", "block"))
             .applyInPandas(lambda rows, part: run(rows, part), "_row long, c array<double>"))
     total = sums.groupBy("_row").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(n_feat)])
     slots = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"c{i}").alias("contribution")) for i, n in enumerate(names)])

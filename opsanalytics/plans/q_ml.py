@@ -33,8 +33,8 @@ def doc_features(spark, sf_dir):
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split(F.trim(t), "\\s+")).cast("double").alias("n_words"),
         F.size(F.split(t, "\n")).cast("double").alias("n_lines"),
-        (F.length(F.regexp_replace(t, "[^0-9]", "")) / n).alias("digit_share"),
-        (F.length(F.regexp_replace(t, "[^A-Z]", "")) / n).alias("upper_share"),
+        (F.regexp_count(t, F.lit("[0-9]")) / n).alias("digit_share"),
+        (F.regexp_count(t, F.lit("[A-Z]")) / n).alias("upper_share"),
     )
     return feats.join(lb.select("doc_id", F.col("toxic").cast("double").alias("label")), "doc_id")
 
@@ -508,13 +508,15 @@ def m18_review_queue_rule(spark, sf_dir):
     return finish(ml.review_queue(scored, t, ["doc_id", "label"]), digits=6)
 
 
-def _forest_contributions(spark, sf_dir):
+def _forest_contributions(spark, sf_dir, *scores):
+    """Test rows with the asked ``scores``, and their contributions: scoring sends the whole forest to every task, so
+    that only a query that reads a score pays for it."""
     import uuid
 
     from opsanalytics.session import checkpoint_dir
 
     model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True)
-    pred = cut_lineage(pred.select("doc_id", "score", "features"))
+    pred = cut_lineage(pred.select("doc_id", "features", *scores))
     names = ml.feature_names(model, NUMERIC, CATEGORICAL)
     work = f"{checkpoint_dir(spark)}/models/forest-{uuid.uuid4().hex}"
     return pred, ml.tree_contributions(pred, model.stages[-1], names, work, id_col="doc_id")
@@ -523,7 +525,7 @@ def _forest_contributions(spark, sf_dir):
 @query("m17_tree_local_explanation")
 def m17_tree_local_explanation(spark, sf_dir):
     """Path contributions of the weighted forest for the highest-risk test row."""
-    pred, contrib = _forest_contributions(spark, sf_dir)
+    pred, contrib = _forest_contributions(spark, sf_dir, "score")
     top = pred.agg(F.max_by("doc_id", F.struct("score", "doc_id")).alias("d")).select("d").scalar()
     return contrib.filter(F.col("doc_id") == top)
 

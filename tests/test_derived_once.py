@@ -27,3 +27,31 @@ def test_split_reads_stored_features(spark, monkeypatch):
     plan = x._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan and "Window" not in plan
     assert x.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_letters_are_counted_not_deleted(spark, out_dir):
+    texts = ["", None, "A1", "aBÄ\U0001d7d8 9٣\n", "no match", "42AZ" * 50]
+    spark.createDataFrame([(i, t, "en", "web", 5) for i, t in enumerate(texts)],
+                          "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{out_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id long, toxic int").write.parquet(f"{out_dir}/labels.parquet")
+    feats = q_ml.doc_features(spark, str(out_dir))
+    got = {r["doc_id"]: (r["digit_share"], r["upper_share"]) for r in feats.collect()}
+    want = {i: (None, None) if t is None else (sum(c in "0123456789" for c in t) / max(len(t), 1), sum("A" <= c <= "Z" for c in t) / max(len(t), 1))
+            for i, t in enumerate(texts)}
+    assert got == want
+    assert "[^0-9]" not in feats._jdf.queryExecution().optimizedPlan().toString()  # almost every character was a match
+
+
+def test_mean_contributions_do_not_score(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, 0.5), (2, 0.25)], "doc_id long, features double").withColumn("score", F.raise_error(F.lit("scored")).cast("double"))
+    seen = []
+
+    class Model:
+        stages = ["forest"]
+
+    monkeypatch.setattr(q_ml, "_fit_eval", lambda *a, **k: (Model, rows))
+    monkeypatch.setattr(q_ml.ml, "feature_names", lambda *a: ["f"])
+    monkeypatch.setattr(q_ml.ml, "tree_contributions", lambda pred, *a, **k: seen.append(pred.columns) or pred.select(
+        "doc_id", F.lit("f").alias("feature"), F.col("features").alias("contribution")))
+    assert [tuple(r) for r in q_ml.m16_mean_abs_contribution(spark, "").collect()] == [("f", 0.375)]
+    assert seen == [["doc_id", "features"]]

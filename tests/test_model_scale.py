@@ -57,3 +57,28 @@ def test_nearest_with_few_or_infinite_points():
     points = np.array([[0.0, 0.0], [1.0, 0.0], [np.inf, 0.0]])
     row, col, dist = ml._nearest(points[:2], points, np.eye(2, 3, dtype=bool), 5)
     assert list(row) == [0, 1] and list(col) == [1, 0] and list(dist) == [1.0, 1.0]
+
+
+def test_tree_contributions_with_category_splits(spark, out_dir):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+
+    rng = np.random.default_rng(5)
+    kind, a = rng.integers(0, 5, 200), rng.normal(size=200)
+    df = spark.createDataFrame([(i, float(k), float(v), float(k in (1, 4) or v > 1)) for i, (k, v) in enumerate(zip(kind, a, strict=True))],
+                               ["id", "kind", "a", "label"])
+    raw = VectorAssembler(inputCols=["kind", "a"], outputCol="raw").transform(df)
+    x = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=5).fit(raw).transform(raw)
+    model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=3).fit(x)
+    scored = ml.positive_score(model.transform(x))
+    c = ml.tree_contributions(scored, model, ["kind", "a"], f"{out_dir}/rf-kinds")
+    got = {r["id"]: r["s"] for r in c.groupBy("id").agg((F.sum("contribution") + F.first("bias")).alias("s")).collect()}
+    assert got == pytest.approx({r["id"]: r["score"] for r in scored.collect()}, abs=1e-9)
+    # A threshold is one number: no list per node goes to the tasks, sets only where a split is by category.
+    nodes = ml.forest_nodes(model, f"{out_dir}/rf-kinds-nodes", spark)
+    assert dict(nodes.dtypes)["thr"] == "double"
+    assert {(r["thr"] is None, r["cats"] is None) for r in nodes.filter("left >= 0").collect()} == {(True, False), (False, True)}
+    # Groups of trees are dealt to the cores even if all nodes would fit one task, and stay apart.
+    plan = c._jdf.queryExecution().optimizedPlan().toString()
+    groups = min(5, 2 * spark.sparkContext.defaultParallelism)
+    assert plan.count(f"RepartitionByExpression [group#") == 2 and f"], {4 * groups}" in plan
