@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsanalytics.functions.nulls import count_where
+from opsanalytics.operators.forests import DealtForestClassifier, DealtForestModel
 from opsanalytics.operators.ordering import with_ranks
 from opsanalytics.operators.quantiles import exact_quantiles
 from opsanalytics.session import cut_lineage
@@ -143,10 +144,11 @@ def bagged_trees(label: str = "label", n: int = 40, depth: int = 5, seed: int =
 def forest(label: str = "label", n: int = 400, min_leaf: int = 2, weight_col: str | None = "weight", seed: int = 42, depth: int = 30):
     """M7: random forest, minimum leaf size, balanced class weights.
 
-    The leaf size is meant to end the trees; 30 is the deepest tree Spark builds.  The node of every
-    row is kept per tree: without that, each level sends the grown trees out and walks all rows from the roots."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n, minInstancesPerNode=min_leaf, seed=seed,
-                                maxDepth=depth, cacheNodeIds=True)
+    The leaf size is meant to end the trees; 30 is the deepest tree Spark builds.  The trees grow in tasks
+    (:mod:`forests`): deep trees over many rows do not fit the driver.  Where Spark's own forest is fitted instead,
+    the node of every row is kept per tree."""
+    rf = DealtForestClassifier(featuresCol="features", labelCol=label, numTrees=n, minInstancesPerNode=min_leaf, seed=seed,
+                               maxDepth=depth, cacheNodeIds=True)
     if weight_col:
         rf.setWeightCol(weight_col)
     return rf
@@ -596,6 +598,12 @@ def tree_contributions(scored: DataFrame, model, names: Sequence[str], work_dir:
     import numpy as np
     import pandas as pd
 
+    if isinstance(model, DealtForestModel):
+        x = cut_lineage(scored.select(id_col, features).withColumn("_row", F.monotonically_increasing_id()))
+        mean = F.transform(F.slice("v", 1, len(names)), lambda v: v / F.lit(float(model.getNumTrees)))
+        steps = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("feature"), mean.alias("contribution"))
+        found = x.select(id_col, "_row").join(model.walked(x, features, True), "_row")
+        return found.select(id_col, F.lit(model.bias()).alias("bias"), F.inline(steps))
     nodes = forest_nodes(model, work_dir, scored.sparkSession)
     n_feat, roots = len(names), [r["p1"] for r in nodes.filter(F.col("node") == 0).orderBy("tree").collect()]
     bias = float(np.mean(roots))
