@@ -209,6 +209,18 @@ ARRAYS = {"feat": np.int32, "bin": np.int32, "left": np.int32, "w0": np.float64,
 PART_SCHEMA = "tree int, node int, leaf boolean, says boolean, " + ", ".join(f"{k} binary" for k in ARRAYS)
 
 
+def _splits_of(n_splits: int):
+    """Thresholds of every feature from the rows of one task, the sample."""
+    import pandas as pd
+
+    def run(batches):
+        pdf = pd.concat(batches)
+        x, w = np.stack(pdf["x"].to_numpy()).astype(float), pdf["w"].to_numpy()
+        yield pd.DataFrame({"feat": range(x.shape[1]), "thr": [candidate_splits(x[:, j], w, n_splits) for j in range(x.shape[1])]})
+
+    return run
+
+
 def _blocks_of(thresholds, extra):
     """Rows as blocks: bin numbers, and the columns ``extra`` (name -> type) as packed arrays."""
     import pandas as pd
@@ -449,9 +461,9 @@ class DealtForestClassifier(RandomForestClassifier):
         if seen["odd"] or seen["most"] != 1.0 or not usual or {"nominal", "binary"} & set(attrs):
             return super()._fit(dataset)  # several classes, category splits and the like are Spark's own
         spark, n, trees, seed = dataset.sparkSession, seen["n"], self.getNumTrees(), self.getSeed() & (2**63 - 1)
-        sample = (x if n <= SAMPLE_ROWS else x.sample(False, SAMPLE_ROWS / n, seed)).select("x", "w").toPandas()
-        values, weights = np.stack(sample["x"].to_numpy()).astype(float), sample["w"].to_numpy()
-        thresholds = [candidate_splits(values[:, j], weights, min(self.getMaxBins(), n) - 1) for j in range(values.shape[1])]
+        sample = (x if n <= SAMPLE_ROWS else x.sample(False, SAMPLE_ROWS / n, seed)).select("x", "w")
+        found = sample.repartition(1).mapInPandas(_splits_of(min(self.getMaxBins(), n) - 1), "feat int, thr array<double>").collect()
+        thresholds = [np.array(r["thr"], float) for r in sorted(found, key=lambda r: r["feat"])]
         features = len(thresholds)
         every = self.getFeatureSubsetStrategy() == "all" or (self.getFeatureSubsetStrategy() == "auto" and trees == 1)
         width = max(len(t) for t in thresholds) + 1

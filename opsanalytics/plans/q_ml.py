@@ -241,12 +241,17 @@ def m5_ols_coefficients(spark, sf_dir):
     return finish(ml.regression_metrics(model.transform(x), "n_words").withColumns(fit), digits=4)
 
 
-def _fit_eval(spark, sf_dir, estimator_fn, weighted: bool = False):
+def _fit_eval(spark, sf_dir, estimator_fn, weighted: bool = False, scored: bool = True):
+    """The model fitted on the training rows, and the test rows, prepared and (if ``scored``) with the model's score."""
     x = _split_docs(spark, sf_dir)
     if weighted:
         x = ml.class_weights(x, "label")
     train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
     model = ml.fit_pipeline(train, ml.preprocess_stages(NUMERIC, CATEGORICAL), estimator_fn(train), ["doc_id"])
+    if not scored:
+        from pyspark.ml import PipelineModel
+
+        return model, PipelineModel(model.stages[:-1]).transform(test)
     return model, ml.positive_score(model.transform(test))
 
 
@@ -323,8 +328,8 @@ def _fit_smote(estimator):
     return fit
 
 
-def _cv(spark, sf_dir, fit):
-    return ml.cross_validate(doc_features(spark, sf_dir), "label", "doc_id", fit, 5, SEED)
+def _cv(spark, sf_dir, fit, parallel: int = 5):
+    return ml.cross_validate(doc_features(spark, sf_dir), "label", "doc_id", fit, 5, SEED, parallel)
 
 
 @query("m10_cv_scores")
@@ -334,8 +339,8 @@ def m10_cv_scores(spark, sf_dir):
 
 @query("m10_cv_forest")
 def m10_cv_forest(spark, sf_dir):
-    """The 400-tree forest, validated on five folds."""
-    return _cv(spark, sf_dir, _fit_forest)
+    """The 400-tree forest, validated on five folds: two at a time fill the cores, and the driver plans fewer jobs at once."""
+    return _cv(spark, sf_dir, _fit_forest, parallel=2)
 
 
 @query("m9_smote_cv")
@@ -452,7 +457,7 @@ def m15_boosted_importance(spark, sf_dir):
 
 @query("m15_feature_importance")
 def m15_feature_importance(spark, sf_dir):
-    model, _ = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True)
+    model, _ = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True, scored=False)
     names = ml.feature_names(model, NUMERIC, CATEGORICAL)
     pairs = ml.feature_importance(model.stages[-1], names, 15)
     return spark.createDataFrame(pairs, "feature string, importance double")
@@ -508,30 +513,31 @@ def m18_review_queue_rule(spark, sf_dir):
     return finish(ml.review_queue(scored, t, ["doc_id", "label"]), digits=6)
 
 
-def _forest_contributions(spark, sf_dir, *scores):
-    """Test rows with the asked ``scores``, and their contributions: scoring sends the whole forest to every task, so
-    that only a query that reads a score pays for it."""
+def _forest_contributions(spark, sf_dir, top: bool = False):
+    """Contributions of the weighted forest for the test rows; ``top``: for the one with the highest score (ties: the
+    larger id).  Scoring sends all rows past the whole forest, so that only a query that reads a score pays for it."""
     import uuid
 
     from opsanalytics.session import checkpoint_dir
 
-    model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True)
-    pred = cut_lineage(pred.select("doc_id", "features", *scores))
+    model, pred = _fit_eval(spark, sf_dir, lambda tr: ml.forest(), weighted=True, scored=top)
+    pred = cut_lineage(pred.select("doc_id", "features", *["score"] * top))
+    if top:
+        first = pred.agg(F.max_by("doc_id", F.struct("score", "doc_id")).alias("d")).select("d").scalar()
+        pred = pred.filter(F.col("doc_id") == first)
     names = ml.feature_names(model, NUMERIC, CATEGORICAL)
     work = f"{checkpoint_dir(spark)}/models/forest-{uuid.uuid4().hex}"
-    return pred, ml.tree_contributions(pred, model.stages[-1], names, work, id_col="doc_id")
+    return ml.tree_contributions(pred, model.stages[-1], names, work, id_col="doc_id")
 
 
 @query("m17_tree_local_explanation")
 def m17_tree_local_explanation(spark, sf_dir):
     """Path contributions of the weighted forest for the highest-risk test row."""
-    pred, contrib = _forest_contributions(spark, sf_dir, "score")
-    top = pred.agg(F.max_by("doc_id", F.struct("score", "doc_id")).alias("d")).select("d").scalar()
-    return contrib.filter(F.col("doc_id") == top)
+    return _forest_contributions(spark, sf_dir, top=True)
 
 
 @query("m16_mean_abs_contribution")
 def m16_mean_abs_contribution(spark, sf_dir):
     """Global explanation: mean |path contribution| per feature over the test rows."""
-    _, contrib = _forest_contributions(spark, sf_dir)
+    contrib = _forest_contributions(spark, sf_dir)
     return contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
