@@ -82,3 +82,17 @@ def test_tree_contributions_with_category_splits(spark, out_dir):
     plan = c._jdf.queryExecution().optimizedPlan().toString()
     groups = min(5, 2 * spark.sparkContext.defaultParallelism)
     assert plan.count(f"RepartitionByExpression [group#") == 2 and f"], {4 * groups}" in plan
+
+
+def test_neighbours_take_few_rounds(spark, monkeypatch):
+    """Rounds look at more and more blocks: 4, 8, 16 and 16 of them here, which 4 at a time took eleven rounds."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 12))  # without structure: every point looks at nearly all blocks
+    asked, held = [], ml._next_blocks
+    monkeypatch.setattr(ml, "_next_blocks", lambda pivots, blocks, visits: asked.append(visits) or held(pivots, blocks, visits))
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = {(r["qid"], r["rank"]): r["cid"] for r in ml.knn_within(pts, 3, block_rows=8).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    assert got == {(i, r): int(c) for i, row in enumerate(np.argsort(d, axis=1, kind="stable")[:, :3]) for r, c in enumerate(row)}
+    assert asked[:3] == [4, 8, 16][:len(asked)] and len(asked) <= 5
